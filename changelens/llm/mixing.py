@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ROWS_PER_BUCKET, prefix_offsets, written
+from .shared import prefix_offsets, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -53,7 +53,7 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     thin = written(df.select(df[id_col].cast("long").alias("doc_id"), df[source_col].cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), key.alias("key"), F.crc32(text.cast("binary")).alias("tie")), "mix-rows")
     sums = thin.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("__rows"))
     targets = source_targets(sums.select("source", "source_size")).withColumnRenamed("source", "__source")
-    targets = written(targets.join(sums.select(F.col("source").alias("__s"), "__rows"), F.col("__source").eqNullSafe(F.col("__s"))).drop("__s").withColumn("__ranges", F.ceil(F.col("__rows") / ROWS_PER_BUCKET).cast("int")), "mix-targets")
+    targets = written(targets.join(sums.select(F.col("source").alias("__s"), "__rows"), F.col("__source").eqNullSafe(F.col("__s"))).drop("__s").withColumn("__ranges", F.ceil(F.sqrt(F.col("__rows").cast("double")) / 4).cast("int")), "mix-targets")
     rows = thin.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "__rows")
     rows = rows.withColumn("__range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / 4294967296.0 * F.col("__ranges")).cast("int"))
     offsets = prefix_offsets(rows.groupBy("source", "__range").agg(F.sum("size").alias("__sum")), ["source"], "__range", "__sum", "__before")

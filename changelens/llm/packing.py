@@ -174,8 +174,9 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
     lengths = pieces.groupBy("length").count().collect()  # size rows at most
     histogram = {int(r["length"]): int(r["count"]) for r in lengths}
     table = layout(plan_configurations(histogram, size)) if histogram else np.zeros((0, 5), np.int64)
-    n = buckets_for(sum(histogram.values()))
-    keyed = pieces.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n)).cast("int"))
+    # a row for each length, size at most
+    buckets = spark.createDataFrame([(k, buckets_for(v)) for k, v in histogram.items()], "length long, __buckets int")
+    keyed = pieces.join(F.broadcast(buckets), "length").withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "__buckets").cast("int")).drop("__buckets")
     offsets = prefix_offsets(keyed.groupBy("length", "__bucket").agg(F.count("*").alias("__n")), ["length"], "__bucket", "__n", "__before").select("length", "__bucket", "__before")
     w = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = keyed.withColumn("__rank", F.row_number().over(w) - 1).join(offsets, ["length", "__bucket"]).withColumn("__rank", F.col("__rank") + F.col("__before")).drop("__bucket", "__before")

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of a thin table that one sort task should hold.
-ROWS_PER_BUCKET = 200_000
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,7 +30,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def buckets_for(rows: int) -> int:
-    return max(1, -(-rows // ROWS_PER_BUCKET))
+    """In how many buckets a group of so many rows is ordered: the bucket's rows and the number of buckets, whose
+    sums are summed up in one task, both grow with the root of the rows."""
+    return max(1, math.ceil(math.sqrt(rows) / 4))
 
 
 def prefix_offsets(totals: DataFrame, group: list[str], order: str, value: str, name: str) -> DataFrame:
