@@ -17,8 +17,8 @@ BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 #: Members of a bucket that are compared with each other at once; larger buckets are compared block by block.
 BLOCK = 1024
-#: Of the 96 stored bytes, so many agree at similarity 0.8 but for a chance under one in 10^9.
-AGREE = 50
+#: Of the 96 stored bytes, so many agree at similarity 0.8 but for a chance of one in ten million.
+AGREE = 56
 #: Word hashes that a worker remembers.
 REMEMBERED = 500_000
 
@@ -115,40 +115,105 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
 
-def _across(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of a bucket that are in different components so far and whose sizes and signatures allow a link."""
-    for t in whole_groups(batches, ["key", "x", "y"]):
-        key, x, y = (t[c].to_numpy() for c in ("key", "x", "y"))
-        ids, n, comp, blk = (t[c].to_numpy() for c in ("id", "n", "comp", "blk"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, BINS)
+def _forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest id that the edges i - j reach: a star for each component."""
+    least = ids.copy()
+    while True:
+        before = least.copy()
+        np.minimum.at(least, i, before[j])
+        np.minimum.at(least, j, before[i])
+        if (least == before).all():
+            return least
+
+
+def _stars(batches: Iterator[pa.RecordBatch], group: str, pairs) -> Iterator[pa.RecordBatch]:
+    """Edges to the smallest id of each local component, for each group's pair of blocks. pairs gives the edges
+    among some rows of a table: (table, first rows, second rows) -> (i, j). At most an edge for each row."""
+    for t in whole_groups(batches, [group, "x", "y"]):
+        key, x, y, blk, ids = (t[c].to_numpy() for c in (group, "x", "y", "blk", "id"))
         cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-        left, right = [], []
+        out_a, out_b = [], []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
-            one = np.arange(a, b)[blk[a:b] == x[a]]
-            two = np.arange(a, b)[blk[a:b] == y[a]]
-            for start in range(0, len(one), 64):
-                p = one[start : start + 64]
-                agree = (sig[p][:, None, :] == sig[two][None, :, :]).sum(2)
-                ok = (agree >= AGREE) & (comp[p][:, None] != comp[two][None, :]) & (ids[p][:, None] != ids[two][None, :])
-                ok &= np.minimum(n[p][:, None], n[two][None, :]) >= share * np.maximum(n[p][:, None], n[two][None, :]) - 1e-6
-                i, j = np.nonzero(ok)
-                left.append(np.minimum(ids[p][i], ids[two][j]))
-                right.append(np.maximum(ids[p][i], ids[two][j]))
-        if left:
-            pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-
-def _confirmed(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full shingle sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    few = src.join(wanted.hint("shuffle_hash"), "id", "left_semi")
-    sets = written(few.mapInArrow(lambda it: _sets(it, k), "id long, shingles array<bigint>").dropDuplicates(["id"]), "sets")
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
-    return both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+            if b - a < 2:
+                continue
+            one, two = np.flatnonzero(blk[a:b] == x[a]), np.flatnonzero(blk[a:b] == y[a])
+            i, j = pairs(t.slice(a, b - a), one, two)
+            if len(i):
+                least = _forest(b - a, i, j, ids[a:b])
+                at = np.flatnonzero(least != ids[a:b])
+                out_a.append(ids[a:b][at])
+                out_b.append(least[at])
+        if out_a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+
+
+def _alike(sig: np.ndarray, n: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose sizes and signatures allow a link."""
+    left, right = [], []
+    for start in range(0, len(one), 64):
+        p = one[start : start + 64]
+        ok = (sig[p][:, None, :] == sig[two][None, :, :]).sum(2) >= AGREE
+        ok &= 100 * np.minimum(n[p][:, None], n[two][None, :]) >= percent * np.maximum(n[p][:, None], n[two][None, :])
+        ok &= p[:, None] != two[None, :]
+        i, j = np.nonzero(ok)
+        left.append(p[i])
+        right.append(two[j])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, BINS), t["n"].to_numpy()
+
+
+def _candidates(percent: int):
+    def pairs(t: pa.Table, one: np.ndarray, two: np.ndarray):
+        sig, n = _columns(t)
+        return _alike(sig, n, one, two, percent)
+
+    return pairs
+
+
+def _confirmed(percent: int):
+    """Pairs whose full sets have 100 * intersection >= percent * union. Intersections of many pairs are a product
+    of 0/1 matrices, some columns (shingles) at a time."""
+
+    def pairs(t: pa.Table, one: np.ndarray, two: np.ndarray):
+        sig, n = _columns(t)
+        i, j = _alike(sig, n, one, two, percent)
+        if not len(i):
+            return i, j
+        sets = t["shingles"].combine_chunks()
+        values, offsets = sets.values.to_numpy(), sets.offsets.to_numpy()
+        if len(i) <= 4 * t.num_rows:
+            common = np.array([len(np.intersect1d(values[offsets[a] : offsets[a + 1]], values[offsets[b] : offsets[b + 1]], True)) for a, b in zip(i, j, strict=True)])
+        else:
+            known, column, times = np.unique(values, return_inverse=True, return_counts=True)
+            row = np.repeat(np.arange(t.num_rows), np.diff(offsets))
+            shared = times[column] > 1  # a shingle of one document alone is in no intersection
+            row, column = row[shared], np.cumsum(times > 1)[column[shared]] - 1
+            order = np.argsort(column, kind="stable")
+            row, column = row[order], column[order]
+            total = np.zeros((len(one), len(two)), np.float32)
+            for at in range(0, int((times > 1).sum()), 4096):
+                lo, hi = np.searchsorted(column, [at, at + 4096])
+                m = np.zeros((t.num_rows, 4096), np.float32)
+                m[row[lo:hi], column[lo:hi] - at] = 1
+                total += m[one] @ m[two].T
+            where_one, where_two = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
+            where_one[one], where_two[two] = np.arange(len(one)), np.arange(len(two))
+            common = total[where_one[i], where_two[j]].astype(np.int64)
+        ok = 100 * common >= percent * (n[i] + n[j] - common)
+        return i[ok], j[ok]
+
+    return pairs
+
+
+def _dealt(rows: DataFrame, group: str, size: str, others: list[str]) -> DataFrame:
+    """The rows of each group in pairs of blocks of bounded size, each pair in one task."""
+    blocks = F.ceil(F.col(size) / BLOCK).cast("int")
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select(group, F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"), "blk", "id", *others)
+    return rows.repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,10 +221,11 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
 
     Documents whose sets of k-word shingles have 100 * intersection >= percent * union are linked; the component
     is the smallest id that links reach. Documents with equal sets form a class, of which the one with the
-    smallest id goes on. Each of these has 24 bucket keys. In every bucket all are paired with the one of
-    the smallest id: a star, so pairs grow with members, not with their square. Pairs are confirmed on full
-    sets. Members of a bucket that the stars have not brought into one component are then compared block by block by their signatures,
-    and what may be similar is confirmed too, so no bucket is capped.
+    smallest id goes on. Each of these has 24 bucket keys. In every bucket, signatures tell which members may be
+    similar, and each candidate component gives a star of edges to its smallest id, so edges grow with members and not with their
+    square. Documents that stars join are a candidate group; there the full sets of all pairs that signatures
+    do not rule out are compared, and again only stars of confirmed links leave the task. Buckets and groups are not
+    capped: large ones are dealt out in pairs of blocks.
 
     Documents without words (also null or empty texts) are linked with nothing. Rows without an id stand alone:
     component_id null, kept true. Rows with the same id are one document, for which one of the texts stands.
@@ -169,25 +235,18 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     same = ["n", "ha", "hb"]
     classes = written(marks.where("n > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
     reps = written(marks.join(classes, [*(marks[c] == classes[c] for c in same), marks["id"] == classes["rep"]], "left_semi").select("id", "n", "keys", "sig").dropDuplicates(["id"]), "reps")
-    keyed = reps.select("id", "n", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("centre"), F.count("*").alias("members")).where("members > 1")
-    members = written(keyed.join(buckets, "key"), "buckets")
-    fits = 100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n")
-    stars = members.where(F.col("id") != F.col("centre.id")).where(fits).select(F.col("centre.id").alias("a"), F.col("id").alias("b"))
-    links = written(_confirmed(stars, src, k, percent), "links")
+    keyed = reps.select("id", "n", "sig", F.explode("keys").alias("key"))
+    buckets = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    dealt = _dealt(keyed.join(buckets, "key"), "key", "members", ["n", "sig"])
+    candidates = written(dealt.mapInArrow(lambda it: _stars(it, "key", _candidates(percent)), "a long, b long").distinct(), "candidates")
+    groups = written(components(candidates).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups")
+    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    texts = src.join(groups.select("id").hint("shuffle_hash"), "id", "left_semi")
+    sets = texts.mapInArrow(lambda it: _sets(it, k), "id long, shingles array<bigint>").dropDuplicates(["id"])
+    grouped = groups.join(sizes, "grp").join(reps.select("id", "n", "sig"), "id").join(sets, "id")
+    dealt = _dealt(grouped, "grp", "members", ["n", "sig", "shingles"])
+    links = written(dealt.mapInArrow(lambda it: _stars(it, "grp", _confirmed(percent)), "a long, b long"), "links")
     joined = components(links)
-    so_far = members.join(joined, members["id"] == joined["node"], "left").select("key", "id", "n", "members", F.coalesce("component", "id").alias("comp"))
-    so_far = written(so_far, "so-far")
-    open_keys = so_far.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = so_far.join(open_keys, "key", "left_semi").withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.join(reps.select("id", "sig"), "id").select("key", F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"), "blk", "id", "n", "comp", "sig")
-    dealt = rest.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    more = _confirmed(dealt.mapInArrow(lambda it: _across(it, percent / 100), "a long, b long"), src, k, percent)
-    more = written(more, "links")
-    if not more.isEmpty():
-        joined = components(links.union(more))
     of_class = classes.join(joined, classes["rep"] == joined["node"], "left").select(*same, F.coalesce("component", "rep").alias("component"))
     rows = marks.select("id", *same).join(of_class, same, "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

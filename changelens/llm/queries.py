@@ -32,7 +32,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir), k=4)
+    return minhash.near_duplicates(documents(spark, sf_dir), k=4, percent=80)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
