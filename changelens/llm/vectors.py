@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .shared import components, whole_groups, written
 
 #: Expected rows of a bucket that the number of hashes of a key aims at.
-BUCKET_ROWS = 16
+BUCKET_ROWS = 512
 #: A pair just at the threshold is missed once in so many times.
 MISSED = 2000
 #: Members of a bucket that are compared at once; larger ones are compared block by block.
