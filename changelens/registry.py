@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "j1_orders_with_customer"
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from changelens.plans.queries import ORACLE_SQL, QUERIES
+
+FLAGSHIP = "a14_evidence_fold"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
