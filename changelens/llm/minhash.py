@@ -20,7 +20,7 @@ BLOCK = 1024
 #: Of the 96 stored bytes, so many agree at similarity 0.8 but for a chance of one in ten million.
 AGREE = 56
 #: Word hashes that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _A, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 

@@ -3,9 +3,6 @@ of word counts, and a cut at each source's exact budget."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,32 +66,29 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken", passes.alias("passes"), (F.col("taken") - passes * F.col("size")).cast("long").alias("partial"), "tie")
 
 
-@F.pandas_udf("string")
-def first_words(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def first_words(text, n):
     """The text up to the end of its n-th word."""
-    import re
-
-    word = re.compile(WORD)
-    for texts, counts in batches:
-        yield pd.Series([next((t[: m.end()] for k, m in enumerate(word.finditer(t), 1) if k == n), "") for t, n in zip(texts, counts, strict=True)])
+    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), 1, n), "")
 
 
 def mixed(df: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself, with the columns of df (which has doc_id, text, source): a document stands as often as it
     is taken whole; the document at a source's cut is there with its first words alone. Documents without
-    words, of which the budgets say nothing, stay once. Rows of the same id, source and text share one
-    decision each, however often they are repeated."""
-    plan = mix(df, seed).withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "source", "tie").orderBy(F.desc("taken"))))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("tie").alias("__tie"), "__n", "size", "passes", "partial")
+    words, of which the budgets say nothing, stay once. Rows of the same id, source and text share their passes
+    evenly. Texts are shuffled once, to meet the plan."""
+    passes = F.sum(F.when(F.col("size") == 0, 1).otherwise(F.col("passes")))
+    plan = mix(df, seed).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("tie").alias("__tie")).agg(
+        F.count("*").alias("__n"), passes.alias("__passes"), F.array_sort(F.collect_list(F.when(F.col("partial") > 0, F.col("partial")))).alias("__partial")
+    )
     rows = df.withColumn("__crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    w = Window.partitionBy("doc_id", "source", "__crc").orderBy(F.lit(0))
-    rows = rows.withColumn("__k", F.row_number().over(w))
-    same = rows["doc_id"].eqNullSafe(plan["__id"]) & rows["source"].eqNullSafe(plan["__src"]) & (rows["__crc"] == plan["__tie"]) & (rows["__k"] == plan["__n"])
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("passes"))
-    out = rows.join(plan, same).withColumn("__copies", F.concat(F.array_repeat(F.lit(0), times), F.when(F.col("partial") > 0, F.array("partial")).otherwise(F.array().cast("array<bigint>"))))
-    out = out.withColumn("__cut", F.explode("__copies"))
-    keep = out.where("__cut = 0").select(*df.columns)
-    cut = out.where("__cut > 0").withColumn("text", first_words("text", "__cut"))
+    same = rows["doc_id"].eqNullSafe(plan["__id"]) & rows["source"].eqNullSafe(plan["__src"]) & (rows["__crc"] == plan["__tie"])
+    met = rows.join(plan, same)
+    number = F.row_number().over(Window.partitionBy("__id", "__src", "__tie").orderBy(F.lit(0)))
+    met = met.where("__n = 1").withColumn("__k", F.lit(1)).unionByName(met.where("__n > 1").withColumn("__k", number))
+    own = F.floor(F.col("__passes") / F.col("__n")) + F.when(F.col("__k") <= F.col("__passes") % F.col("__n"), 1).otherwise(0)
+    cuts = F.concat(F.array_repeat(F.lit(0).cast("long"), own.cast("int")), F.slice("__partial", F.col("__k"), F.lit(1)))
+    out = met.withColumn("__cut", F.explode(cuts))
+    out = out.withColumn("text", F.when(F.col("__cut") > 0, first_words(F.col("text"), F.col("__cut").cast("int"))).otherwise(F.col("text")))
     if "n_chars" in df.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(dict(df.dtypes)["n_chars"]))
-    return keep.unionByName(cut.select(*df.columns))
+        out = out.withColumn("n_chars", F.when(F.col("__cut") > 0, F.length("text").cast(dict(df.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return out.select(*df.columns)

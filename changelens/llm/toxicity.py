@@ -18,7 +18,7 @@ SHARD_ROWS, ROUNDS, PASSES = 5_000, 2, 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
 #: Of a document's text, features are gathered for so many words at once.
 WINDOW_WORDS = 200_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 

@@ -1,0 +1,321 @@
+"""Each operator against a brute-force version, and on odd tables: nulls, empty texts, ties, repeated rows, empty
+tables, and further columns with the names that operators use themselves."""
+
+import collections
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from changelens.llm import html, licenses, minhash, mixing, packing, search, sharding, tokens, toxicity, vectors
+from changelens.llm.shared import components
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, id long, n long, length long"
+
+
+def table(spark, rows):
+    """Documents with null ids, texts and sources, repeated rows, and clashing columns."""
+    return spark.createDataFrame([(i, t, None, s, None, -1, "k", -1, -1, -1) for i, t, s in rows], DOCS)
+
+
+LONG = " ".join(f"w{i % 701}x{i % 13}" for i in range(30_000))
+ODD = [
+    (1, "one two three four five six seven", "b"), (2, "ONE two\tthree four five six seven", "a"), (2, "ONE two\tthree four five six seven", "a"),
+    (3, None, None), (4, "", "a"), (5, "  \n ", "b"), (6, LONG, "b"), (7, LONG + " tail", None), (None, "text without id", "c"),
+    (8, "short", "c"), (9, "short", "c"), (10, "x <|endoftext|> y", "a"), (11, "日本 語 x  y z", "é"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return table(spark, ODD)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return table(spark, [])
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_token_counts(odd, none, library):
+    got = sorted(map(tuple, tokens.count_tokens(odd, PATH).collect()), key=str)
+    want = []
+    for i, t, _ in ODD:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        want.append((i, len((t or "").encode()), n, n > 512))
+    assert got == sorted(want, key=str)
+    assert tokens.count_tokens(none, PATH).count() == 0
+
+
+encoder = tokens.Encoder(PATH)
+plain = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t'a1.,é² 　\x1c<|>endoftext")), st.characters(exclude_categories=["Cs"])), max_size=60))
+def test_ids_are_the_library_s(text):
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def packed_ok(rows, size):
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(by)
+
+
+def test_packing(odd, none, library):
+    rows = packing.pack_documents(odd, PATH, 64, 2).collect()
+    packed_ok(rows, 64)
+    got = collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    want = collections.Counter()
+    for i, t, _ in ODD:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        first = len(ids) % 64 or 64
+        for k, a in enumerate([0, *range(first, len(ids), 64)]):
+            part = ids[a : first if k == 0 else a + 64]
+            want[i, k, a, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert got == want
+    assert packing.pack_documents(none, PATH).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 100), st.integers(1, 400), max_size=30))
+def test_packing_plan(histogram):
+    plan = packing.plan_configurations(histogram, 100, rounds=60)
+    got = collections.Counter()
+    for n, held in plan:
+        assert sum(k * v for k, v in held.items()) <= 100
+        for k, v in held.items():
+            got[k] += n * v
+    assert got == collections.Counter(histogram)
+    assert sum(n for n, _ in plan) <= 1.25 * sum(k * v for k, v in histogram.items()) / 100 + sum(v for k, v in histogram.items() if k > 50) + 1
+
+
+def test_sharding(spark, odd, none):
+    rows = sharding.shard_documents(odd, 4).collect()
+    assert collections.Counter((r["doc_id"], r["text_crc32"]) for r in rows) == collections.Counter((i, zlib.crc32((t or "").encode())) for i, t, _ in ODD)
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(slots[s]) for s in range(4)]
+    assert max(sizes) - min(sizes) <= 1
+    assert sharding.shard_documents(none, 4).count() == 0
+    many = spark.range(0, 6000, 1, 7).select("id", "id")
+    placed = sharding.shard(spark.range(0, 6000, 1, 7), 6).collect()
+    # uniform: neighbours of the input end up in different shards, each half of it in each shard about equally
+    halves = collections.Counter((r["shard"], r["id"] < 3000) for r in placed)
+    assert all(abs(n - 500) < 80 for n in halves.values()) and many.count() == len(placed)
+
+
+@pytest.mark.parametrize("good,bad,drawn", [(30, 70, 20), (700_000_000, 900_000_000, 1_000_000_000)])
+def test_hypergeometric(good, bad, drawn):
+    rng = np.random.default_rng(1)
+    x = np.array([sharding.hypergeometric(rng, good, bad, drawn) for _ in range(400)], float)
+    total = good + bad
+    mean, spread = drawn * good / total, np.sqrt(drawn * good / total * bad / total * (total - drawn) / (total - 1))
+    assert abs(x.mean() - mean) < 5 * spread / 20 and 0.8 < x.std() / spread < 1.2
+
+
+def test_mixing(spark, odd, none):
+    rows = mixing.mix(odd).collect()
+    assert collections.Counter(r["doc_id"] for r in rows) == collections.Counter(i for i, *_ in ODD)
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sums = collections.Counter()
+    for _, t, s in ODD:
+        sums[s] += words(t)
+    order = [*sorted(s for s in sums if s is not None), None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    target, left, open_ = dict.fromkeys(order, 0.0), float(sum(sums.values())), set(order)
+    while left > 1e-9 and open_:
+        share, w, left = left, sum(weight[s] for s in open_), 0.0
+        for s in list(open_):
+            target[s] += share * weight[s] / w
+            if target[s] >= 3 * sums[s]:
+                left += target[s] - 3 * sums[s]
+                target[s] = 3.0 * sums[s]
+                open_.discard(s)
+    taken = collections.Counter()
+    for r in rows:
+        assert r["target"] == pytest.approx(target[r["source"]]) and r["source_size"] == sums[r["source"]]
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["passes"] * r["size"] + r["partial"]
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 1.01 for s in order)
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(odd).collect()))
+    out = mixing.mixed(odd)
+    assert out.columns == odd.columns
+    got = collections.Counter()
+    for r in out.collect():
+        got[r["source"]] += words(r["text"])
+    assert all(abs(got[s] - target[s]) <= 1.01 for s in order)
+    assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
+
+
+def brute_components(n, links):
+    least = list(range(n))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    return least
+
+
+def test_components(spark):
+    rng = np.random.default_rng(2)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(k, k + 1) for k in range(60, 90)]
+    want = brute_components(91, links)
+    got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert all(got.get(k, k) == want[k] for k in range(91))
+
+
+def test_near_duplicates(spark, odd, none):
+    rng = np.random.default_rng(3)
+    texts = []
+    for n in (4, 5, 6, 9, 20, 60, 300):
+        for _ in range(4):
+            base = [f"v{x}" for x in rng.integers(0, 5000, n)]
+            texts.append(base)
+            for _ in range(6):
+                copy = list(base)
+                for at in rng.integers(0, n, max(1, n // 60)):
+                    copy[at] = f"z{rng.integers(0, 9999)}"
+                texts.append(copy if rng.random() < 0.5 else copy[: max(1, n - 1)])
+    rows = [(i, " ".join(t), None) for i, t in enumerate(texts)]
+    sets = [{tuple(t[k : k + 4]) for k in range(len(t) - 3)} if len(t) >= 4 else {tuple(t)} for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = brute_components(len(rows), links)
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(table(spark, rows), 4, 80).collect()}
+    assert all(got[k]["component_id"] == want[k] and got[k]["n_shingles"] == len(sets[k]) and got[k]["kept"] == (want[k] == k) for k in got)
+    found = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in minhash.near_duplicates(odd, 4, 80).collect())
+    comp = {i: (n, c, k) for i, n, c, k in found}
+    assert len(found) == len(ODD) and comp["2"][1] == "1" and comp["7"][1] == "6" and comp["9"][1] == "8"
+    assert comp["3"] == (0, "3", True) and comp["4"] == (0, "4", True) and comp["None"][1:] == ("None", True)
+    kept = minhash.deduplicated(odd, 4, 80)
+    assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "10", "11", "3", "4", "5", "6", "8", "None"])
+    assert minhash.near_duplicates(none).count() == 0 and minhash.deduplicated(none).count() == 0
+
+
+def test_large_bucket_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rows = [(k, " ".join([*(f"c{j}" for j in range(60)), f"own{k}"]), None) for k in range(50)]
+    got = minhash.near_duplicates(table(spark, rows), 4, 80).collect()
+    assert {r["component_id"] for r in got} == {0}
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((60, 16))
+    near = np.concatenate([x + 0.12 * rng.standard_normal(x.shape) for _ in range(5)])
+    v = np.concatenate([x, near, x[:3], x[:2] * 2])
+    rows = [(i, [float(c) for c in r]) for i, r in enumerate(v)]
+    extra = [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [None] * 16), (904, []), (905, [1.0, 2.0]), (None, [1.0] * 16), (0, rows[0][1])]
+    df = spark.createDataFrame([(i, e, "x", 1) for i, e in rows + extra], "vec_id long, embedding array<double>, unit string, copies int")
+    got = {}
+    for r in vectors.near_vectors(df, 0.9).collect():
+        got.setdefault(r["vec_id"], []).append(r)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    want = brute_components(len(v), [(a, b) for a in range(len(v)) for b in range(a) if close[a, b]])
+    right = sum(got[k][0]["n_links"] == close[k].sum() - 1 for k in range(len(v)))
+    assert right >= 0.99 * len(v) and sum(got[k][0]["component_id"] == want[k] for k in range(len(v))) >= 0.99 * len(v)
+    assert all(got[k][0]["n_links"] == 0 and got[k][0]["component_id"] == k and got[k][0]["kept"] for k in (900, 901, 902, 903, 904, 905))
+    assert len(got[0]) == 2 and got[None][0]["kept"]
+    assert vectors.near_vectors(df.where("vec_id < 0")).count() == 0
+
+
+def test_search(spark):
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((700, 24)).astype(np.float32)
+    v[10:40] = v[0]
+    rows = [(i, [float(c) for c in r], 0) for i, r in enumerate(v)] + [(2000, None, 0), (2020, [0.0] * 24, 0), (2040, [float("inf")] * 24, 0), (None, [1.0] * 24, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, codes int")
+    got = collections.defaultdict(list)
+    for r in sorted(search.nearest(df, "vec_id % 20 = 0", 10).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    x = v.astype(np.float64)
+    hits = 0
+    assert sorted(got) == list(range(0, 700, 20))
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(len(s)), -np.round(s, 9)))[:10]
+        hits += len({*best.tolist()} & {i for i, _ in found})
+        assert len(found) == 10 and all(abs(s[i] - score) < 1e-9 for i, score in found)
+    assert hits >= 0.9 * 10 * len(got)
+    assert [i for i, _ in got[0][:3]] == [10, 11, 12]
+    few = search.nearest(df.where("vec_id < 4"), "vec_id % 20 = 0", 10)
+    assert few.count() == 3 and search.nearest(df.where("vec_id < 0"), "vec_id % 20 = 0", 10).count() == 0
+
+
+def test_toxicity(spark, odd, none):
+    rng = np.random.default_rng(6)
+    words = [f"n{k}" for k in range(300)]
+    rows, labels = [], []
+    for i in range(1200):
+        text, y = [words[k] for k in rng.integers(0, 300, 40)], int(rng.random() < 0.3)
+        if y:
+            text[int(rng.integers(0, 40))] = "nasty"
+        rows.append((i, " ".join(text), None))
+        labels.append((i, 1, y))
+    labels = spark.createDataFrame([*labels, (5, 1, None), (None, 1, 1), labels[7]], "doc_id long, quality int, toxic int")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.where("toxic IS NOT NULL").collect()}
+    got = toxicity.toxic_scores(table(spark, rows), labels).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) >= 0.97
+    assert toxicity.toxic_scores(odd, labels).count() == len(ODD)
+    assert {r["score"] for r in toxicity.toxic_scores(odd, labels.where("doc_id < 0")).collect()} == {0.0}
+    assert toxicity.toxic_scores(none, labels).count() == 0 and toxicity.accepted(odd, labels).columns == odd.columns
+
+
+def test_licenses(spark, odd, none):
+    texts = [
+        "Released under the MIT License.", "gnu-general  PUBLIC license, CC BY and cc by", "no licence", "Apache\nlicense license apache license",
+        "x " * 50 + licenses.NOTICES["bsd"].replace("conditions", "new conditions", 1) + " y" * 50, "Kmit license MıT license",
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(table(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    assert (got[0]["n_base"], got[0]["first_word"], got[0]["base_labels"], got[0]["score"]) == (1, 3, "mit", 1.0)
+    assert (got[1]["n_base"], got[1]["first_word"], got[1]["last_word"], got[1]["base_labels"]) == (3, 0, 7, "cc-by,gpl")
+    assert (got[2]["n_base"], got[2]["first_word"], got[2]["labels"], got[2]["score"]) == (0, None, "", 0.0)
+    assert (got[3]["n_base"], got[3]["last_word"]) == (2, 3)
+    assert got[4]["labels"] == "bsd" and got[4]["base_labels"] == "" and 0.5 <= got[4]["score"] < 1
+    assert got[5]["n_base"] == 0
+    assert licenses.scan(odd).count() == len(ODD) and licenses.scan(none).count() == 0
+
+
+PAGE = """<!doctype html><head><title>no</title><style>.off, #x {display:none} p{margin:0}</style><body><h1>Head  line</h1>
+<p>one <b>two</b><p>three<br>four<div class=off>hid</div><div id=x>hid</div><span hidden>hid</span><i style="visibility: hidden">hid</i>
+<ul><li>a<li>b<ol start=3><li>c</ol></ul><table><tr><td>k<td>long cell<tr><th>key<td>v</table><pre>x
+  y</pre><script>var a="</p>";</script>&copy; end<!-- no -->"""
+
+
+def test_html(spark):
+    want = "Head line\n\none two\n\nthree\nfour\n\n- a\n- b\n  3. c\n\nk    long cell\nkey  v\n\nx\n  y\n\n© end"
+    assert html.extract(PAGE) == want
+    assert html.extract(None) == html.extract("") == html.extract("<body hidden>x") == ""
+    assert html.extract("a < b & c</b></p>d") == "a < b & c\n\nd"
+    deep = "<ul><li>" * 3000 + "bottom"
+    assert "bottom" in html.extract(deep) and html.extract("<div>" * 5000 + "in") == "in"
+    df = spark.createDataFrame([(1, PAGE, "t"), (2, None, "t"), (2, None, "t")], "page_id long, html string, text string")
+    assert [r["text"] for r in html.extract_text(df).orderBy("page_id").collect()] == [want, "", ""]
+    assert html.extract_text(df.where("page_id < 0")).count() == 0

@@ -1,0 +1,39 @@
+"""The registered queries over the smallest tables, against SQL where there is some, and the pipeline against its parts."""
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from changelens.llm import queries, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    rows = df.collect()
+    assert rows
+    if sql := queries.ORACLE_SQL.get(name):
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+        want = con.sql(sql)
+        columns = sorted(df.columns)
+        assert columns == sorted(want.columns)
+        at = [want.columns.index(c) for c in columns]
+        assert sorted(str([r[c] for c in columns]) for r in rows) == sorted(str([r[k] for k in at]) for r in want.fetchall())
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    clean = corpus_pipeline.drop_toxic(spark, docs, SF)
+    bad = {r["doc_id"] for r in toxicity.toxic_scores(docs, labels).where("predicted = 1").collect()}
+    assert {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - bad
+    alone = corpus_pipeline.drop_near_copies(spark, clean, SF)
+    assert alone.count() == alone.select("doc_id").distinct().count() <= clean.count()
+    mixed = corpus_pipeline.mix_sources(spark, alone, SF)
+    assert mixed.columns == docs.columns
+    packed = corpus_pipeline.run(spark, SF)
+    assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
+    assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
