@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 CORE_SCORE = 50
 
 
-def scored(df: DataFrame, table: Column, delta: Column, verified: Column, critical: Column, accepted: Column) -> DataFrame:
-    """Adds score and core to evidence rows by table, delta, verification and risk.
+def scored(df: DataFrame, table: Column, delta: Column, verified: Column, critical: Column, accepted: Column, relation: Column | None = None) -> DataFrame:
+    """Adds score and core to evidence rows by table, delta, verification, risk and, if given, relation.
 
-    delta, verified, critical and accepted are true, false or null (unknown, as false)."""
+    delta, verified, critical and accepted are true, false or null (unknown, as false). relation divides tables further: same_name and
+    other (method), low_signal (field), owner_changed (import), overridden (inheritance); critical stands for a high risk too where a
+    method has no delta."""
     yes = lambda c: F.coalesce(c, F.lit(False))
     d, v, c, a = yes(delta), yes(verified), yes(critical), yes(accepted)
     method, call, field = table == "method", table == "call", table == "field"
+    rel = F.coalesce(relation, F.lit("")) if relation is not None else F.lit("")
+    weak = (method & (rel == "same_name")) | (field & (rel == "low_signal"))
+    owner_only = (table == "import") & (rel == "owner_changed")
     score = (
-        F.when(method & d & v & a, 25).when(method & d & v, 100).when(method & d, 40).when(method & c, 40).when(method, 30)
+        F.when(weak, F.when(method, 20).otherwise(10)).when(owner_only, F.when(d & v, 50).otherwise(30)).when(method & ~d & (rel == "other"), 20)
+        .when(table == "inheritance", F.when(rel == "overridden", 30).otherwise(20))
+        .when(method & d & v & a, 25).when(method & d & v, 100).when(method & d, 40).when(method & c, 40).when(method, 30)
         .when(call & d & v & c, 90).when(call & d & v, 80).when(call & d, 40).when(call, 20)
         .when(field & d & v & c, 70).when(field & d & v, 60).when(field & d, 40).when(field, 25)
         .when((table == "import") & d & v, 95).when(table == "import", 30)
@@ -24,6 +31,7 @@ def scored(df: DataFrame, table: Column, delta: Column, verified: Column, critic
         .otherwise(20)
     )
     core = (method & d & v & ~a) | ((call | field | (table == "import")) & d & v) | (table == "guard")
+    core = core & ~weak & ~owner_only
     return df.withColumn("score", score).withColumn("core", F.coalesce(core, F.lit(False)))
 
 
