@@ -115,3 +115,50 @@ def occurrences(df: DataFrame, keys: list[str], order: str, value: str) -> DataF
     firsts = df.groupBy(*keys, value).agg(F.min(order).alias("__at"), F.count("*").alias("__n"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("__at", value))), lambda x: x[value])
     return firsts.groupBy(*keys).agg(listed.alias("values"), F.sum("__n").alias("n"))
+
+
+def all_exist(df: DataFrame, targets: DataFrame, keys: list[str], target: str, tree: DataFrame) -> DataFrame:
+    """Drops rows of which a target is not in the tree (column of the same name); rows without targets pass."""
+    lost = targets.where(F.col(target).isNotNull()).join(tree.select(target), target, "left_anti").select(*keys)
+    return df.join(lost, keys, "left_anti")
+
+
+def first_match(df: DataFrame, name: str, candidates: Column, tree: DataFrame, path: str = "path") -> DataFrame:
+    """Adds file: the first of a name's candidate paths that is in the tree; null if none is."""
+    tried = df.select(name).distinct().select(name, F.posexplode(candidates).alias("__pos", path))
+    found = tried.join(tree.select(path), path, "left_semi").groupBy(name).agg(F.min_by(path, "__pos").alias("file"))
+    return df.join(found, name, "left")
+
+
+def rename_aware(df: DataFrame, path: str, tree: DataFrame, renames: DataFrame) -> DataFrame:
+    """Adds resolved: the path if the tree (column path) has it, else what it was renamed to (columns old, new); null if neither."""
+    there = tree.select(F.col("path").alias(path)).distinct().withColumn("__there", F.lit(True))
+    moved = renames.groupBy(F.col("old").alias(path)).agg(F.max("new").alias("__new"))
+    rows = df.join(there, path, "left").join(moved, path, "left")
+    return rows.withColumn("resolved", F.when(F.col("__there"), F.col(path)).otherwise(F.col("__new"))).drop("__there", "__new")
+
+
+def first_in_order(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first n rows by order, with truncated: whether there were more. Each task keeps n + 1 rows at most, and the last one sees no others."""
+    few = df.orderBy(*order).limit(n + 1)
+    everything = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return few.withColumn("__n", F.row_number().over(Window.orderBy(*order))).withColumn("truncated", F.max("__n").over(everything) > n).where(F.col("__n") <= n).drop("__n")
+
+
+def one_sided(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Rows, with repeats, that only one table has, with side: missing or extra."""
+    gone, more = expected.exceptAll(actual), actual.exceptAll(expected)
+    return gone.withColumn("side", F.lit("missing")).unionByName(more.withColumn("side", F.lit("extra")))
+
+
+def manifest_problems(manifest: DataFrame, found: DataFrame) -> DataFrame:
+    """path, problem (outside, absent, differs) of a manifest's files (path, sha256) against those that are there."""
+    there = found.select("path", F.col("sha256").alias("__own"))
+    outside = F.col("path").startswith("/") | F.col("path").rlike(r"(^|/)\.\.(/|$)")
+    problem = F.when(outside, "outside").when(F.col("__own").isNull(), "absent").when(F.col("__own") != F.col("sha256"), "differs")
+    return manifest.join(there, "path", "left").select("path", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def report_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows sorted by columns as text, nulls as empty ones."""
+    return df.orderBy(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))

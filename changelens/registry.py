@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changelens.plans import more  # noqa: F401  (adds its queries)
+from changelens.plans import more, reports  # noqa: F401  (add their queries)
 from changelens.plans.queries import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "a14_evidence_fold"
