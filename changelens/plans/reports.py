@@ -290,8 +290,8 @@ def p7(t):
     return rows.fillna(0, ["files", "additions"])
 
 
-@query("p9_date_or_text", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events")
-def p9(t):
+@query("p1_date_or_text", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events")
+def p1_date(t):
     text = F.when(c("event_id") % 3 == 0, "soon").otherwise(F.date_format(c("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
     return t("events").select("event_id", R.date_or_text(text).alias("day"))
 
