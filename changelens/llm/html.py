@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 # Element classes of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style template noscript iframe noframes noembed object svg math audio video canvas".split())
+RAW = set("script style template noscript iframe noframes noembed object audio video canvas".split())
 TEXT_ONLY = set("title textarea".split())
-HIDDEN = set("head title script style template noscript iframe noframes noembed object svg math audio video canvas datalist meta link base param source track".split())
+HIDDEN = set("head title script style template noscript iframe noframes noembed object audio video canvas datalist meta link base param source track".split())
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split())
 SPACED = set("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 # What a start tag ends if it is open, and where the search for it stops.
@@ -29,20 +29,29 @@ ENDS = {
 }
 CLOSES_P = BLOCK - {"body", "html", "legend", "optgroup", "option"}
 SCOPE = set("table td th caption button".split())
+# SVG and MathML. Where HTML goes on inside them, start tags that end them, and what of them is not drawn itself.
+POINTS = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = set("b big blockquote br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+UNDRAWN = set("defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient annotation annotation-xml".split())
+# The screen for which style sheets are read, in pixels; a pixel's multiple by unit; other features of a screen.
+SCREEN = {"width": 1280.0, "height": 800.0}
+UNITS = {"": 1.0, "px": 1.0, "em": 16.0, "rem": 16.0, "pt": 4 / 3, "in": 96.0, "cm": 96 / 2.54}
+FEATURES = {"orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "scripting": "enabled"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-OFF = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
-SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
+MARK = re.compile(r"\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'|[{};]", re.DOTALL)
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.IGNORECASE)
+COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+BOUND = re.compile(r"(min-|max-)?(width|height)\s*(:|[<>]=?|=)\s*(\d*\.?\d+)([a-z]*)\Z")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "foreign", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], foreign: bool = False):
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -52,10 +61,87 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def build(html: str) -> tuple[Node, set[tuple[str, str]]]:
-    """The tree of a page, and its style sheets' simple selectors that hide elements."""
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries holds for SCREEN. A query with a feature that is not known here does not."""
+
+    def holds(query: str) -> bool:
+        m = re.match(r"(?:(not|only)\s+)?(.*)", query, re.DOTALL)
+        true = True
+        for part in re.split(r"\s*\band\b\s*", m[2]):
+            if part in ("all", "screen"):
+                continue
+            if not part.startswith("("):
+                true = False  # print, speech and other media
+                continue
+            name, _, value = (x.strip() for x in part[1:-1].partition(":"))
+            if b := BOUND.match(part[1:-1].strip()):
+                if b[5] not in UNITS or (b[3] == ":") != (":" in part):
+                    return False
+                have, asked = SCREEN[b[2]], float(b[4]) * UNITS[b[5]]
+                sign = {"min-": ">=", "max-": "<=", None: "="}[b[1]] if b[3] == ":" else b[3]
+                true &= {">=": have >= asked, "<=": have <= asked, ">": have > asked, "<": have < asked, "=": have == asked}[sign]
+            elif name in FEATURES:
+                true &= not value or value == FEATURES[name]
+            else:
+                return False
+        return true != (m[1] == "not")
+
+    return not media.strip() or any(holds(q.strip()) for q in media.lower().split(","))
+
+
+def declared(body: str) -> dict[tuple[str, bool], str]:
+    """The last display and visibility of a list of declarations, by name and importance."""
+    if "isp" not in body.lower() and "isib" not in body.lower():
+        return {}
+    return {(m[1].lower(), bool(m[3])): m[2].lower() for m in DECLARED.finditer(re.sub(r"/\*.*?\*/", "", body, flags=re.DOTALL))}
+
+
+def read_sheet(css: str, rules: dict[str, list]) -> None:
+    """Adds the rules of a style sheet that set display or visibility on a screen, by a mark that an element must have: important,
+    specificity and place, then tag, marks, name and value. Selectors are a tag, classes and ids of one element; others are not read."""
+    css = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->|<!\[CDATA\[|\]\]>", "", css, flags=re.DOTALL)
+    found: list[tuple[int, str, str]] = []
+    blocks: list[list] = [[True, None, "", 0]]  # read, selectors, declarations, place
+    at = 0
+
+    def end(on, selectors, body, place) -> None:
+        if on and selectors:
+            found.append((place, selectors, body))
+
+    for m in MARK.finditer(css):
+        if m[0] not in "{};":
+            continue
+        text, at = css[at : m.start()].strip(), m.end()
+        top = blocks[-1]
+        if m[0] == "{" and text.startswith("@"):
+            name, asked = [*text[1:].replace("(", " (", 1).lower().split(None, 1), "", ""][:2]
+            on = on_screen(asked) if name == "media" else not asked.startswith("not") if name == "supports" else name == "layer"
+            blocks.append([top[0] and on, top[1], "", m.start()])
+        elif m[0] == "{":
+            blocks.append([top[0] and top[1] is None, text, "", m.start()])  # nested selectors are not read
+        else:
+            top[2] += text + ";"
+            if m[0] == "}" and len(blocks) > 1:
+                end(*blocks.pop())
+    blocks[-1][2] += css[at:]
+    for block in blocks:
+        end(*block)
+    base = sum(map(len, rules.values()))
+    for k, (_, selectors, body) in enumerate(sorted(found)):
+        sets = declared(body)
+        for x in re.split(r",(?![^(]*\))", selectors) if sets else ():
+            if (s := COMPOUND.match(x.strip())) and s[0]:
+                tag, marks = "" if s[1] in (None, "*") else s[1].lower(), frozenset(re.findall(r"[.#][\w-]+", s[2]))
+                ids = sum(y[0] == "#" for y in marks)
+                for (name, important), value in sets.items():
+                    rank = (important, ids, len(marks) - ids, bool(tag), base + k)
+                    rules.setdefault(min(marks, default=tag or "*"), []).append((rank, tag, marks, name, value))
+
+
+def build(html: str) -> tuple[Node, dict[str, list]]:
+    """The tree of a page, and the rules of its style sheets."""
     root = Node("html", {})
-    stack, hiding, at = [root], set(), 0
+    stack, rules, at = [root], {}, 0
 
     def close(tags: set[str], stop: set[str]) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -74,8 +160,14 @@ def build(html: str) -> tuple[Node, set[tuple[str, str]]]:
                 stack.pop()
             stack[-1].children.append(unescape(text))
         if not m:
-            return root, hiding
+            return root, rules
         at = m.end()
+        foreign = stack[-1].foreign and stack[-1].tag not in POINTS
+        if foreign and m[0].startswith("<![CDATA["):
+            start, end = m.start() + 9, html.find("]]>", m.start())
+            stack[-1].children.append(html[start : end if end >= 0 else len(html)])
+            at = end + 3 if end >= 0 else len(html)
+            continue
         if not m[2]:
             continue
         tag = m[2].lower()
@@ -95,38 +187,79 @@ def build(html: str) -> tuple[Node, set[tuple[str, str]]]:
             if stack[-1].tag == "head":
                 stack.pop()
             continue
+        if foreign and tag in BREAKOUT:
+            while stack[-1].foreign and stack[-1].tag not in POINTS:
+                stack.pop()
+            foreign = False
         if stack[-1].tag == "head" and tag not in HIDDEN:
             stack.pop()
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and not foreign:
             close({"p"}, SCOPE)
-        if tag in ENDS:
+        if tag in ENDS and not foreign:
             close(*ENDS[tag])
         if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag):
             stack.pop()
-        node = Node(tag, attributes(m[3]) if m[3].strip() else {})
+        node = Node(tag, attributes(m[3]) if m[3].strip() else {}, foreign or tag in ("svg", "math"))
         stack[-1].children.append(node)
-        if tag in RAW or tag in TEXT_ONLY:
+        if node.foreign and m[3].endswith("/"):
+            continue
+        if tag in ("style", "script") or not foreign and (tag in RAW or tag in TEXT_ONLY):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
             inside = html[at : end.start() if end else len(html)]
             at = end.end() if end else len(html)
             if tag in TEXT_ONLY:
                 node.children.append(unescape(inside))
-            if tag == "style":
-                for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", inside, flags=re.DOTALL)):
-                    if OFF.search(body):
-                        hiding |= {(s[1] or "", s[2] or "") for x in selectors.split(",") if (s := SIMPLE.match(x.strip())) and s[0]}
-        elif tag not in VOID and not m[3].endswith("/"):
+            if tag == "style" and on_screen(node.attrs.get("media", "")):
+                read_sheet(inside, rules)
+        elif (foreign or tag not in VOID) and not m[3].endswith("/"):
             stack.append(node)
 
 
-def visible(node: Node, hiding: set[tuple[str, str]]) -> bool:
+def style(node: Node, rules: dict[str, list]) -> tuple[bool, bool | None]:
+    """Whether an element is shown, and whether its own text is hidden (None: as in its parent). What the page says last and most
+    specifically decides: a style attribute before style sheets, and what is important before both."""
     a, tag = node.attrs, node.tag
-    if tag in HIDDEN or "hidden" in a or OFF.search(a.get("style", "")) or (tag == "dialog" and "open" not in a):
-        return False
-    if hiding:
-        marks = ["", *("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])]
-        return not any((t, m) in hiding for t in ("", tag) for m in marks if t or m)
-    return True
+    if tag in HIDDEN or (node.foreign and tag in UNDRAWN):
+        return False, None
+    best: dict[str, tuple] = {}
+    if "hidden" in a or (tag == "dialog" and "open" not in a):
+        best["display"] = ((False, -2), "none")
+    if node.foreign:
+        best |= {k: ((False, -1), a[k].strip().lower()) for k in ("display", "visibility") if k in a}
+    if rules:
+        marks = {*("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])}
+        for key in (*marks, tag, "*"):
+            for rank, t, needed, name, value in rules.get(key, ()):
+                if t in ("", tag) and needed <= marks and rank >= best.get(name, ((False, -3), ""))[0]:
+                    best[name] = (rank, value)
+    if "style" in a:
+        for (name, important), value in declared(a["style"]).items():
+            if (important, float("inf")) >= best.get(name, ((False, -3), ""))[0]:
+                best[name] = ((important, float("inf")), value)
+    seen = best.get("visibility", ("", "inherit"))[1]
+    return best.get("display", ("", ""))[1] != "none", None if seen in ("inherit", "unset", "revert") else seen in ("hidden", "collapse")
+
+
+def prune(root: Node, rules: dict[str, list]) -> None:
+    """Leaves in the tree what a screen shows."""
+    shown, off = style(root, rules)
+    if not shown:
+        root.children = []
+    todo = [(root, bool(off), True)]
+    while todo:
+        node, off, drawn = todo.pop()
+        kept: list = []
+        for c in node.children:
+            if isinstance(c, str):
+                if drawn and not off:
+                    kept.append(c)
+                continue
+            shown, own = style(c, rules)
+            if shown:
+                kept.append(c)
+                # SVG draws the text of its text elements alone
+                todo.append((c, off if own is None else own, drawn if not c.foreign or c.tag == "math" else c.tag != "svg" and (drawn or c.tag in ("text", "foreignobject"))))
+        node.children = kept
 
 
 class Lines:
@@ -181,33 +314,51 @@ class Lines:
         return self.lines
 
 
-def table_rows(node: Node, hiding) -> Iterator[Node]:
+def table_rows(node: Node) -> Iterator[tuple[Node, Node]]:
+    """Rows, each with the group it stands in."""
     for c in node.children:
-        if isinstance(c, Node) and visible(c, hiding):
+        if isinstance(c, Node):
             if c.tag == "tr":
-                yield c
+                yield c, node
             elif c.tag in ("thead", "tbody", "tfoot"):
-                yield from table_rows(c, hiding)
+                yield from table_rows(c)
+
 
+def span(cell: Node, name: str, most: int) -> int:
+    n = cell.attrs.get(name, "1").strip()
+    return min(int(n), most) if n.isdecimal() else 1
 
-def render_table(node: Node, hiding) -> list[str]:
-    """Rows as lines with their cells in columns, each as wide as its widest cell; a cell's lines stand below each other."""
+
+def render_table(node: Node) -> list[str]:
+    """Rows as lines with their cells in columns, each as wide as its widest cell; a cell's lines stand below each other. A cell over
+    several rows keeps its column free in those below, up to the end of their group."""
     out: list[str] = []
     for c in node.children:
-        if isinstance(c, Node) and c.tag not in ("tr", "thead", "tbody", "tfoot") and visible(c, hiding):
-            out += render([c], hiding)
+        if isinstance(c, Node) and c.tag not in ("tr", "thead", "tbody", "tfoot"):
+            out += render([c])
         elif isinstance(c, str) and c.strip():
             out.append(SPACE.sub(" ", c).strip())
     grid: list[list[list[str]]] = []
-    for row in table_rows(node, hiding):
+    group, taken = None, {}  # rows for which a column is still taken
+    for row, inside in table_rows(node):
+        if inside is not group:
+            group, taken = inside, {}
         cells: list[list[str]] = []
+        below = {k: n - 1 for k, n in taken.items() if n > 1}
         for c in row.children:
-            if isinstance(c, Node) and visible(c, hiding):
-                cells.append(render(c.children if c.tag in ("td", "th") else [c], hiding))
-                span = c.attrs.get("colspan", "1")
-                cells += [[]] * (min(int(span), 100) - 1 if span.isdigit() and int(span) else 0)
-            elif isinstance(c, str) and c.strip():
+            if isinstance(c, str) and not c.strip():
+                continue
+            while len(cells) in taken:
+                cells.append([])
+            if isinstance(c, str):
                 cells.append([SPACE.sub(" ", c).strip()])
+                continue
+            wide = max(span(c, "colspan", 100), 1)
+            if rows := (span(c, "rowspan", 65534) or 65534) - 1:
+                below |= {k: max(rows, below.get(k, 0)) for k in range(len(cells), len(cells) + wide)}
+            cells.append(render(c.children if c.tag in ("td", "th") else [c]))
+            cells += [[]] * (wide - 1)
+        taken = below
         grid.append(cells)
     wide = [max((len(x) for r in grid if k < len(r) for x in r[k]), default=0) for k in range(max(map(len, grid), default=0))]
     for r in grid:
@@ -218,7 +369,7 @@ def render_table(node: Node, hiding) -> list[str]:
     return out
 
 
-def render(children: list, hiding, out: Lines | None = None, pre: bool = False) -> list[str]:
+def render(children: list, out: Lines | None = None, pre: bool = False) -> list[str]:
     out = out or Lines()
     # an explicit stack: pages may nest deeper than Python's calls do
     todo: list = [("in", c, pre) for c in reversed(children)]
@@ -230,8 +381,6 @@ def render(children: list, hiding, out: Lines | None = None, pre: bool = False)
             out.gap()
         elif isinstance(c, str):
             out.exact(c) if pre else out.text(c)
-        elif not visible(c, hiding):
-            continue
         elif c.tag == "br":
             out.now += "" if out.now else " "
             out.line()
@@ -239,7 +388,7 @@ def render(children: list, hiding, out: Lines | None = None, pre: bool = False)
             out.gap()
         elif c.tag == "table":
             out.gap()
-            out.block(render_table(c, hiding))
+            out.block(render_table(c))
             out.gap()
         elif c.tag in ("ul", "ol", "menu"):
             start = c.attrs.get("start", "1")
@@ -248,9 +397,9 @@ def render(children: list, hiding, out: Lines | None = None, pre: bool = False)
             for item in c.children:
                 if isinstance(item, str):
                     lines += [SPACE.sub(" ", item).strip()] if item.strip() else []
-                elif visible(item, hiding):
+                else:
                     mark = f"{number}. " if c.tag == "ol" else "- "
-                    body = [x for x in render(item.children if item.tag == "li" else [item], hiding) if x]
+                    body = [x for x in render(item.children if item.tag == "li" else [item]) if x]
                     if item.tag == "li":
                         number += 1
                         lines += [(mark if k == 0 else " " * len(mark)) + x for k, x in enumerate(body)]
@@ -260,7 +409,7 @@ def render(children: list, hiding, out: Lines | None = None, pre: bool = False)
             out.block(lines)
             out.gap()
         else:
-            edge = "gap" if c.tag in SPACED else "line" if c.tag in BLOCK else ""
+            edge = "gap" if c.tag in SPACED else "line" if c.tag in BLOCK or (c.foreign and c.tag == "text") else ""
             if edge:
                 out.gap() if edge == "gap" else out.line()
                 todo.append((edge, None, pre))
@@ -274,18 +423,17 @@ def extract(html: str | None) -> str:
     are read as plain text of their visible parts, one line for each."""
     if not html:
         return ""
-    root, hiding = build(html)
-    if not visible(root, hiding):
-        return ""
+    root, rules = build(html)
+    prune(root, rules)
     try:
-        lines = render(root.children, hiding)
+        lines = render(root.children)
     except RecursionError:
         lines, todo = [], [root]
         while todo:
             c = todo.pop()
             if isinstance(c, str):
                 lines += [SPACE.sub(" ", c).strip()] if c.strip() else []
-            elif visible(c, hiding):
+            else:
                 todo += reversed(c.children)
     return "\n".join(x.rstrip() for x in lines).strip("\n")
 

@@ -319,3 +319,32 @@ def test_html(spark):
     df = spark.createDataFrame([(1, PAGE, "t"), (2, None, "t"), (2, None, "t")], "page_id long, html string, text string")
     assert [r["text"] for r in html.extract_text(df).orderBy("page_id").collect()] == [want, "", ""]
     assert html.extract_text(df.where("page_id < 0")).count() == 0
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<style>@media print { .a {display:none} } @media (max-width: 600px) { .b {display:none} }</style><p class=a>one<p class=b>two", "one\n\ntwo"),
+    ("<style>@media screen and (min-width: 600px) { .a {display:none} } @media not print{.b{display:none}}</style><p class=a>one<p class=b>two<p>three", "three"),
+    ("<style media=print>.a{display:none}</style><style>@font-face{font-family:x;src:url(y)}@keyframes p{from{visibility:hidden}}.b{display:none}</style><p class=a>one<p class=b>two", "one"),
+    ("<style>.a{display:none} .a{display:block} .b{display:block} .b{visibility:hidden}</style><p class=a>one<p class=b>two", "one"),
+    ("<style>#i{display:block} p{display:none} .c.d{display:block} .e{display:none!important}</style><p id=i>one<p class='c d'>two<p class=c>three<p class=e style='display:block'>four", "one\n\ntwo"),
+    ("<style>.a{display:block}</style><p class=a hidden>one<p hidden>two<p style='visibility:hidden'>three<b style='visibility:visible'>four</b>", "one\n\nfour"),
+])
+def test_html_styles(page, want):
+    assert html.extract(page) == want
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<p>a <svg><title>no</title><defs><text>no</text></defs> no <text>one</text><g><text><tspan>two</tspan></text></g></svg> b", "a\none\ntwo\nb"),
+    ("<p>a <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>no</annotation></semantics></math> b", "a x=1 b"),
+    ("<p>a <svg width='1'/> b <math/> c", "a b c"),
+    ("<p>a <svg><path d='M0'><p>b</p><div>c</div>", "a\n\nb\n\nc"),
+    ("<svg><foreignObject><p>in<p>side</foreignObject><text><![CDATA[a<b]]></text></svg>", "in\n\nside\n\na<b"),
+])
+def test_html_foreign(page, want):
+    assert html.extract(page) == want
+
+
+def test_html_rowspan():
+    assert html.extract("<table><tr><td rowspan=2>a<td>b<td rowspan=0>c<tr><td>d<tr><td>e<td>f</table>") == "a  b  c\n   d\ne  f"
+    assert html.extract("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>") == "a    b\n     c"
+    assert html.extract("<table><thead><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>") == "a  b\nc  d"
