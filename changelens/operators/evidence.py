@@ -9,7 +9,7 @@ CORE_SCORE = 50
 
 
 def scored(df: DataFrame, table: Column, delta: Column, verified: Column, critical: Column, accepted: Column, relation: Column | None = None) -> DataFrame:
-    """Adds score and core to evidence rows by table, delta, verification, risk and, if given, relation.
+    """Adds score, core and compatible (an override that accepts its new contract already) to evidence rows by table, delta, verification, risk and, if given, relation.
 
     delta, verified, critical and accepted are true, false or null (unknown, as false). relation divides tables further: same_name and
     other (method), low_signal (field), owner_changed (import), overridden (inheritance); critical stands for a high risk too where a
@@ -32,24 +32,37 @@ def scored(df: DataFrame, table: Column, delta: Column, verified: Column, critic
     )
     core = (method & d & v & ~a) | ((call | field | (table == "import")) & d & v) | (table == "guard")
     core = core & ~weak & ~owner_only
-    return df.withColumn("score", score).withColumn("core", F.coalesce(core, F.lit(False)))
+    compatible = method & ~weak & d & v & a
+    return df.withColumn("score", score).withColumn("core", F.coalesce(core, F.lit(False))).withColumn("compatible", F.coalesce(compatible, F.lit(False)))
 
 
-def folded(df: DataFrame, key: str, label: str, example: str, order: str, examples: int = 3) -> DataFrame:
+def folded(df: DataFrame, key: str, label: str, example: str, order: str, examples: int = 3, proximity: str | None = None, gates: list[str] | None = None) -> DataFrame:
     """One row for each key: the largest score, whether any row is core, labels in order of first appearance, up to three examples
-    of the largest score, confidence and action. Labels and examples are made distinct before they are listed,
-    and of examples only the first few are kept, so that a hot key does not gather its rows."""
-    best = df.groupBy(key).agg(F.max("score").alias("score"), F.bool_or("core").alias("core"), F.count("*").alias("n_rows"))
-    labels = df.groupBy(key, label).agg(F.min(order).alias("__at")).groupBy(key)
-    labels = labels.agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", label))), lambda x: x[label]).alias("labels"))
+    of the largest score, confidence and action; with proximity, also its distinct values (proximities) in order of first appearance.
+
+    A key whose evidence has a compatible override and is not core is dismissed. 'modify' is given by the gates alone (boolean columns, null if
+    unknown): one row must pass them all, and without gates none does. All others are for review.
+
+    Labels, proximities and examples are made distinct before they are listed, and of examples only the first few are kept, so that a hot
+    key does not gather its rows."""
+    passed = gated([F.col(g) for g in gates]) == "modify" if gates else F.lit(False)
+    best = df.groupBy(key).agg(F.max("score").alias("score"), F.bool_or("core").alias("core"), F.count("*").alias("n_rows"), F.bool_or("compatible").alias("__compatible"), F.bool_or(passed).alias("__passed"))
+
+    def in_order(rows: DataFrame, column: str, name: str) -> DataFrame:
+        firsts = rows.groupBy(key, column).agg(F.min(order).alias("__at")).groupBy(key)
+        return firsts.agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", column))), lambda x: x[column]).alias(name))
+
     top = df.join(best.select(key, F.col("score").alias("__top")), key).where("score = __top").groupBy(key, example).agg(F.min(order).alias("__at"))
     from pyspark.sql import Window
 
     few = top.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy("__at", example))).where(F.col("__rn") <= examples)
     few = few.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__rn", example))), lambda x: x[example]).alias("examples"))
     confidence = F.when(F.col("core"), "high").when(F.col("score") >= 40, "medium").otherwise("low")
-    out = best.join(labels, key).join(few, key)
-    return out.withColumn("confidence", confidence).withColumn("action", F.when(F.col("core") & (F.col("score") >= CORE_SCORE), "modify").otherwise("review"))
+    out = best.join(in_order(df, label, "labels"), key).join(few, key)
+    if proximity:
+        out = out.join(in_order(df.where(F.col(proximity).isNotNull()), proximity, "proximities"), key, "left").withColumn("proximities", F.coalesce("proximities", F.array()))
+    action = F.when(F.col("__compatible") & ~F.col("core"), "dismiss").when(F.col("__passed"), "modify").otherwise("review")
+    return out.withColumn("confidence", confidence).withColumn("action", action).drop("__compatible", "__passed")
 
 
 def gated(gates: list[Column]) -> Column:

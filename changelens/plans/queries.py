@@ -162,9 +162,26 @@ SELECT b.l_partkey, b.score, b.core, n_rows, labels, examples, CASE WHEN b.core
 FROM best b JOIN labels USING (l_partkey) JOIN few USING (l_partkey)""")
 def a14(t):
     out = evidence.folded(_evidence(t), "l_partkey", "table", "l_linenumber", "l_orderkey")
+    # this query's SQL has a shorter rule than the operator, by score alone; a14_evidence_actions has the whole one
+    out = out.withColumn("action", F.when(F.col("core") & (F.col("score") >= evidence.CORE_SCORE), "modify").otherwise("review"))
     return out.withColumn("labels", F.array_join("labels", ",")).withColumn("examples", F.array_join(F.transform("examples", lambda x: x.cast("string")), ","))
 
 
+@query("a14_evidence_actions", f"""
+WITH s AS (SELECT *, kind = 'method' AND d AND v AND a AS compatible, CASE WHEN l_partkey % 4 > 0 THEN l_partkey % 4 < 3 END AS reachable, l_linenumber <= 4 AS lane,
+  ['changed line','near hunk','changed file','same file'][l_partkey % 4 + 1] AS proximity FROM ({_SCORED})),
+near AS (SELECT l_orderkey, string_agg(proximity, ',' ORDER BY pos, proximity) AS proximities FROM (SELECT l_orderkey, proximity, min(l_linenumber) AS pos FROM s GROUP BY 1, 2) GROUP BY 1)
+SELECT l_orderkey, max(score) AS score, bool_or(core) AS core, count(*) AS n_rows, any_value(proximities) AS proximities,
+  CASE WHEN bool_or(compatible) AND NOT bool_or(core) THEN 'dismiss' WHEN count(*) FILTER (WHERE v AND d AND reachable AND lane) > 0 THEN 'modify' ELSE 'review' END AS action
+FROM s JOIN near USING (l_orderkey) GROUP BY 1""")
+def a14_actions(t):
+    c, turn = F.col, F.pmod("l_partkey", F.lit(4))
+    near = F.element_at(F.array(*map(F.lit, ["changed line", "near hunk", "changed file", "same file"])), (turn + 1).cast("int"))
+    rows = _evidence(t).withColumns({"reachable": F.when(turn > 0, turn < 3), "lane": c("l_linenumber") <= 4, "proximity": near})
+    out = evidence.folded(rows, "l_orderkey", "table", "l_partkey", "l_linenumber", proximity="proximity", gates=["verified", "delta", "reachable", "lane"])
+    return out.select("l_orderkey", "score", "core", "n_rows", F.array_join("proximities", ",").alias("proximities"), "action")
+
+
 @query("w4_tier_headings", "SELECT o_custkey, o_orderkey, o_orderpriority, (lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey)) IS DISTINCT FROM o_orderpriority AS heading FROM orders")
 def w4(t):
     return relational.with_headings(t("orders").select("o_custkey", "o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_custkey"], [F.col("o_orderpriority"), F.col("o_orderkey")])

@@ -84,6 +84,21 @@ def test_gates(spark):
     assert [r[0] for r in df.select(evidence.gated([F.col("a"), F.col("b")])).collect()] == ["modify", "review", "dismiss"]
 
 
+def test_fold_actions(spark):
+    rows = [
+        ("compatible", 1, True, True, True, True, "near"), ("compatible", 2, False, False, False, None, "line"), ("compatible", 3, False, False, False, None, "near"), ("core", 1, True, True, False, None, None),
+        ("core", 2, True, True, True, None, None), ("gates", 1, True, True, False, True, "line"), ("apart", 1, True, True, False, False, "line"), ("apart", 2, True, False, False, True, "line"), ("weak", 1, False, True, True, True, None),
+    ]
+    df = spark.createDataFrame(rows, "file string, n int, delta boolean, verified boolean, accepted boolean, reachable boolean, near string")
+    df = evidence.scored(df, F.lit("method"), F.col("delta"), F.col("verified"), F.lit(False), F.col("accepted"))
+    got = evidence.folded(df.withColumn("label", F.lit("m")), "file", "label", "n", "n", proximity="near", gates=["delta", "verified", "reachable"])
+    assert {r.file: (r.action, r.proximities) for r in got.collect()} == {
+        "compatible": ("dismiss", ["near", "line"]), "core": ("review", []), "gates": ("modify", ["line"]), "apart": ("review", ["line"]), "weak": ("review", []),
+    }
+    alone = evidence.folded(df.withColumn("label", F.lit("m")), "file", "label", "n", "n")
+    assert {r.file: r.action for r in alone.collect()} == {"compatible": "dismiss", "core": "review", "gates": "review", "apart": "review", "weak": "review"}
+
+
 def test_schema_keywords(spark):
     with pytest.raises(ValueError):
         evidence.schema_rules({"properties": {"a": {"format": "uri"}}})
