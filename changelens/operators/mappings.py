@@ -60,20 +60,39 @@ def downgraded(df: DataFrame) -> DataFrame:
     })
 
 
-def one_per_key(df: DataFrame, keys: list[str], order: str, occurrence: list[str], relation: str = "source_relation") -> DataFrame:
-    """The best row of each key by risk, then verification, then order, with occurrences (distinct, by first order), source_indexes and
-    source_relations, all of the key's rows. Null key parts are equal to each other.
+def winners(df: DataFrame, keys: list[str], order: str, relation: str = "source_relation") -> DataFrame:
+    """The best row of each key by risk, then verification, then order, with n_sources, the number of the key's rows, and source_relations,
+    their kinds. Null key parts are equal to each other.
 
-    One grouping without a window: the winner is a minimum. The lists hold a key's rows, which is their purpose."""
+    One grouping without a window: the winner is a minimum, and a key's rows are counted in parts, not gathered. Where they come
+    from is a table of its own: provenance() and occurrences()."""
     rest = [c for c in df.columns if c not in keys]
     rank = F.struct(-risk_rank(F.col("risk")), ~F.coalesce("relationship_verified", F.lit(False)), F.col(order))
-    firsts = df.groupBy(*keys, *occurrence).agg(F.min(order).alias("__at")).groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys])
-    listed = firsts.agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", *occurrence))), lambda x: F.struct(*[x[c].alias(c) for c in occurrence])).alias("occurrences"))
-    best = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), rank).alias("__best"), F.array_sort(F.collect_list(order)).alias("source_indexes"), F.array_sort(F.collect_set(relation)).alias("source_relations"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    return best.join(listed, same).select(*keys, "__best.*", "occurrences", "source_indexes", "source_relations")
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("__best"), F.count("*").alias("n_sources"), F.array_sort(F.collect_set(relation)).alias("source_relations"))
+    return best.select(*keys, "__best.*", "n_sources", "source_relations")
+
+
+def provenance(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Each row's key and source_index, to stand beside winners()."""
+    return df.select(*keys, F.col(order).alias("source_index"))
+
+
+def occurrences(df: DataFrame, keys: list[str], order: str, occurrence: list[str]) -> DataFrame:
+    """Each key's distinct occurrences with source_index, the first of each, to stand beside winners()."""
+    return df.groupBy(*keys, *[c for c in occurrence if c not in keys]).agg(F.min(order).alias("source_index"))
+
+
+def one_per_key(df: DataFrame, keys: list[str], order: str, occurrence: list[str], relation: str = "source_relation") -> DataFrame:
+    """winners() with occurrences (distinct, by first order) and source_indexes as lists, for tables whose keys are known to have few rows:
+    a list holds all rows of its key."""
+    same = lambda prefix: [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
+    named = lambda prefix: [F.col(k).alias(f"{prefix}{k}") for k in keys]
+    listed = occurrences(df, keys, order, occurrence).groupBy(*named("__k_"))
+    listed = listed.agg(F.transform(F.array_sort(F.collect_list(F.struct("source_index", *occurrence))), lambda x: F.struct(*[x[c].alias(c) for c in occurrence])).alias("occurrences"))
+    indexes = provenance(df, keys, order).groupBy(*named("__i_")).agg(F.array_sort(F.collect_list("source_index")).alias("source_indexes"))
+    best = winners(df, keys, order, relation)
+    rest = [c for c in df.columns if c not in keys]
+    return best.join(listed, same("__k_")).join(indexes, same("__i_")).select(*keys, *rest, "occurrences", "source_indexes", "source_relations")
 
 
 def first_published(df: DataFrame, parts: list[str], order: str) -> DataFrame:

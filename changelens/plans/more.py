@@ -229,14 +229,14 @@ FROM lineitem WHERE EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p
 def _optimized(t):
     rows = _relations(t)
     kept = mappings.existing_only(rows, ["file"], t("part").where("p_size >= 10").select(c("p_partkey").alias("path")))
-    return rows, kept, mappings.one_per_key(mappings.downgraded(kept), ["file", "owner"], "idx", ["relation", "risk"])
+    return rows, kept, mappings.winners(mappings.downgraded(kept), ["file", "owner"], "idx")
 
 
 @query("m_optimized_mappings", f"""WITH r AS ({_RELATIONS}), n AS (SELECT file, owner, count(*) AS n_sources, string_agg(DISTINCT relation, ',' ORDER BY relation) AS relations FROM r GROUP BY 1, 2)
 SELECT file, owner, ['low','medium','high','critical'][risk + 1] AS risk, ok AS verified, idx, n_sources, relations FROM (SELECT *, row_number() OVER (PARTITION BY file, owner ORDER BY risk DESC, ok DESC, idx) AS rn FROM r) JOIN n USING (file, owner) WHERE rn = 1""")
 def m(t):
     out = _optimized(t)[2]
-    return out.select("file", "owner", "risk", c("relationship_verified").alias("verified"), "idx", F.size("source_indexes").cast("long").alias("n_sources"), F.array_join("source_relations", ",").alias("relations"))
+    return out.select("file", "owner", "risk", c("relationship_verified").alias("verified"), "idx", "n_sources", F.array_join("source_relations", ",").alias("relations"))
 
 
 @query("a19_mapping_statistics", f"SELECT (SELECT count(*) FROM lineitem) AS input_total, count(DISTINCT (file, owner)) AS output_total, (SELECT count(*) FROM lineitem) - count(*) AS removed_total, count(*) - count(DISTINCT (file, owner)) AS deduplicated FROM ({_RELATIONS})")

@@ -5,6 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from changelens import registry
 from changelens.operators import contracts, decisions, evidence, mappings
 
 
@@ -98,6 +99,20 @@ def test_mappings(spark):
     assert [r.idx for r in mappings.first_published(df, ["file", "owner"], "idx").orderBy("idx").collect()] == [0, 6]
 
 
+def test_provenance_of_a_hot_key(spark):
+    hot = spark.range(3000).select(F.col("id").alias("idx"), F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id")).cast("string").alias("file"), F.lit("o").alias("owner"))
+    hot = hot.withColumns({"relation": F.when(F.col("idx") % 2 == 0, "call").otherwise("override"), "risk": F.lit("low"), "relationship_verified": F.col("idx") == 2999, "verification_status": F.lit("verified")})
+    keys, rows = ["file", "owner"], mappings.downgraded(hot)
+    best = mappings.winners(rows, keys, "idx")
+    assert best.count() == 1001
+    assert [(r.idx, r.n_sources, r.source_relations) for r in best.where("file IS NULL").collect()] == [(2999, 2000, ["call", "override"])]
+    found = mappings.provenance(rows, keys, "idx").where("file IS NULL")
+    assert sorted(r.source_index for r in found.collect()) == [k for k in range(3000) if k % 3]
+    assert sorted((r.relation, r.source_index) for r in mappings.occurrences(rows, keys, "idx", ["relation"]).where("file IS NULL").collect()) == [("call", 2), ("override", 1)]
+    plan = registry.QUERIES["m_optimized_mappings"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "n_sources" in plan
+
+
 def test_mapping_rewrites(spark):
     df = spark.createDataFrame([("Config", "old.py", "m.Config", "f", "critical"), ("Other", "o.py", "m.call", "f", "odd"), (None, None, "Config", "__init__", None)], "owner string, file string, callee string, member string, risk string")
     assert [r.file for r in mappings.canonical_files(df, "owner", "file", {"Config": "config.py"}).collect()] == ["config.py", "o.py", None]
