@@ -110,14 +110,12 @@ def plan_configurations(histogram: dict[int, int], size: int, rounds: int = 1500
     configuration can still be full; favour prices long items above their share of a sequence, for short ones
     fit in anywhere later. The configurations found are used as often as their fractional amount,
     rounded down and never beyond what is left, largest amounts first; what is left is packed best-fit
-    decreasing. The better of this and of best-fit decreasing alone is returned. The histogram has size
-    entries at most, whatever the number of documents."""
+    decreasing. The histogram has size entries at most, whatever the number of documents."""
     demand = {k: v for k, v in histogram.items() if v > 0}
-    fallback = _best_fit(demand, size)
     whole = {k: v for k, v in demand.items() if k == size}
     rest = {k: v for k, v in demand.items() if k < size}
     if not rest:
-        return fallback
+        return [(n, {size: 1}) for n in whole.values()]
     lengths = np.array(sorted(rest))
     need = np.array([rest[int(x)] for x in lengths], float)
     place = {int(x): i for i, x in enumerate(lengths)}
@@ -145,8 +143,7 @@ def plan_configurations(histogram: dict[int, int], size: int, rounds: int = 1500
             out.append((n, dict(key)))
             for length, copies in key:
                 left[length] -= n * copies
-    out += _best_fit(left, size)
-    return out if sum(n for n, _ in out) < sum(n for n, _ in fallback) else fallback
+    return out + _best_fit(left, size)
 
 
 def layout(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:

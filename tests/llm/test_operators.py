@@ -108,6 +108,16 @@ def test_packing_plan(histogram):
     assert sum(n for n, _ in plan) <= 1.25 * sum(k * v for k, v in histogram.items()) / 100 + sum(v for k, v in histogram.items() if k > 50) + 1
 
 
+def test_packing_plan_is_the_programs(monkeypatch):
+    histogram = {k: 3000 // k for k in range(1, 100)}
+    asked, best_fit = [], packing._best_fit
+    monkeypatch.setattr(packing, "_best_fit", lambda demand, size: asked.append(dict(demand)) or best_fit(demand, size))
+    plan = packing.plan_configurations(histogram, 100, rounds=60)
+    assert len(asked) == 1  # for what rounding leaves, never for all
+    assert 2 * sum(k * v for k, v in asked[0].items()) < sum(k * v for k, v in histogram.items())
+    assert plan[-1:] == best_fit(asked[0], 100)[-1:]
+
+
 def test_sharding(spark, odd, none):
     rows = sharding.shard_documents(odd, 4).collect()
     assert collections.Counter((r["doc_id"], r["text_crc32"]) for r in rows) == collections.Counter((i, zlib.crc32((t or "").encode())) for i, t, _ in ODD)
