@@ -29,8 +29,8 @@ REMEMBERED = 500_000
 class Encoder:
     """Token ids of texts as the library gives them for the whole text.
 
-    A text is cut at safe boundaries; pieces that this worker has not seen are encoded in batches of about
-    equal bytes, others are remembered. That holds memory down for texts of any length, and repeated words
+    A text is cut at safe boundaries; the pieces of one text that this worker has not seen are encoded in
+    batches of about BATCH_CHARS characters at most, others are remembered. That holds memory down for texts of any length, and repeated words
     cost a dictionary look-up. If the vocabulary lies beside the file as ranks (name.tiktoken for name.json), new pieces
     of plain characters are encoded in one string with it, which is faster and gives the same ids; others,
     and those with a special token's string, go to the tokenizer itself.
