@@ -38,13 +38,29 @@ SCREEN = {"width": 1280.0, "height": 800.0}
 UNITS = {"": 1.0, "px": 1.0, "em": 16.0, "rem": 16.0, "pt": 4 / 3, "in": 96.0, "cm": 96 / 2.54}
 FEATURES = {"orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "scripting": "enabled"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-MARK = re.compile(r"\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'|[{};]", re.DOTALL)
-DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.IGNORECASE)
-COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
-BOUND = re.compile(r"(min-|max-)?(width|height)\s*(:|[<>]=?|=)\s*(\d*\.?\d+)([a-z]*)\Z")
+# All patterns are read in time that grows with the text: what may repeat is possessive, and what is not closed ends with the page.
+MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.DOTALL)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: The usual case of a tag's attributes up to its end, all well formed.
+WELL_FORMED = re.compile(r"((?:\s++[^\s/>=\"'<]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'=<`]++))?+)*+\s*+/?)>")
+ATTRIBUTE = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?+")
+GAP = re.compile(r"[\s/]*+")
+MARK = re.compile(r"\"(?:\\.|[^\"\\])*+(?:\"|\Z)|'(?:\\.|[^'\\])*+(?:'|\Z)|[{};]", re.DOTALL)
+DECLARED = re.compile(r"(?:^|;)\s*+(display|visibility)\s*+:\s*+([a-z-]++)[^;!]*+(!\s*+important)?", re.IGNORECASE)
+SELECTOR = re.compile(r"(?:[^,(]++|\([^)]*+\)?)++")
+COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*+)?((?:[.#][\w-]++)*+)\Z")
+BOUND = re.compile(r"(min-|max-)?(width|height)\s*+(:|[<>]=?|=)\s*+(\d++(?:\.\d++)?|\.\d++)([a-z]*+)\Z")
 SPACE = re.compile(r"[ \t\n\r\f]+")
+NUMBER = re.compile(r"[ \t\n\r\f]*+([+-]?)0*+([0-9]++)?")
+LONG_REFERENCE = re.compile(r"&#([xX]?)0*+([0-9a-fA-F]{8,}+|(?=[0-9a-fA-F])[0-9a-fA-F]*+)(;?)")
+HEADINGS = {f"h{k}" for k in range(1, 7)}
+
+# How far layout goes; no text depends on it. A column is padded to the widest of its lines that are no longer than COLUMN, cells are
+# moved to their column within the first WIDTH characters of a line, only the first COLUMNS columns are kept free below a cell over several rows,
+# items of lists are indented by INDENT characters at most, and tables inside TABLES others are written cell by cell. So time and output stay within
+# a multiple of the page, however it nests.
+COLUMN, WIDTH, COLUMNS, INDENT, TABLES = 80, 240, 1024, 64, 8
 
 
 class Node:
@@ -54,20 +70,55 @@ class Node:
         self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign
 
 
+def number(text: str | None, default: int, least: int, most: int) -> int:
+    """The whole number that an attribute begins with, held between least and most; the default if there is none."""
+    m = NUMBER.match(text or "")
+    if m is None or (m[2] is None and "0" not in m[0]):
+        return default
+    value = int((m[2] or "0")[:10])
+    return max(least, min(most, -value if m[1] == "-" else value))
+
+
+def unescaped(text: str) -> str:
+    """Character references resolved; a number with too many digits for a character is U+FFFD."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = LONG_REFERENCE.sub(lambda m: "\ufffd" if len(m[2]) > 7 else f"&#{m[1]}{m[2] or '0'}{m[3]}", text)
+    return unescape(text)
+
+
 def attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
-    for m in ATTRIBUTE.finditer(raw):
-        out.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    at = GAP.match(raw).end()
+    while at < len(raw):
+        m = ATTRIBUTE.match(raw, at)
+        out.setdefault(m[1].lower(), unescaped(m[2] or m[3] or m[4] or ""))
+        at = GAP.match(raw, m.end()).end()
     return out
 
 
+def tag_end(html: str, at: int) -> tuple[str, int] | None:
+    """The attributes that begin at a place, as they stand there, and where the tag has ended; None if the page ends before."""
+    if m := WELL_FORMED.match(html, at):
+        return m[1], m.end()
+    start = at
+    while True:
+        at = GAP.match(html, at).end()
+        if at >= len(html):
+            return None
+        if html[at] == ">":
+            return html[start:at], at + 1
+        at = ATTRIBUTE.match(html, at).end()
+
+
 def on_screen(media: str) -> bool:
     """Whether a list of media queries holds for SCREEN. A query with a feature that is not known here does not."""
 
     def holds(query: str) -> bool:
         m = re.match(r"(?:(not|only)\s+)?(.*)", query, re.DOTALL)
         true = True
-        for part in re.split(r"\s*\band\b\s*", m[2]):
+        for part in re.split(r" ?\band\b ?", m[2]):
             if part in ("all", "screen"):
                 continue
             if not part.startswith("("):
@@ -86,14 +137,15 @@ def on_screen(media: str) -> bool:
                 return False
         return true != (m[1] == "not")
 
-    return not media.strip() or any(holds(q.strip()) for q in media.lower().split(","))
+    media = " ".join(media.lower().split())
+    return not media or any(holds(q.strip()) for q in media.split(","))
 
 
 def declared(body: str) -> dict[tuple[str, bool], str]:
     """The last display and visibility of a list of declarations, by name and importance."""
     if "isp" not in body.lower() and "isib" not in body.lower():
         return {}
-    return {(m[1].lower(), bool(m[3])): m[2].lower() for m in DECLARED.finditer(re.sub(r"/\*.*?\*/", "", body, flags=re.DOTALL))}
+    return {(m[1].lower(), bool(m[3])): m[2].lower() for m in DECLARED.finditer(re.sub(r"/\*.*?(?:\*/|\Z)", "", body, flags=re.DOTALL))}
 
 
 def read_sheet(css: str, rules: dict[str, list]) -> None:
@@ -129,7 +181,7 @@ def read_sheet(css: str, rules: dict[str, list]) -> None:
     base = sum(map(len, rules.values()))
     for k, (_, selectors, body) in enumerate(sorted(found)):
         sets = declared(body)
-        for x in re.split(r",(?![^(]*\))", selectors) if sets else ():
+        for x in SELECTOR.findall(selectors) if sets else ():
             if (s := COMPOUND.match(x.strip())) and s[0]:
                 tag, marks = "" if s[1] in (None, "*") else s[1].lower(), frozenset(re.findall(r"[.#][\w-]+", s[2]))
                 ids = sum(y[0] == "#" for y in marks)
@@ -138,84 +190,135 @@ def read_sheet(css: str, rules: dict[str, list]) -> None:
                     rules.setdefault(min(marks, default=tag or "*"), []).append((rank, tag, marks, name, value))
 
 
+class Open:
+    """The open elements. What a start or end tag closes is known without a search: for each rule of ENDS (and for p) the outermost
+    element that it would close, kept with each open element, and the places of the open elements of each name."""
+
+    RULES = {"p": ({"p"}, SCOPE), **ENDS}
+    CONCERNED = frozenset().union(*(tags | stop for tags, stop in RULES.values()))
+
+    def __init__(self, root: Node):
+        self.nodes, self.ends, self.named, self.cells = [root], [dict.fromkeys(self.RULES, 0)], {}, []
+
+    def push(self, node: Node) -> None:
+        at, ends = len(self.nodes), self.ends[-1]
+        if node.foreign:
+            ends = self.ends[0]  # nothing inside SVG and MathML ends what stands outside
+        elif node.tag in self.CONCERNED:
+            ends = {rule: 0 if node.tag in stop else ends[rule] or at if node.tag in tags else ends[rule] for rule, (tags, stop) in self.RULES.items()}
+        self.nodes.append(node)
+        self.ends.append(ends)
+        self.named.setdefault(node.tag, []).append(at)
+        if node.tag in ("table", "td", "th"):
+            self.cells.append(at)
+
+    def pop(self) -> None:
+        node = self.nodes.pop()
+        self.ends.pop()
+        self.named[node.tag].pop()
+        if node.tag in ("table", "td", "th"):
+            self.cells.pop()
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            self.pop()
+
+    def close(self, rule: str) -> None:
+        """Ends what a start tag of this name ends."""
+        if at := self.ends[-1][rule]:
+            self.cut(at)
+
+    def end(self, tag: str) -> bool:
+        """Ends the element that an end tag names, unless a table or its cell stands between; whether nothing stood in the way."""
+        places, across = self.named.get(tag), tag in ("table", "tr", "tbody", "thead", "tfoot", "body", "html")
+        wall = self.cells[-1] if self.cells and not across else 0
+        if places and places[-1] >= wall:
+            self.cut(places[-1])
+            return True
+        return not wall and not places
+
+
 def build(html: str) -> tuple[Node, dict[str, list]]:
-    """The tree of a page, and the rules of its style sheets."""
+    """The tree of a page, and the rules of its style sheets. A tag that the page ends in is no tag, and nothing follows it."""
     root = Node("html", {})
-    stack, rules, at = [root], {}, 0
+    stack, rules, at = Open(root), {}, 0
 
-    def close(tags: set[str], stop: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return close(tags, stop)
-            if stack[k].tag in stop:
-                return None
-        return None
+    def text(s: str) -> None:
+        if s:
+            if stack.nodes[-1].tag == "head" and s.strip():
+                stack.pop()
+            stack.nodes[-1].children.append(unescaped(s))
 
     while True:
-        m = TOKEN.search(html, at)
-        text = html[at : m.start() if m else len(html)]
-        if text:
-            if stack[-1].tag == "head" and text.strip():
-                stack.pop()
-            stack[-1].children.append(unescape(text))
+        m = MARKUP.search(html, at)
+        text(html[at : m.start() if m else len(html)])
         if not m:
             return root, rules
-        at = m.end()
-        foreign = stack[-1].foreign and stack[-1].tag not in POINTS
-        if foreign and m[0].startswith("<![CDATA["):
-            start, end = m.start() + 9, html.find("]]>", m.start())
-            stack[-1].children.append(html[start : end if end >= 0 else len(html)])
-            at = end + 3 if end >= 0 else len(html)
-            continue
-        if not m[2]:
+        at = m.start()
+        top = stack.nodes[-1]
+        foreign = top.foreign and top.tag not in POINTS
+        if not (m := TAG.match(html, at)):
+            if html.startswith("<!--", at):
+                at = COMMENT.match(html, at).end()
+            elif foreign and html.startswith("<![CDATA[", at):
+                end = html.find("]]>", at)
+                top.children.append(html[at + 9 : end if end >= 0 else len(html)])
+                at = end + 3 if end >= 0 else len(html)
+            else:  # a declaration, an instruction, or an end tag without a name
+                at = html.find(">", at) + 1 or len(html)
             continue
-        tag = m[2].lower()
+        if not (ended := tag_end(html, m.end())):
+            return root, rules
+        tag, (raw, at) = m[2].lower(), ended
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break
-            else:
-                if tag in ("p", "br"):  # an end tag alone stands for an empty element
-                    stack[-1].children.append(Node(tag, {}))
+            if stack.end(tag) and tag in ("p", "br") and stack.nodes[-1] is top:
+                top.children.append(Node(tag, {}))  # an end tag alone stands for an empty element
             continue
         if tag in ("html", "body"):
-            root.attrs |= {k: v for k, v in attributes(m[3]).items() if k not in root.attrs} if tag == "body" else {}
-            if stack[-1].tag == "head":
+            root.attrs |= {k: v for k, v in attributes(raw).items() if k not in root.attrs} if tag == "body" else {}
+            if top.tag == "head":
                 stack.pop()
             continue
         if foreign and tag in BREAKOUT:
-            while stack[-1].foreign and stack[-1].tag not in POINTS:
+            while stack.nodes[-1].foreign and stack.nodes[-1].tag not in POINTS:
                 stack.pop()
             foreign = False
-        if stack[-1].tag == "head" and tag not in HIDDEN:
+        if stack.nodes[-1].tag == "head" and tag not in HIDDEN:
             stack.pop()
         if tag in CLOSES_P and not foreign:
-            close({"p"}, SCOPE)
+            stack.close("p")
         if tag in ENDS and not foreign:
-            close(*ENDS[tag])
-        if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag):
+            stack.close(tag)
+        if tag in HEADINGS and stack.nodes[-1].tag in HEADINGS:
             stack.pop()
-        node = Node(tag, attributes(m[3]) if m[3].strip() else {}, foreign or tag in ("svg", "math"))
-        stack[-1].children.append(node)
-        if node.foreign and m[3].endswith("/"):
+        node = Node(tag, attributes(raw) if raw else {}, foreign or tag in ("svg", "math"))
+        stack.nodes[-1].children.append(node)
+        if node.foreign and raw.endswith("/"):
             continue
         if tag in ("style", "script") or not foreign and (tag in RAW or tag in TEXT_ONLY):
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.IGNORECASE).search(html, at)
             inside = html[at : end.start() if end else len(html)]
             at = end.end() if end else len(html)
             if tag in TEXT_ONLY:
-                node.children.append(unescape(inside))
+                node.children.append(unescaped(inside))
             if tag == "style" and on_screen(node.attrs.get("media", "")):
                 read_sheet(inside, rules)
-        elif (foreign or tag not in VOID) and not m[3].endswith("/"):
-            stack.append(node)
+        elif foreign or tag not in VOID:
+            stack.push(node)
 
 
-def style(node: Node, rules: dict[str, list]) -> tuple[bool, bool | None]:
+def ruled(tag: str, classes: str, name: str, rules: dict[str, list]) -> dict[str, tuple]:
+    """What style sheets say of an element: rank and value by property."""
+    best: dict[str, tuple] = {}
+    marks = {*("." + c for c in classes.split()), *(["#" + name] if name else [])}
+    for key in (*marks, tag, "*"):
+        for rank, t, needed, prop, value in rules.get(key, ()):
+            if t in ("", tag) and needed <= marks and rank >= best.get(prop, ((False, -3), ""))[0]:
+                best[prop] = (rank, value)
+    return best
+
+
+def style(node: Node, rules: dict[str, list], known: dict[tuple, dict]) -> tuple[bool, bool | None]:
     """Whether an element is shown, and whether its own text is hidden (None: as in its parent). What the page says last and most
     specifically decides: a style attribute before style sheets, and what is important before both."""
     a, tag = node.attrs, node.tag
@@ -227,11 +330,10 @@ def style(node: Node, rules: dict[str, list]) -> tuple[bool, bool | None]:
     if node.foreign:
         best |= {k: ((False, -1), a[k].strip().lower()) for k in ("display", "visibility") if k in a}
     if rules:
-        marks = {*("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])}
-        for key in (*marks, tag, "*"):
-            for rank, t, needed, name, value in rules.get(key, ()):
-                if t in ("", tag) and needed <= marks and rank >= best.get(name, ((False, -3), ""))[0]:
-                    best[name] = (rank, value)
+        alike = (tag, a.get("class", ""), a.get("id", ""))
+        if alike not in known:
+            known[alike] = ruled(*alike, rules)
+        best |= known[alike]
     if "style" in a:
         for (name, important), value in declared(a["style"]).items():
             if (important, float("inf")) >= best.get(name, ((False, -3), ""))[0]:
@@ -242,7 +344,8 @@ def style(node: Node, rules: dict[str, list]) -> tuple[bool, bool | None]:
 
 def prune(root: Node, rules: dict[str, list]) -> None:
     """Leaves in the tree what a screen shows."""
-    shown, off = style(root, rules)
+    known: dict[tuple, dict] = {}
+    shown, off = style(root, rules, known)
     if not shown:
         root.children = []
     todo = [(root, bool(off), True)]
@@ -254,7 +357,7 @@ def prune(root: Node, rules: dict[str, list]) -> None:
                 if drawn and not off:
                     kept.append(c)
                 continue
-            shown, own = style(c, rules)
+            shown, own = style(c, rules, known)
             if shown:
                 kept.append(c)
                 # SVG draws the text of its text elements alone
@@ -263,179 +366,261 @@ def prune(root: Node, rules: dict[str, list]) -> None:
 
 
 class Lines:
-    """Output in lines; white space collapses, and blank lines between spaced blocks merge."""
+    """Output in lines; white space collapses, and blank lines between spaced blocks merge. Inside lists, lines are indented, an item's
+    first line bears its mark, and there are no blank lines."""
 
     def __init__(self):
         self.lines: list[str] = []
-        self.now, self.blank, self.space = "", False, False
+        self.parts: list[str] = []  # of the line that is being written
+        self.open, self.blank, self.space = False, False, False
+        self.indent, self.marks, self.lists = 0, [], 0
+
+    def _begin(self) -> None:
+        if self.open:
+            return
+        if self.blank and self.lines:
+            self.lines.append("")
+        self.open, self.blank = True, False
+        width = self.marks[0][0] if self.marks else self.indent
+        self.parts = [" " * min(width, INDENT), *(m for _, m in self.marks)]
+        self.marks = []
 
     def text(self, s: str) -> None:
         s = SPACE.sub(" ", s)
-        if s.startswith(" ") and self.now and not self.now.endswith((" ", "\n")):
+        if s.startswith(" ") and self.open:
             self.space = True
         if body := s.strip(" "):
+            joined = self.space and self.open
             self._begin()
-            self.now += (" " if self.space and self.now else "") + body
+            self.parts.append(" " + body if joined else body)
             self.space = s.endswith(" ")
 
     def exact(self, s: str) -> None:
         for k, part in enumerate(s.split("\n")):
             if k:
-                self.lines.append(self.now)
-                self.now = ""
+                if not self.open and not self.lists:
+                    self.lines.append("")
+                self.line()
             if part:
                 self._begin()
-                self.now += part
-
-    def _begin(self) -> None:
-        if not self.now and self.blank:
-            if self.lines:
-                self.lines.append("")
-            self.blank = False
+                self.parts.append(part)
 
     def line(self) -> None:
-        if self.now:
-            self.lines.append(self.now)
-        self.now, self.space = "", False
+        if self.open:
+            self.lines.append("".join(self.parts))
+        self.parts, self.open, self.space = [], False, False
 
     def gap(self) -> None:
         self.line()
-        self.blank = True
+        self.blank = self.blank or not self.lists
+
+    def broken(self) -> None:
+        if not self.open:
+            self.lines.append("")
+        self.line()
 
     def block(self, lines: list[str]) -> None:
         self.line()
         for x in lines:
-            if x:
-                self._begin()
-            self.lines.append(x)
+            self._begin()
+            self.parts.append(x)
+            self.line()
+
+    def item(self, mark: str) -> tuple:
+        """Begins an item; what it returns ends it."""
+        self.line()
+        before = (self.indent, len(self.marks))
+        if mark.strip():
+            self.marks.append((self.indent, mark))
+        self.indent += len(mark)
+        return before
+
+    def ended(self, before: tuple) -> None:
+        self.line()
+        self.indent = before[0]
+        del self.marks[before[1] :]  # an item without text has no line
 
     def done(self) -> list[str]:
         self.line()
         return self.lines
 
 
-def table_rows(node: Node) -> Iterator[tuple[Node, Node]]:
-    """Rows, each with the group it stands in."""
-    for c in node.children:
-        if isinstance(c, Node):
-            if c.tag == "tr":
-                yield c, node
-            elif c.tag in ("thead", "tbody", "tfoot"):
-                yield from table_rows(c)
-
+class Cell:
+    __slots__ = ("column", "lines", "node", "row")
 
-def span(cell: Node, name: str, most: int) -> int:
-    n = cell.attrs.get(name, "1").strip()
-    return min(int(n), most) if n.isdecimal() else 1
+    def __init__(self, node: Node | str, row: int, column: int):
+        self.node, self.row, self.column, self.lines = node, row, column, []
 
 
-def render_table(node: Node) -> list[str]:
-    """Rows as lines with their cells in columns, each as wide as its widest cell; a cell's lines stand below each other. A cell over
-    several rows keeps its column free in those below, up to the end of their group."""
-    out: list[str] = []
+def table_rows(node: Node) -> list[list[Node]]:
+    """The rows of a table, by the group they stand in."""
+    groups: list[list[Node]] = [[]]
     for c in node.children:
-        if isinstance(c, Node) and c.tag not in ("tr", "thead", "tbody", "tfoot"):
-            out += render([c])
-        elif isinstance(c, str) and c.strip():
-            out.append(SPACE.sub(" ", c).strip())
-    grid: list[list[list[str]]] = []
-    group, taken = None, {}  # rows for which a column is still taken
-    for row, inside in table_rows(node):
-        if inside is not group:
-            group, taken = inside, {}
-        cells: list[list[str]] = []
-        below = {k: n - 1 for k, n in taken.items() if n > 1}
-        for c in row.children:
-            if isinstance(c, str) and not c.strip():
-                continue
-            while len(cells) in taken:
-                cells.append([])
-            if isinstance(c, str):
-                cells.append([SPACE.sub(" ", c).strip()])
-                continue
-            wide = max(span(c, "colspan", 100), 1)
-            if rows := (span(c, "rowspan", 65534) or 65534) - 1:
-                below |= {k: max(rows, below.get(k, 0)) for k in range(len(cells), len(cells) + wide)}
-            cells.append(render(c.children if c.tag in ("td", "th") else [c]))
-            cells += [[]] * (wide - 1)
-        taken = below
-        grid.append(cells)
-    wide = [max((len(x) for r in grid if k < len(r) for x in r[k]), default=0) for k in range(max(map(len, grid), default=0))]
-    for r in grid:
-        for j in range(max((len(c) for c in r), default=0)):
-            line = "  ".join((c[j] if j < len(c) else "").ljust(w) for c, w in zip(r, wide, strict=False)).rstrip()
+        if isinstance(c, Node) and c.tag == "tr":
+            groups[-1].append(c)
+        elif isinstance(c, Node) and c.tag in ("thead", "tbody", "tfoot"):
+            found, todo = [], [c]
+            while todo:
+                x = todo.pop()
+                if x.tag == "tr":
+                    found.append(x)
+                else:
+                    todo += [y for y in reversed(x.children) if isinstance(y, Node) and y.tag in ("tr", "thead", "tbody", "tfoot")]
+            groups += [found, []]
+    return groups
+
+
+def placed(node: Node) -> list[Cell]:
+    """The cells of a table with their columns. A cell over several columns or rows keeps them free, the rows up to the end of its group."""
+    cells: list[Cell] = []
+    row = 0
+    for group in table_rows(node):
+        last = row + len(group)
+        taken: list[tuple[int, int, int]] = []  # from a column, up to another, before a row
+        for tr in group:
+            taken = [t for t in taken if t[2] > row]
+            free, at, fresh = iter([*taken, None]), 0, []
+            block = next(free)
+            for c in tr.children:
+                if isinstance(c, str) and not c.strip():
+                    continue
+                while block and block[0] <= at:
+                    at, block = max(at, block[1]), next(free)
+                cells.append(Cell(c, row, at))
+                wide = 1 if isinstance(c, str) else number(c.attrs.get("colspan"), 1, 0, 1000) or 1
+                deep = 1 if isinstance(c, str) else number(c.attrs.get("rowspan"), 1, 0, 65534)
+                until = min(last, row + deep) if deep > 0 else last
+                if until > row + 1 and at < COLUMNS:
+                    fresh.append((at, at + wide, until))
+                at += wide
+            if fresh:
+                merged: list[tuple[int, int, int]] = []
+                for t in sorted([*taken, *fresh]):
+                    if merged and merged[-1][1] >= t[0] and merged[-1][2] == t[2]:
+                        merged[-1] = (merged[-1][0], max(merged[-1][1], t[1]), t[2])
+                    else:
+                        merged.append(t)
+                taken = merged
+            row += 1
+    return cells
+
+
+def aligned(cells: list[Cell]) -> list[str]:
+    """Rows as lines with their cells in columns, each as wide as its widest line up to COLUMN; a cell's lines stand below each other,
+    and a column in which no cell begins takes no room. Beyond WIDTH, cells just follow each other."""
+    wide: dict[int, int] = {}
+    for c in cells:
+        wide[c.column] = max([wide.get(c.column, 0), *(len(x) for x in c.lines if len(x) <= COLUMN)])
+    order = sorted(wide)
+    start, at = {}, 0
+    for column in order:
+        start[column] = min(at, WIDTH)
+        at += wide[column] + 2
+    out: list[str] = []
+    k = 0
+    while k < len(cells):
+        row = [c for c in cells[k : _row_end(cells, k)]]
+        k += len(row)
+        for j in range(max(len(c.lines) for c in row)):
+            line: list[str] = []
+            width = 0
+            for c in row:
+                if j < len(c.lines) and c.lines[j]:
+                    room = max(start[c.column] - width, 2 if width else 0)
+                    line.append(" " * room + c.lines[j])
+                    width += room + len(c.lines[j])
             if line:
-                out.append(line)
+                out.append("".join(line).rstrip())
     return out
 
 
-def render(children: list, out: Lines | None = None, pre: bool = False) -> list[str]:
-    out = out or Lines()
-    # an explicit stack: pages may nest deeper than Python's calls do
-    todo: list = [("in", c, pre) for c in reversed(children)]
+def _row_end(cells: list[Cell], k: int) -> int:
+    end = k
+    while end < len(cells) and cells[end].row == cells[k].row:
+        end += 1
+    return end
+
+
+def render(root: Node) -> list[str]:
+    """The lines of a tree, without recursion: pages may nest deeper than Python's calls do."""
+    out, outer, tables = Lines(), [], 0
+    todo: list[tuple] = [("children", root, False)]
     while todo:
         what, c, pre = todo.pop()
         if what == "line":
             out.line()
         elif what == "gap":
             out.gap()
+        elif what == "children":
+            todo += [("in", x, pre) for x in reversed(c.children)]
+        elif what == "item":
+            item, mark = c
+            todo += [("ended", out.item(mark), pre), ("children" if item.tag == "li" else "in", item, pre)]
+        elif what == "ended":
+            out.ended(c)
+        elif what == "listed":
+            out.lists -= 1
+            out.gap()
+        elif what == "cell":
+            outer.append(out)
+            out = Lines()
+        elif what == "filled":
+            c.lines = out.done()
+            out = outer.pop()
+        elif what == "table":
+            out.block(aligned(c))
+            tables -= 1
+            out.gap()
         elif isinstance(c, str):
             out.exact(c) if pre else out.text(c)
         elif c.tag == "br":
-            out.now += "" if out.now else " "
-            out.line()
+            out.broken()
         elif c.tag == "hr":
             out.gap()
         elif c.tag == "table":
             out.gap()
-            out.block(render_table(c))
-            out.gap()
+            cells = placed(c)
+            deep = tables >= TABLES
+            steps: list[tuple] = []
+            for x in c.children:
+                if isinstance(x, str) or x.tag not in ("tr", "thead", "tbody", "tfoot"):
+                    steps += [("in", x, False), ("line", None, False)]
+            for x in cells:
+                inside = [("children" if isinstance(x.node, Node) and x.node.tag in ("td", "th") else "in", x.node, False)]
+                steps += [*inside, ("line", None, False)] if deep else [("cell", x, False), *inside, ("filled", x, False)]
+            todo += reversed([*steps, ("gap", None, False) if deep else ("table", cells, False)])
+            tables += not deep
         elif c.tag in ("ul", "ol", "menu"):
-            start = c.attrs.get("start", "1")
-            number = int(start) if start.isdigit() else 1
-            lines: list[str] = []
-            for item in c.children:
-                if isinstance(item, str):
-                    lines += [SPACE.sub(" ", item).strip()] if item.strip() else []
-                else:
-                    mark = f"{number}. " if c.tag == "ol" else "- "
-                    body = [x for x in render(item.children if item.tag == "li" else [item]) if x]
-                    if item.tag == "li":
-                        number += 1
-                        lines += [(mark if k == 0 else " " * len(mark)) + x for k, x in enumerate(body)]
-                    else:
-                        lines += ["  " + x for x in body]
-            out.gap()
-            out.block(lines)
             out.gap()
+            out.lists += 1
+            count, steps = number(c.attrs.get("start"), 1, -(1 << 31), 1 << 31), []
+            for x in c.children:
+                if isinstance(x, str):
+                    steps += [("in", x, False), ("line", None, False)]
+                elif x.tag == "li":
+                    count = number(x.attrs.get("value"), count, -(1 << 31), 1 << 31)
+                    steps.append(("item", (x, f"{count}. " if c.tag == "ol" else "- "), False))
+                    count += 1
+                else:
+                    steps.append(("item", (x, "  "), False))
+            todo += reversed([*steps, ("listed", None, False)])
         else:
             edge = "gap" if c.tag in SPACED else "line" if c.tag in BLOCK or (c.foreign and c.tag == "text") else ""
             if edge:
                 out.gap() if edge == "gap" else out.line()
                 todo.append((edge, None, pre))
-            inner = pre or c.tag in ("pre", "textarea")
-            todo += [("in", x, inner) for x in reversed(c.children)]
+            todo.append(("children", c, pre or c.tag in ("pre", "textarea")))
     return out.done()
 
 
 def extract(html: str | None) -> str:
-    """All visible text of a page; "" for null or empty pages. Pages whose lists or tables nest beyond Python's call depth
-    are read as plain text of their visible parts, one line for each."""
+    """All visible text of a page; "" for null or empty pages. Time grows with the page, and with nesting no text is lost: layout alone
+    stops at COLUMN, WIDTH, COLUMNS, INDENT and TABLES."""
     if not html:
         return ""
     root, rules = build(html)
     prune(root, rules)
-    try:
-        lines = render(root.children)
-    except RecursionError:
-        lines, todo = [], [root]
-        while todo:
-            c = todo.pop()
-            if isinstance(c, str):
-                lines += [SPACE.sub(" ", c).strip()] if c.strip() else []
-            else:
-                todo += reversed(c.children)
-    return "\n".join(x.rstrip() for x in lines).strip("\n")
+    return "\n".join(x.rstrip() for x in render(root)).strip("\n")
 
 
 def extract_text(df: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:

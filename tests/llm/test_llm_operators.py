@@ -324,8 +324,6 @@ def test_html(spark):
     assert html.extract(PAGE) == want
     assert html.extract(None) == html.extract("") == html.extract("<body hidden>x") == ""
     assert html.extract("a < b & c</b></p>d") == "a < b & c\n\nd"
-    deep = "<ul><li>" * 3000 + "bottom"
-    assert "bottom" in html.extract(deep) and html.extract("<div>" * 5000 + "in") == "in"
     df = spark.createDataFrame([(1, PAGE, "t"), (2, None, "t"), (2, None, "t")], "page_id long, html string, text string")
     assert [r["text"] for r in html.extract_text(df).orderBy("page_id").collect()] == [want, "", ""]
     assert html.extract_text(df.where("page_id < 0")).count() == 0
@@ -356,5 +354,102 @@ def test_html_foreign(page, want):
 
 def test_html_rowspan():
     assert html.extract("<table><tr><td rowspan=2>a<td>b<td rowspan=0>c<tr><td>d<tr><td>e<td>f</table>") == "a  b  c\n   d\ne  f"
-    assert html.extract("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>") == "a    b\n     c"
+    assert html.extract("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>") == "a  b\n   c"
     assert html.extract("<table><thead><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>") == "a  b\nc  d"
+
+
+def plain_render(nodes) -> list[str]:
+    """Blocks, lists and tables as lines, by plain recursion: what html.render does without it."""
+    out, now = [], [""]
+
+    def end():
+        if now[0]:
+            out.append(now[0])
+        now[0] = ""
+
+    for n in nodes:
+        if isinstance(n, str):
+            now[0] += (" " if now[0] else "") + n
+            continue
+        end()
+        tag, inside = n
+        if tag == "div":
+            out += plain_render(inside)
+        elif tag in ("ul", "ol"):
+            for k, item in enumerate(inside, 1):
+                mark = f"{k}. " if tag == "ol" else "- "
+                out += [(" " * len(mark) if j else mark) + x for j, x in enumerate(plain_render(item))]
+        else:
+            cells = [[plain_render(c) for c in row] for row in inside]
+            wide = [max([len(x) for r in cells if k < len(r) for x in r[k]], default=0) for k in range(max(map(len, cells), default=0))]
+            for r in cells:
+                for j in range(max(map(len, r), default=0)):
+                    out.append("  ".join((c[j] if j < len(c) else "").ljust(w) for c, w in zip(r, wide)).rstrip())
+    end()
+    return [x for x in out if x]
+
+
+def as_html(nodes) -> str:
+    text = []
+    for n in nodes:
+        if isinstance(n, str):
+            text.append(f" {n} ")
+        elif n[0] == "div":
+            text.append(f"<div>{as_html(n[1])}</div>")
+        elif n[0] == "table":
+            text.append("<table>" + "".join("<tr>" + "".join(f"<td>{as_html(c)}" for c in r) for r in n[1]) + "</table>")
+        else:
+            text.append(f"<{n[0]}>" + "".join(f"<li>{as_html(i)}" for i in n[1]) + f"</{n[0]}>")
+    return "".join(text)
+
+
+word = st.sampled_from(["a", "bb", "ccc"])
+
+
+def branches(x):
+    lists = st.tuples(st.sampled_from(["ul", "ol"]), st.lists(x, min_size=1, max_size=3))
+    cell = st.one_of(st.lists(word, min_size=1, max_size=2), lists.map(lambda n: [n]))  # without blank lines, which are not compared
+    table = st.tuples(st.just("table"), st.lists(st.lists(cell, min_size=1, max_size=3), min_size=1, max_size=3))
+    return st.lists(st.one_of(word, st.tuples(st.just("div"), x), lists, table), min_size=1, max_size=3)
+
+
+tree = st.recursive(st.lists(word, min_size=1, max_size=2), branches, max_leaves=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(tree)
+def test_html_like_plain_recursion(nodes):
+    assert [x for x in html.extract(as_html(nodes)).split("\n") if x.strip()] == plain_render(nodes)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from("< > </ <p> <a <td <tr> <table> </table> <ul> <li> <svg> </svg> <text> <style> </style> <!-- --> <![CDATA[ ]]> \" ' = / & &# &#x colspan= rowspan= start= ² 9 { } .a display:none @media ( ) , ; /* */ x".split() + [" "]), max_size=40))
+def test_html_takes_anything(parts):
+    html.extract("".join(parts))
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ('<table><tr><td colspan="²">a<td rowspan="-1">b</table>', "a  b"), ('<ol start="²"><li>x</ol>', "1. x"), (f'<ol start="{"9" * 5000}"><li>x</ol>', "2147483648. x"),
+    ('<ol start="-2"><li>x<li value=7>y<li>z</ol>', "-2. x\n7. y\n8. z"), (f"a&#{'9' * 5000};b&#{'0' * 5000}65;", "a\ufffdbA"), ("a</p>b<!-->c</>d</ e>f", "a\n\nbcdf"), ("x<a href='y", "x"),
+])
+def test_html_odd_values(page, want):
+    assert html.extract(page) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, '<a "' * 250_000, '<a b="' * 160_000, "<ul><li>" * 100_000 + "x", "<ul><li>x" * 100_000, "<table><tr><td>" * 100_000 + "x", "<table><tr><td>a<td>" * 50_000 + "x" + "</table>x" * 50_000,
+    "<div>" * 100_000 + "</b>" * 100_000 + "x", "<table>" + "<tr><td rowspan=9999>a<td>b" * 30_000, "<table><tr>" + "<td colspan=1000 rowspan=9>a" * 30_000, '<p style="' + "/*" * 500_000 + '">x',
+    "<style>" + "a," * 400_000 + "b{display:none}</style>x", "<style>" + '"' + '\\"' * 400_000 + "</style>x", "<a" + " " * 1_000_000 + ">x", "<svg>" + "<tr>" * 100_000 + "<foreignObject><tr><td>x", "<p><div>" * 100_000 + "x",
+], ids=range(16))
+def test_html_in_linear_time(page):
+    import time
+
+    began = time.process_time()
+    text = html.extract(page)
+    assert time.process_time() - began < 40 and len(text) < 40 * len(page) and text.count("x") >= page.count(">x")
+
+
+def test_html_depth_loses_nothing():
+    for depth in (5, 400, 5000):
+        text = html.extract("".join(f"<ul><li>u{k}<table><tr><td>a{k}<td>b{k}" for k in range(depth)) + "</table></ul>" * depth)
+        assert re.findall(r"[uab]\d+", text) == [f"{x}{k}" for k in range(depth) for x in "uab"] and text.count("- u") == depth
