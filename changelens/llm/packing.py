@@ -3,6 +3,7 @@ weights with knapsack pricing, then rounded."""
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from .shared import buckets_for, prefix_offsets, written
 from .tokens import Encoder
 
+#: The share of the tokens that the program leaves to best-fit, and how many sequences' worth it may be.
+REST, REST_SEQUENCES = 0.09, 1000
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,49 +105,50 @@ def _best_fit(demand: dict[int, int], size: int) -> list[tuple[int, dict[int, in
     return [(n, dict(held)) for groups in free.values() for n, held in groups]
 
 
-def plan_configurations(histogram: dict[int, int], size: int, rounds: int = 1500, step: float = 0.005, share: float = 0.97, favour: float = 0.1) -> list[tuple[int, dict[int, int]]]:
-    """(number of sequences, {length: copies}) pairs that hold every length as often as the histogram has it.
+def configuration_program(histogram: dict[int, int], size: int, steps: int = 150, part: float = 0.8, rate: float = 20.0, favour: float = 0.1) -> tuple[list[tuple[int, dict[int, int]]], int, float]:
+    """The plan: (number of sequences, {length: copies}) pairs that hold every length as often as the histogram has it; a lower bound of the
+    number of sequences that any plan needs; and the share of the items that the program has placed.
+
+    The configuration LP minimises the number of sequences such that each length is covered. Multiplicative weights: a length's
+    price rises with the part of its demand that is behind the whole, and falls with what is ahead; pricing is a knapsack by dynamic programming.
+    Each step uses its configuration a whole number of times, the amount of the step rounded down to what is left, once at least; after part
+    of the demand the program is solved again for what is left, with steps in proportion. What is left in the end, REST of the tokens
+    but no more than REST_SEQUENCES, is packed best-fit decreasing.
 
-    The configuration LP minimises the number of sequences such that each length is covered. Multiplicative
-    weights: a length's price falls each time that a configuration covers more of its demand; pricing is a
-    knapsack by dynamic programming. share is the part of the demand that the program covers, so that every
-    configuration can still be full; favour prices long items above their share of a sequence, for short ones
-    fit in anywhere later. The configurations found are used as often as their fractional amount,
-    rounded down and never beyond what is left, largest amounts first; what is left is packed best-fit
-    decreasing. The histogram has size entries at most, whatever the number of documents."""
+    Prices y give the bound: no sequence holds more than the knapsack's value, so at least demand * y / value are needed.
+    favour prices long items above their share of a sequence, for short ones fit in anywhere later. The histogram has size
+    entries at most, and the steps grow with the logarithm of the number of sequences, whatever the number of documents."""
     demand = {k: v for k, v in histogram.items() if v > 0}
-    whole = {k: v for k, v in demand.items() if k == size}
-    rest = {k: v for k, v in demand.items() if k < size}
-    if not rest:
-        return [(n, {size: 1}) for n in whole.values()]
-    lengths = np.array(sorted(rest))
-    need = np.array([rest[int(x)] for x in lengths], float)
-    place = {int(x): i for i, x in enumerate(lengths)}
-    bound = float((lengths * need).sum() / size)
-    rounds = max(1, min(rounds, int(bound)))
-    amounts: dict[tuple[tuple[int, int], ...], float] = {}
-    covered = np.zeros(len(lengths))
-    for k in range(rounds):
-        # What a length's cover is ahead of the part of all demand that should be covered by now lowers its price.
-        ahead = covered / need - k / rounds * share
-        price = np.where(covered < need, (lengths / size) ** (1 + favour) * np.exp(-step * rounds / 20 * np.clip(ahead, -1, 1)), 0.0)
-        found, _ = _knapsack(price, lengths, size)
-        if not found:
-            break
-        key = tuple(sorted(found.items(), reverse=True))
-        amount = min([bound * share / rounds, *((need[place[x]] - covered[place[x]]) / copies for x, copies in key)])
-        amounts[key] = amounts.get(key, 0.0) + amount
-        for x, copies in key:
-            covered[place[x]] += copies * amount
-    left = dict(rest)
-    out: list[tuple[int, dict[int, int]]] = [(n, {size: 1}) for n in whole.values()]
-    for key, amount in sorted(amounts.items(), key=lambda x: (-x[1], x[0])):
-        n = min([int(amount), *(left[length] // copies for length, copies in key)])
-        if n > 0:
-            out.append((n, dict(key)))
-            for length, copies in key:
-                left[length] -= n * copies
-    return out + _best_fit(left, size)
+    full = demand.pop(size, 0)
+    out: list[tuple[int, dict[int, int]]] = [(full, {size: 1})] if full else []
+    if not demand:
+        return out, full, 1.0
+    lengths = np.array(sorted(demand))
+    need = np.array([demand[int(x)] for x in lengths])
+    left, base = need.copy(), (lengths / size) ** (1 + favour)
+    tokens, rest = int((lengths * need).sum()), int(min(REST * (lengths * need).sum(), REST_SEQUENCES * size))
+    bound = tokens / size
+    now = tokens
+    while now > rest:
+        asked, begun = np.maximum(left, 1), now
+        amount = max(1, int(begun * part / size / steps))
+        while now > max(rest, (1 - part) * begun):
+            price = np.where(left > 0, base * np.exp(np.clip(rate * (left / asked - now / begun), -1, 1)), 0.0)
+            found, value = _knapsack(price, lengths, size)
+            bound = max(bound, float((need * price).sum()) / value)
+            at = np.searchsorted(lengths, list(found))
+            copies = np.minimum(list(found.values()), left[at])  # the knapsack may ask for more than there is
+            n = min(amount, int((left[at] // copies).min()))
+            left[at] -= n * copies
+            now -= n * int((lengths[at] * copies).sum())
+            out.append((n, {int(x): int(c) for x, c in zip(lengths[at], copies, strict=True)}))
+    placed = full + int((need - left).sum())
+    out += _best_fit({int(x): int(n) for x, n in zip(lengths, left, strict=True) if n}, size)
+    return out, full + math.ceil(bound - 1e-6), placed / (full + int(need.sum()))
+
+
+def plan_configurations(histogram: dict[int, int], size: int) -> list[tuple[int, dict[int, int]]]:
+    return configuration_program(histogram, size)[0]
 
 
 def layout(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
