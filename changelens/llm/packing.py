@@ -30,8 +30,8 @@ def cut_pieces(df: DataFrame, path: str, size: int, end_id: int, id_col: str = "
         for b in batches:
             rows: list[list] = [[], [], [], [], []]
             ids_out: list[np.ndarray] = []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = memoryview(encoder.ids(text.as_py()) + end)
+            for key, found in zip(b.column(0).to_pylist(), encoder.encode(t.as_py() for t in b.column(1)), strict=True):
+                ids = memoryview(found + end)
                 n = len(ids) // 4
                 first = n % size or size
                 cuts = [0, *range(first, n + 1, size)]

@@ -58,6 +58,7 @@ def test_token_counts(odd, none, library):
 
 
 encoder = tokens.Encoder(PATH)
+small, counter = tokens.Encoder(PATH), tokens.Encoder(PATH, lengths=True)
 plain = Tokenizer.from_file(PATH)
 
 
@@ -67,6 +68,31 @@ def test_ids_are_the_library_s(text):
     assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t'a1.,é²\u3000日\x1c<|>endoftext")), st.characters(exclude_categories=["Cs"])), max_size=60), max_size=8), st.integers(1, 40))
+def test_batches_are_the_library_s(texts, size):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "BATCH_BYTES", size)  # so that texts, windows and pieces are cut
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in tokens.Encoder.encode(small, texts)] == want
+        assert list(counter.encode(texts)) == list(map(len, want))
+        small.known.clear(), small.first.clear(), counter.known.clear(), counter.first.clear()
+
+
+def test_one_call_for_many_texts(monkeypatch):
+    asked, batch = [], counter.tokenizer
+    monkeypatch.setattr(counter, "ranks", None)
+    monkeypatch.setattr(counter, "tokenizer", type("T", (), {"encode_batch_fast": lambda self, x, **k: asked.append(x) or batch.encode_batch_fast(x, **k)})())
+    texts = [f"doc{k} with own{k} word" for k in range(500)]
+    assert list(counter.encode(texts)) == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(asked) == 2  # first pieces and later ones, of all texts together
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000, "ab1," * 200_000, "word\n" * 200_000, "日本。" * 100_000, "a b " * 300_000, " " * 300_000 + "a"])
+def test_long_texts_without_usual_boundaries(text):
+    assert counter.ids(text) == len(plain.encode(text, add_special_tokens=False).ids)
+
+
 def packed_ok(rows, size):
     by = collections.defaultdict(list)
     for r in rows:
