@@ -9,12 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 #: Hashed features. The weights that are broadcast have this many entries at most (4 bytes each).
 FEATURES = 1 << 20
 #: Labelled rows that a model is fitted on at most (in expectation); with fewer, all are taken.
 SAMPLE_ROWS = 20_000
 #: Rows of the sample that one task fits, rounds of fitting and averaging, and passes of a task over its rows.
-SHARD_ROWS, ROUNDS, PASSES = 5_000, 2, 6
+SHARD_ROWS, ROUNDS, PASSES = 3_334, 2, 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
 #: Of a document's text, features are gathered for so many words at once.
 WINDOW_WORDS = 200_000
@@ -80,40 +82,46 @@ class Ftrl:
 def fit(texts: DataFrame, size: int = FEATURES) -> tuple[np.ndarray, np.ndarray, float] | None:
     """The model: feature numbers with a weight, their weights, and the constant. texts: doc_id, text, y.
 
-    The sample is cut into parts of about SHARD_ROWS, and each is learned by a task; the tasks' states are averaged by Spark
-    and the next round begins from there. What comes to the driver is at most one row for each feature,
-    whatever the number of documents. None if there is nothing to learn from."""
+    The sample is cut into parts of about SHARD_ROWS, each a partition of its own and learned by one task. Of a coordinate that rows of a part touch, the
+    task gives its whole state (z and n), and Spark averages them over the parts that saw it; the next round begins from there. With one
+    part that is plain FTRL. What comes to the driver is at most one row for each feature, 12 bytes each, whatever the number of
+    documents. None if there is nothing to learn from."""
     spark = texts.sparkSession
-    shards = max(1, round(texts.count() / SHARD_ROWS))
-    part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)).cast("int")
-    dealt = texts.select(part.alias("part"), F.xxhash64("doc_id", F.lit(5)).alias("turn"), "text", "y").repartition(shards, "part").persist()
+    sample = written(texts.select("doc_id", "text", "y"), "toxic-sample")
+    parts = max(1, round(sample.count() / SHARD_ROWS))
+    part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(parts)).cast("int")
+    dealt = sample.select(part.alias("part"), F.xxhash64("doc_id", F.lit(5)).alias("turn"), "text", "y").repartitionById(parts, "part")
     state = None
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS):
         start = spark.sparkContext.broadcast(state)
 
-        def learn(group: pd.DataFrame) -> pd.DataFrame:
-            features, model = Features(size), Ftrl(np.zeros(size + 1), np.zeros(size + 1))
+        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = pd.concat([*batches] or [pd.DataFrame()])  # of one part
+            if not len(rows):
+                return
+            features, model, touched = Features(size), Ftrl(np.zeros(size + 1), np.zeros(size + 1)), np.zeros(size + 1, bool)
             if start.value is not None:
                 at, z, n = start.value
                 model.z[at], model.n[at] = z, n
-            group = group.sort_values(["turn", "y"])
-            rows = [(np.append(features.distinct(t), size).astype(np.int32), int(y)) for t, y in zip(group["text"], group["y"], strict=True)]
+            seen = []
+            for t, y in rows.sort_values(["turn", "y", "text"])[["text", "y"]].itertuples(index=False):
+                at = np.append(features.distinct(t), size).astype(np.int32)
+                touched[at] = True
+                seen.append((at, int(y)))
             for _ in range(PASSES):
-                for at, y in rows:
+                for at, y in seen:
                     model.learn(at, y)
-            # coordinates that no weight can come from are not sent
-            at = np.flatnonzero(np.abs(model.z) > L1 / 4)
-            return pd.DataFrame({"at": at, "z": model.z[at], "n": model.n[at], "part": int(group["part"].iloc[0])})
-
-        learned = dealt.groupBy("part").applyInPandas(learn, "at long, z double, n double, part int")
-        parts = F.lit(float(shards))
-        rows = learned.groupBy("at").agg((F.sum("z") / parts).alias("z"), (F.sum("n") / parts).alias("n")).toPandas()
+            at = np.flatnonzero(touched)
+            yield pd.DataFrame({"at": at, "z": model.z[at], "n": model.n[at]})
+
+        averaged = dealt.mapInPandas(learn, "at int, z double, n double").groupBy("at").agg(F.avg("z").cast("float").alias("z"), F.avg("n").cast("float").alias("n"))
+        if k == ROUNDS - 1:  # a weight can only come from these
+            averaged = averaged.where((F.abs("z") > L1) | (F.col("at") == size))
+        rows = averaged.toPandas()
+        start.unpersist()
         if not len(rows):
-            break
-        state = (rows["at"].to_numpy(), rows["z"].to_numpy(), rows["n"].to_numpy())
-    dealt.unpersist()
-    if state is None:
-        return None
+            return None
+        state = (rows["at"].to_numpy(), rows["z"].to_numpy(np.float64), rows["n"].to_numpy(np.float64))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     z[state[0]], n[state[0]] = state[1], state[2]
     w = Ftrl(z, n).weights(np.arange(size + 1))

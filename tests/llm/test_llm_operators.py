@@ -323,6 +323,50 @@ def test_toxicity(spark, odd, none):
     assert toxicity.toxic_scores(none, labels).count() == 0 and toxicity.accepted(odd, labels).columns == odd.columns
 
 
+def plain_ftrl(rows, passes, alpha, beta, l1, l2):
+    """One coordinate at a time, in dictionaries: rows are (features, y), the last feature of each is the constant."""
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i, constant):
+        bound = 0.0 if constant else l1
+        return 0.0 if abs(z[i]) <= bound else -(z[i] - np.sign(z[i]) * bound) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(passes):
+        for features, y in rows:
+            w = {i: weight(i, i == features[-1]) for i in features}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in features:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+                n[i] += g * g
+    return {i: weight(i, i == rows[0][0][-1]) for i in z}
+
+
+def test_toxicity_is_plain_ftrl_with_one_part(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(300):
+        y = int(rng.random() < 0.4)
+        rows.append((i, " ".join([*(f"n{k}" for k in rng.integers(0, 40, 12)), *(["bad"] if y else [])]), y))
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    size = 1 << 12
+    at, w, constant = toxicity.fit(df, size)
+    features = toxicity.Features(size)
+    order = [r["doc_id"] for r in df.selectExpr("doc_id", "xxhash64(doc_id, 5) AS turn").orderBy("turn").collect()]
+    want = plain_ftrl([([*features.distinct(rows[i][1]).tolist(), size], rows[i][2]) for i in order], toxicity.PASSES * toxicity.ROUNDS, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    got = dict(zip(at.tolist(), w.tolist(), strict=True))
+    assert constant == pytest.approx(want[size], rel=1e-3) and all(got.get(i, 0.0) == pytest.approx(x, rel=1e-2, abs=1e-3) for i, x in want.items() if i < size)
+    assert len(got) < len(want)
+
+
+def test_toxicity_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    rows = [(i, f"w{i % 7} w{i % 11} w{i % 5} " + ("bad" if i % 3 == 0 else "good"), int(i % 3 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    model = toxicity.fit(df)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert all((scores[i] >= 0.3) == bool(y) for i, _, y in rows)
+
+
 def test_licenses(spark, odd, none):
     texts = [
         "Released under the MIT License.", "gnu-general  PUBLIC license, CC BY and cc by", "no licence", "Apache\nlicense license apache license",
