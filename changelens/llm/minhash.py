@@ -10,15 +10,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import components, whole_groups, written
+from .shared import components, split_join, whole_groups, written
 
-#: A pair at similarity 0.8 misses all of 24 bands of 4 rows once in 300,000.
-BANDS, ROWS = 24, 4
+#: A pair at similarity 0.8 misses all of 28 bands of 4 rows once in 2.5 million, were its bins independent.
+BANDS, ROWS = 28, 4
 BINS = BANDS * ROWS
 #: Members of a bucket that are compared with each other at once; larger buckets are compared block by block.
 BLOCK = 1024
-#: Of the 96 stored bytes, so many agree at similarity 0.8 but for a chance of one in ten million.
-AGREE = 56
+#: Of the 112 stored bytes, so many agree at similarity 0.8 but for a chance of one in ten million.
+AGREE = 64
+#: Sets of so many shingles fill too few bins for that and meet by prefixes, without a chance to miss. Those of up to SMALL_MOST, which may be
+#: linked with them, do both.
+SMALL, SMALL_MOST = 32, 40
+#: Rows of a block that meet all others before the rest do.
+PIVOTS = 8
+#: A shingle that is in more small sets than this, and in more than one in 2000 of them, comes last in prefixes.
+FREQUENT, FREQUENT_SHARE = 1000, 2000
 #: Word hashes that a worker remembers.
 REMEMBERED = 300_000
 
@@ -61,6 +68,11 @@ def shingle_set(text: str | None, words: Words, k: int) -> np.ndarray:
     return np.unique(_mix(out))
 
 
+def _sums(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    return int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s + _A)).astype(np.int64)) if len(s) else 0
+
+
 def _probes() -> np.ndarray:
     """For each bin, the bins to copy from, in order; from a fixed rule, so that all workers agree."""
     tries = np.arange(4 * BINS, dtype=np.uint64)[:, None]
@@ -87,14 +99,16 @@ def _marks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
     words, probes = Words(), _probes()
     band = np.arange(BANDS, dtype=np.uint64)
     for b in batches:
-        n_out, a_out, b_out, keys_out, sig_out = [], [], [], [], []
+        n_out, a_out, b_out, keys_out, sig_out, small_out = [], [], [], [], [], []
         with np.errstate(over="ignore"):
             for text in b.column(1):
                 s = shingle_set(text.as_py(), words, k)
                 n_out.append(len(s))
-                a_out.append(int(s.sum(dtype=np.uint64).astype(np.int64)))
-                b_out.append(int(np.bitwise_xor.reduce(_mix(s + _A)).astype(np.int64)) if len(s) else 0)
-                if len(s):
+                a, b2 = _sums(s)
+                a_out.append(a)
+                b_out.append(b2)
+                small_out.append(s.astype(np.int64) if 0 < len(s) <= SMALL_MOST else None)
+                if len(s) > SMALL:
                     v = signature(s, probes)
                     keys = band
                     for r in range(ROWS):
@@ -104,15 +118,31 @@ def _marks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
                 else:
                     keys_out.append(np.zeros(0, np.int64))
                     sig_out.append(b"")
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_out, pa.int64()), pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(keys_out, pa.list_(pa.int64())), pa.array(sig_out, pa.binary())], ["id", "n", "ha", "hb", "keys", "sig"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_out, pa.int64()), pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(keys_out, pa.list_(pa.int64())), pa.array(sig_out, pa.binary()), pa.array(small_out, pa.list_(pa.int64()))], ["id", "n", "ha", "hb", "keys", "sig", "small"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     words = Words()
     for b in batches:
         with np.errstate(over="ignore"):
-            sets = [shingle_set(t.as_py(), words, k).astype(np.int64) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+            sets = [shingle_set(t.as_py(), words, k) for t in b.column(1)]
+            ha, hb = zip(*map(_sums, sets), strict=True) if sets else ((), ())
+        arrays = [b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(ha, pa.int64()), pa.array(hb, pa.int64()), pa.array([x.astype(np.int64) for x in sets], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "ha", "hb", "shingles"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """key, id: a set's first shingles in an order that all sets share, frequent ones last: so many that two linked sets share one of them."""
+    for b in batches:
+        ids, keys = [], []
+        for key, s in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            s = s.values.to_numpy()
+            order = np.lexsort((s, np.isin(s, frequent)))
+            first = s[order[: len(s) - -(-percent * len(s) // 100) + 1]]
+            ids.append(np.full(len(first), key, np.int64))
+            keys.append(first)
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["key", "id"])
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -126,13 +156,13 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray
             return least
 
 
-def _stars(batches: Iterator[pa.RecordBatch], group: str, pairs) -> Iterator[pa.RecordBatch]:
+def _stars(batches: Iterator[pa.RecordBatch], pairs) -> Iterator[pa.RecordBatch]:
     """Edges to the smallest id of each local component, for each group's pair of blocks. pairs gives the edges
     among some rows of a table: (table, first rows, second rows) -> (i, j). At most an edge for each row."""
-    for t in whole_groups(batches, [group, "x", "y"]):
-        key, x, y, blk, ids = (t[c].to_numpy() for c in (group, "x", "y", "blk", "id"))
+    for t in whole_groups(batches, ["key", "x", "y"]):
+        key, x, y, blk, ids = (t[c].to_numpy() for c in ("key", "x", "y", "blk", "id"))
         cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-        out_a, out_b = [], []
+        out_key, out_a, out_b = [], [], []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
             if b - a < 2:
                 continue
@@ -141,79 +171,163 @@ def _stars(batches: Iterator[pa.RecordBatch], group: str, pairs) -> Iterator[pa.
             if len(i):
                 least = _forest(b - a, i, j, ids[a:b])
                 at = np.flatnonzero(least != ids[a:b])
+                out_key.append(np.full(len(at), key[a]))
                 out_a.append(ids[a:b][at])
                 out_b.append(least[at])
         if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (out_key, out_a, out_b)], ["key", "a", "b"])
+
+
+def _edges(component: np.ndarray, one: np.ndarray, two: np.ndarray, check, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (i, j) that join rows of one with rows of two as all pairs that pass the check would. check(p, q) gives a matrix.
+
+    Some rows meet all others first; where near copies are many, that joins most of them, and only pairs of different components are left."""
+    label, left, right, tried = component.copy(), [], [], set()
+
+    def meet(p: np.ndarray, q: np.ndarray) -> None:
+        for start in range(0, len(p), chunk):
+            rows = p[start : start + chunk]
+            i, j = np.nonzero(check(rows, q) & (rows[:, None] != q[None, :]))
+            left.append(rows[i])
+            right.append(q[j])
+
+    for _ in range(PIVOTS):
+        fresh = next((p for p in one if label[p] not in tried), None)
+        if fresh is None:
+            break
+        meet(np.array([fresh]), two)
+        label[np.isin(label, label[right[-1]])] = label[fresh]
+        tried.add(label[fresh])
+    names, times = np.unique(label[np.concatenate([one, two])], return_counts=True)
+    main = names[times.argmax()]
+    if len(names) > 1:
+        meet(one[label[one] != main], two)
+        if one[0] != two[0]:
+            meet(two[label[two] != main], one[label[one] == main])
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _alike(sig: np.ndarray, n: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose sizes and signatures allow a link."""
-    left, right = [], []
-    for start in range(0, len(one), 64):
-        p = one[start : start + 64]
-        ok = (sig[p][:, None, :] == sig[two][None, :, :]).sum(2) >= AGREE
-        ok &= 100 * np.minimum(n[p][:, None], n[two][None, :]) >= percent * np.maximum(n[p][:, None], n[two][None, :])
-        ok &= p[:, None] != two[None, :]
-        i, j = np.nonzero(ok)
-        left.append(p[i])
-        right.append(two[j])
-    return np.concatenate(left), np.concatenate(right)
+def _sized(n: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum(n[p][:, None], n[q][None, :]) >= percent * np.maximum(n[p][:, None], n[q][None, :])
 
 
-def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, BINS), t["n"].to_numpy()
+def _signatures(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, BINS)
 
 
 def _candidates(percent: int):
+    """Pairs whose sizes and signatures allow a link."""
+
     def pairs(t: pa.Table, one: np.ndarray, two: np.ndarray):
-        sig, n = _columns(t)
-        return _alike(sig, n, one, two, percent)
+        n, sig = t["n"].to_numpy(), _signatures(t)
+        check = lambda p, q: _sized(n, p, q, percent) & ((sig[p][:, None, :] == sig[q][None, :, :]).sum(2) >= AGREE)
+        return _edges(t["component"].to_numpy(), one, two, check, 64)
 
     return pairs
 
 
-def _confirmed(percent: int):
-    """Pairs whose full sets have 100 * intersection >= percent * union. Intersections of many pairs are a product
-    of 0/1 matrices, some columns (shingles) at a time."""
+def _confirmed(percent: int, by_signature: bool):
+    """Pairs whose full sets have 100 * intersection >= percent * union, of those that sizes, and signatures if asked, allow. Intersections
+    of many pairs are a product of 0/1 matrices, some columns (shingles) at a time."""
 
     def pairs(t: pa.Table, one: np.ndarray, two: np.ndarray):
-        sig, n = _columns(t)
-        i, j = _alike(sig, n, one, two, percent)
-        if not len(i):
-            return i, j
+        n, sig = t["n"].to_numpy(), _signatures(t) if by_signature else None
         sets = t["shingles"].combine_chunks()
         values, offsets = sets.values.to_numpy(), sets.offsets.to_numpy()
-        if len(i) <= 4 * t.num_rows:
-            common = np.array([len(np.intersect1d(values[offsets[a] : offsets[a + 1]], values[offsets[b] : offsets[b + 1]], True)) for a, b in zip(i, j, strict=True)])
-        else:
-            known, column, times = np.unique(values, return_inverse=True, return_counts=True)
-            row = np.repeat(np.arange(t.num_rows), np.diff(offsets))
-            shared = times[column] > 1  # a shingle of one document alone is in no intersection
-            row, column = row[shared], np.cumsum(times > 1)[column[shared]] - 1
-            order = np.argsort(column, kind="stable")
-            row, column = row[order], column[order]
-            total = np.zeros((len(one), len(two)), np.float32)
-            for at in range(0, int((times > 1).sum()), 4096):
-                lo, hi = np.searchsorted(column, [at, at + 4096])
+        known, column = np.unique(values, return_inverse=True)
+        row = np.repeat(np.arange(t.num_rows), np.diff(offsets))
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+
+        def common(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+            if len(p) == 1:
+                inside = np.concatenate([[0], np.cumsum(np.isin(values, values[offsets[p[0]] : offsets[p[0] + 1]]))])
+                return (inside[offsets[q + 1]] - inside[offsets[q]])[None, :]
+            wanted = np.zeros(t.num_rows, bool)
+            wanted[p] = True
+            has = np.zeros(len(known), bool)
+            has[column[wanted[row]]] = True
+            keep = has[column]
+            at, where = np.cumsum(has)[column[keep]] - 1, row[keep]
+            total = np.zeros((len(p), len(q)), np.float32)
+            for start in range(0, int(has.sum()), 4096):
+                lo, hi = np.searchsorted(at, [start, start + 4096])
                 m = np.zeros((t.num_rows, 4096), np.float32)
-                m[row[lo:hi], column[lo:hi] - at] = 1
-                total += m[one] @ m[two].T
-            where_one, where_two = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
-            where_one[one], where_two[two] = np.arange(len(one)), np.arange(len(two))
-            common = total[where_one[i], where_two[j]].astype(np.int64)
-        ok = 100 * common >= percent * (n[i] + n[j] - common)
-        return i[ok], j[ok]
+                m[where[lo:hi], at[lo:hi] - start] = 1
+                total += m[p] @ m[q].T
+            return total.astype(np.int64)
+
+        def check(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+            ok = _sized(n, p, q, percent)
+            if sig is not None:
+                for start in range(0, len(p), 64):
+                    ok[start : start + 64] &= (sig[p[start : start + 64]][:, None, :] == sig[q][None, :, :]).sum(2) >= AGREE
+            if ok.sum() <= 4 * len(p) and len(p) > 1:
+                for i, j in zip(*np.nonzero(ok), strict=True):
+                    a, b = p[i], q[j]
+                    both = len(np.intersect1d(values[offsets[a] : offsets[a + 1]], values[offsets[b] : offsets[b + 1]], True))
+                    ok[i, j] = 100 * both >= percent * (n[a] + n[b] - both)
+            elif ok.any():
+                both = common(p, q)
+                ok &= 100 * both >= percent * (n[p][:, None] + n[q][None, :] - both)
+            return ok
+
+        return _edges(t["component"].to_numpy(), one, two, check, 256)
 
     return pairs
 
 
-def _dealt(rows: DataFrame, group: str, size: str, others: list[str]) -> DataFrame:
-    """The rows of each group in pairs of blocks of bounded size, each pair in one task."""
-    blocks = F.ceil(F.col(size) / BLOCK).cast("int")
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(group, F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"), "blk", "id", *others)
-    return rows.repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
+def _compared(rows: DataFrame, pairs) -> DataFrame:
+    """key, a, b: the stars of each pair of blocks (x, y), each in one task. rows: key, x, y, blk, id, component and what pairs reads."""
+    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return dealt.mapInArrow(lambda it: _stars(it, pairs), "key long, a long, b long")
+
+
+def _block(count, first=0):
+    """A row's block, by its id, of as many as count rows need."""
+    return (F.lit(first) + F.pmod(F.xxhash64("id"), F.ceil(F.col(count) / BLOCK))).cast("int")
+
+
+def _blocks(count):
+    return F.ceil(F.col(count) / BLOCK).cast("int")
+
+
+def _meeting(rows: DataFrame, others, extra: list[str]) -> DataFrame:
+    """Each row once for each block that its own one (blk) meets: those numbers below others."""
+    met = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), others - 1)))
+    return met.select("key", F.least("blk", "__other").alias("x"), F.greatest("blk", "__other").alias("y"), "blk", "id", "component", *extra)
+
+
+def links_in_groups(members: DataFrame, about: DataFrame, total: int, pairs) -> DataFrame:
+    """a, b: edges whose components are those of all pairs within groups. members: key, id (total rows), about: id and what pairs reads.
+
+    Groups of up to BLOCK rows are compared at once; an edge leaves for each row at most. Of a larger group, each row meets its own block first.
+    Then only the smallest ids of what is joined by then meet each other. Only in groups that are not one component after that, rows
+    outside the largest one meet all blocks, and those within it only them. So a large group of near copies is sent once, and what grows with
+    the square of a group is what does not belong together."""
+    extra = [c for c in about.columns if c != "id"]
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "group-sizes")
+    placed = split_join(members, sizes, "key", "members", total).withColumn("blk", _block("members")).join(about, "id").withColumn("component", F.col("id"))
+    first = written(_compared(placed.select("key", F.col("blk").alias("x"), F.col("blk").alias("y"), "blk", "id", "component", *extra), pairs), "links-in-blocks")
+    large = sizes.where(F.col("members") > BLOCK)
+    if large.isEmpty():
+        return first.select("a", "b")
+    rows = written(split_join(members, large, "key", "members", total).join(about, "id"), "large-groups")
+    least = rows.join(first.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti").drop("members")
+    counts = written(least.groupBy("key").agg(F.count("*").alias("least")), "large-least")
+    meet = split_join(least, counts.where("least > 1"), "key", "least", total).withColumn("blk", _block("least")).withColumn("component", F.col("id"))
+    second = written(_compared(_meeting(meet, _blocks("least"), extra), pairs), "links-of-least")
+    joined = components(first.unionByName(second).select("a", "b"))
+    # a group of which only single rows are left has met already
+    still = rows.join(counts.where("least > 1"), "key", "left_semi").join(joined, rows["id"] == joined["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
+    parts = still.groupBy("key", "component").agg(F.count("*").alias("n_part"))
+    largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n_part", "component")).alias("main"), F.max("n_part").alias("inside"), F.sum("n_part").alias("all"))
+    largest = written(largest.join(counts.withColumnRenamed("least", "n_least"), "key").where("inside < all AND n_least < all").select("key", "main", "inside", (F.col("all") - F.col("inside")).alias("outside"), "all"), "group-parts")
+    open_rows = split_join(still.drop("members"), largest, "key", "all", total)
+    main, away = F.col("component") == F.col("main"), _blocks("outside")
+    open_rows = open_rows.withColumn("blk", F.when(main, away + _block("inside")).otherwise(_block("outside")).cast("int"))
+    third = written(_compared(_meeting(open_rows, F.when(main, away).otherwise(away + _blocks("inside")), extra), pairs), "links-of-rest")
+    return first.unionByName(second).unionByName(third).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,32 +335,40 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
 
     Documents whose sets of k-word shingles have 100 * intersection >= percent * union are linked; the component
     is the smallest id that links reach. Documents with equal sets form a class, of which the one with the
-    smallest id goes on. Each of these has 24 bucket keys. In every bucket, signatures tell which members may be
+    smallest id goes on. Each of these has BANDS bucket keys. In every bucket, signatures tell which members may be
     similar, and each candidate component gives a star of edges to its smallest id, so edges grow with members and not with their
-    square. Documents that stars join are a candidate group; there the full sets of all pairs that signatures
-    do not rule out are compared, and again only stars of confirmed links leave the task. Buckets and groups are not
-    capped: large ones are dealt out in pairs of blocks.
+    square. Documents that stars join are a candidate group; there the full sets of pairs that signatures
+    do not rule out are compared, and again only stars of confirmed links leave the task. Small sets meet by the prefixes
+    of their sets instead, and are compared in full at once. Buckets and groups are not capped: see links_in_groups.
 
     Documents without words (also null or empty texts) are linked with nothing. Rows without an id stand alone:
-    component_id null, kept true. Rows with the same id are one document, for which one of the texts stands.
+    component_id null, kept true. Rows with the same id are one document, for which the text with the least hashes stands.
     Repeated rows each give a row; an empty table gives an empty one; other columns are not read."""
     src = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    marks = written(src.mapInArrow(lambda it: _marks(it, k), "id long, n long, ha long, hb long, keys array<bigint>, sig binary"), "marks")
+    marks = written(src.mapInArrow(lambda it: _marks(it, k), "id long, n long, ha long, hb long, keys array<bigint>, sig binary, small array<bigint>"), "marks")
     same = ["n", "ha", "hb"]
     classes = written(marks.where("n > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
-    reps = written(marks.join(classes, [*(marks[c] == classes[c] for c in same), marks["id"] == classes["rep"]], "left_semi").select("id", "n", "keys", "sig").dropDuplicates(["id"]), "reps")
-    keyed = reps.select("id", "n", "sig", F.explode("keys").alias("key"))
-    buckets = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    dealt = _dealt(keyed.join(buckets, "key"), "key", "members", ["n", "sig"])
-    candidates = written(dealt.mapInArrow(lambda it: _stars(it, "key", _candidates(percent)), "a long, b long").distinct(), "candidates")
-    groups = written(components(candidates).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups")
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    reps = marks.join(classes, [*(marks[c] == classes[c] for c in same), marks["id"] == classes["rep"]], "left_semi").groupBy("id").agg(F.min_by(F.struct(*same, "keys", "sig", "small"), F.struct(*same)).alias("r"))
+    reps = written(reps.select("id", "r.*"), "reps")
+    n_large, n_small = reps.agg(F.count_if(F.col("n") > SMALL), F.count("small")).first()
+
+    about = reps.where(F.col("n") > SMALL).select("id", "n", "sig")
+    buckets = reps.select(F.explode("keys").alias("key"), "id")
+    candidates = written(links_in_groups(buckets, about, BANDS * n_large, _candidates(percent)).distinct(), "candidates")
+    groups = written(components(candidates).select(F.col("component").alias("key"), F.col("node").alias("id")), "groups")
     texts = src.join(groups.select("id").hint("shuffle_hash"), "id", "left_semi")
-    sets = texts.mapInArrow(lambda it: _sets(it, k), "id long, shingles array<bigint>").dropDuplicates(["id"])
-    grouped = groups.join(sizes, "grp").join(reps.select("id", "n", "sig"), "id").join(sets, "id")
-    dealt = _dealt(grouped, "grp", "members", ["n", "sig", "shingles"])
-    links = written(dealt.mapInArrow(lambda it: _stars(it, "grp", _confirmed(percent)), "a long, b long"), "links")
-    joined = components(links)
+    sets = texts.mapInArrow(lambda it: _sets(it, k), "id long, n long, ha long, hb long, shingles array<bigint>")
+    sets = written(sets.join(reps.select("id", *same), ["id", *same], "left_semi").dropDuplicates(["id"]), "sets")
+    links = links_in_groups(groups, about.join(sets.select("id", "shingles"), "id"), n_large, _confirmed(percent, True))
+
+    small = reps.where("small IS NOT NULL").select("id", F.col("small").alias("shingles"))
+    often = small.select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") > max(FREQUENT, n_small // FREQUENT_SHARE))
+    # every set has SMALL_MOST shingles at most, so that is SMALL_MOST * FREQUENT_SHARE numbers at most
+    frequent = np.array([r["s"] for r in often.collect()], np.int64)
+    prefixes = written(small.mapInArrow(lambda it: _prefixes(it, percent, frequent), "key long, id long"), "prefixes")
+    links = links.union(links_in_groups(prefixes, small.withColumn("n", F.size("shingles").cast("long")), prefixes.count(), _confirmed(percent, False)))
+
+    joined = components(written(links, "links"))
     of_class = classes.join(joined, classes["rep"] == joined["node"], "left").select(*same, F.coalesce("component", "rep").alias("component"))
     rows = marks.select("id", *same).join(of_class, same, "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

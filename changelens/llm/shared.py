@@ -9,10 +9,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: A join gives rows of its own to keys with more rows than this, and at least one in MOST_HOT of all: so there are MOST_HOT such keys at most.
+HOT_ROWS, MOST_HOT = 256, 2000
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one where that is unset and Spark runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = getattr(spark.sparkContext, "_changelens_scratch", None)
         if not named:
             named = tempfile.mkdtemp(prefix="spark-changelens-")
@@ -41,28 +47,38 @@ def prefix_offsets(totals: DataFrame, group: list[str], order: str, value: str,
     return totals.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
 
 
+def split_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """rows joined with groups, which has one row for each key, with its number of rows as size; total is the number of all rows.
+
+    No task gets a hot key whole: the groups of hot keys, MOST_HOT at most whatever the tables' size, are broadcast, and only
+    the others are met by a shuffle."""
+    most = max(HOT_ROWS, total // MOST_HOT)
+    hot = F.broadcast(groups.where(F.col(size) > most))
+    rest = rows.join(hot.select(key), key, "left_anti").join(groups.where(F.col(size) <= most), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """Connected components of an undirected graph.
 
     edges: a, b (long). Returns node, component (the smallest node that can be reached), a row for each node
     that has an edge. Alternates large-star and small-star steps (Kiveris et al. 2014): each is a grouped
-    minimum (combined before the shuffle) and a join, and no group is ever gathered in one task.
+    minimum (combined before the shuffle) and a join, split where a node has many edges, and no group is ever gathered in one task.
     Self loops and repeated edges do no harm; an empty table gives an empty one.
     """
-    spark = edges.sparkSession
     star = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    before, total = None, 2 * star.count()
     for _ in range(rounds):
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").where("v != m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = split_join(both, least, "u", "n", total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = split_join(large, down, "u", "n", total).where("v != m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         star = written(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "star")
         now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
-        before = now
+        before, total = now, 2 * now[0]
     else:
         raise RuntimeError(f"components have not converged after {rounds} rounds")
     roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from changelens.llm import html, licenses, minhash, mixing, packing, search, sharding, tokens, toxicity, vectors
@@ -257,6 +258,51 @@ def test_large_bucket_in_blocks(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_groups_in_blocks(spark, monkeypatch):
+    """A group of several blocks, of which some rows belong together, some only by a chain, and most not at all."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = np.random.default_rng(9)
+    rows, sets = [], {}
+    for i in range(150):
+        kind = i % 5
+        base = {"a": range(100), "b": range(50, 150), "c": range(i * 1000, i * 1000 + 100)}["aabcc"[kind]]
+        s = {*base, *(int(x) for x in rng.integers(10**6, 10**7, 4))} if kind < 4 else {*range(i, i + 100)}
+        sets[i] = s
+        rows.append((7, i, sorted(s)))
+    rows += [(8, 1000, [1, 2]), (8, 1001, [1, 2, 3])]
+    df = spark.createDataFrame(rows, "key long, id long, shingles array<long>").withColumn("n", F.size("shingles").cast("long"))
+    links = minhash.links_in_groups(df.select("key", "id"), df.select("id", "n", "shingles"), df.count(), minhash._confirmed(80, False))
+    got = dict(components(links).collect())
+    want = brute_components(150, [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    assert all(got.get(i, i) == want[i] for i in sets) and 1001 not in got and len({*want}) > 30
+
+
+def test_bucket_of_20000(spark):
+    """Near copies of one text: no row goes to more than its own block, and they are one component."""
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 70), x -> concat('w', x)), concat('own', id)) AS text")
+    got = minhash.near_duplicates(df, 4, 80)
+    assert got.agg(F.max("component_id"), F.count_if("kept")).first()[:] == (0, 1)
+
+
+def test_small_sets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FREQUENT", 50)
+    rng = np.random.default_rng(10)
+    texts = []
+    for n in (*range(4, 14), 20, 35, 42):
+        for _ in range(40):
+            words = ["the", "same", "start", "here", "now", *(f"v{x}" for x in rng.integers(0, 10**6, n))]
+            texts += [words, [*words, "more"], words[:-1]]
+    sets = [{tuple(t[k : k + 4]) for k in range(len(t) - 3)} for t in texts]
+    by = collections.defaultdict(set)
+    for i, s in enumerate(sets):
+        for x in s:
+            by[x].add(i)
+    near = {(a, b) for i, s in enumerate(sets) for x in s if len(by[x]) < 50 for a, b in [(i, j) for j in by[x]] if a < b}
+    want = brute_components(len(sets), [(a, b) for a, b in near if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table(spark, [(i, " ".join(t), None) for i, t in enumerate(texts)]), 4, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((60, 16))
