@@ -47,14 +47,14 @@ def prefix_offsets(totals: DataFrame, group: list[str], order: str, value: str,
     return totals.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
 
 
-def split_join(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """rows joined with groups, which has one row for each key, with its number of rows as size; total is the number of all rows.
+def split_join(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
+    """rows joined with groups, which has one row for each key (of one column or several), with its number of rows as size; total is the number of all rows.
 
     No task gets a hot key whole: the groups of hot keys, MOST_HOT at most whatever the tables' size, are broadcast, and only
     the others are met by a shuffle."""
     most = max(HOT_ROWS, total // MOST_HOT)
     hot = F.broadcast(groups.where(F.col(size) > most))
-    rest = rows.join(hot.select(key), key, "left_anti").join(groups.where(F.col(size) <= most), key)
+    rest = rows.join(hot.drop(*{*groups.columns}.difference([key] if isinstance(key, str) else key)), key, "left_anti").join(groups.where(F.col(size) <= most), key)
     return rows.join(hot, key).unionByName(rest)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, whole_groups, written
+from .shared import components, split_join, whole_groups, written
 
 #: Expected rows of a bucket that the number of hashes of a key aims at.
 BUCKET_ROWS = 512
@@ -114,32 +114,21 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], ["id", "unit"])
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, extra: int, dim: int, full: bool) -> Iterator[pa.RecordBatch]:
-    """A row for each bucket of a vector: with full, all that comparing needs."""
+def _hashed(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, extra: int, dim: int) -> Iterator[pa.RecordBatch]:
+    """Each vector with its bucket keys, as a list of tables * (1 + extra) numbers and as bytes. A vector of another length
+    has one key alone, by its length."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             b = batch.slice(at, 2000)
             units = b.column("unit").to_pylist()
             same = np.array([len(u) == 8 * dim for u in units], bool)
-            # vectors of another length have buckets of their own, by their length alone
-            keys = np.zeros((len(units), tables, 1 + extra), np.int64)
+            keys: list = [np.array([-len(u)], np.int64) for u in units]
             if same.any():
-                keys[same] = probes(np.frombuffer(b"".join(u for u, s in zip(units, same, strict=True) if s)).reshape(-1, dim), tables, hashes, extra)
-            for i in np.flatnonzero(~same):
-                keys[i] = -len(units[i])
-            n = len(units)
-            tbl = np.broadcast_to(np.arange(tables, dtype=np.int32)[None, :, None], keys.shape).reshape(-1)
-            first = np.broadcast_to(np.arange(1 + extra)[None, None, :] == 0, keys.shape).reshape(-1)
-            row = np.repeat(np.arange(n), tables * (1 + extra))
-            # a vector of another length stands in its bucket once
-            stay = same[row] | first & (tbl == 0)
-            row, tbl, first, flat = row[stay], tbl[stay], first[stay], keys.reshape(-1)[stay]
-            arrays, names = [pa.array(tbl), pa.array(flat)], ["tbl", "key"]
-            if full:
-                packed = [k.tobytes() for k in keys]
-                arrays += [b.column("id").take(pa.array(row)), b.column("copies").take(pa.array(row)), pa.array(first), b.column("unit").take(pa.array(row)), pa.array(packed, pa.binary()).take(pa.array(row))]
-                names += ["id", "copies", "own", "unit", "probes"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                found = probes(np.frombuffer(b"".join(u for u, s in zip(units, same, strict=True) if s)).reshape(-1, dim), tables, hashes, extra)
+                for i, k in zip(np.flatnonzero(same), found, strict=True):
+                    keys[i] = k.reshape(-1)
+            arrays = [*(b.column(c) for c in ("id", "copies", "unit")), pa.array([k.tobytes() for k in keys], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "copies", "unit", "probes", "keys"])
 
 
 def _pairs_here(pi: np.ndarray, pj: np.ndarray, table: int, key: int) -> np.ndarray:
@@ -210,7 +199,8 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vec
     capped: large ones are dealt out in pairs of blocks. Pairs are only counted where they meet, never written.
 
     Vectors that are null, empty, zero, or hold null or non-finite components have no links and stand alone.
-    Vectors of different lengths are never linked. Rows with the same id are one vector. A row without an id has no links and
+    Vectors of different lengths are never linked. Rows with the same id are one vector, of different ones
+    that with the least hashes. A row without an id has no links and
     no component, and is kept. An empty table gives an empty one; other columns are not read."""
     spark = df.sparkSession
     src = df.select(df[id_col].cast("long").alias("id"), df[vec_col].cast("array<double>").alias("v"))
@@ -218,17 +208,19 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vec
     base = written(base.withColumn("ha", F.xxhash64("unit")).withColumn("hb", F.xxhash64(F.lit(7), "unit")), "vectors")
     known = base.where("id IS NOT NULL AND unit IS NOT NULL")
     classes = written(known.select("ha", "hb", "id").distinct().groupBy("ha", "hb").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    reps = known.join(classes, (known["id"] == classes["rep"]) & (known["ha"] == classes["ha"]) & (known["hb"] == classes["hb"])).select("id", "copies", "unit").dropDuplicates(["id"])
+    reps = known.join(classes, (known["id"] == classes["rep"]) & (known["ha"] == classes["ha"]) & (known["hb"] == classes["hb"]))
+    reps = reps.groupBy("id").agg(F.min_by(F.struct("copies", "unit"), F.struct(known["ha"], known["hb"])).alias("r")).select("id", "r.*")
     reps = written(reps, "vector-reps")
     lengths = reps.groupBy((F.length("unit") / 8).cast("int").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     rows, dim = (lengths["count"], lengths["dim"]) if lengths else (0, 1)
     tables, hashes, extra = settings(rows, dim, cosine)
-    thin = reps.mapInArrow(lambda it: _hashed(it, tables, hashes, extra, dim, False), "tbl int, key long")
+    hashed = written(reps.mapInArrow(lambda it: _hashed(it, tables, hashes, extra, dim), "id long, copies long, unit binary, probes binary, keys array<bigint>"), "vector-probes")
+    thin = hashed.select("id", F.posexplode("keys").alias("pos", "key"))
+    thin = thin.select("id", F.floor(F.col("pos") / (1 + extra)).cast("int").alias("tbl"), "key", (F.col("pos") % (1 + extra) == 0).alias("own"))
     sizes = written(thin.groupBy("tbl", "key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
-    full = reps.mapInArrow(lambda it: _hashed(it, tables, hashes, extra, dim, True), "tbl int, key long, id long, copies long, own boolean, unit binary, probes binary")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows_in = full.join(sizes, ["tbl", "key"]).withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows_in = rows_in.select("tbl", "key", F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"), "blk", "id", "copies", "own", "unit", "probes")
+    rows_in = split_join(thin, sizes, ["tbl", "key"], "n", rows * tables * (1 + extra)).withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows_in = rows_in.select("tbl", "key", F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"), "blk", "id", "own").join(hashed.drop("keys"), "id")
     dealt = rows_in.repartition("tbl", "key", "x", "y").sortWithinPartitions("tbl", "key", "x", "y")
     found = written(dealt.mapInArrow(lambda it: _linked(it, tables, extra, cosine), "a long, b long, links long"), "vector-links")
     joined = components(found.select("a", "b"))
