@@ -96,7 +96,21 @@ SELECT d.doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words, count(*) FILTER
 FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+_VALID = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+
 ORACLE_SQL = {
+    "op4_embedding_dedup": f"""
+WITH RECURSIVE valid AS MATERIALIZED ({_VALID}),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1), counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id""",
+    "op10_nearest": f"""
+WITH valid AS MATERIALIZED ({_VALID}),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM valid q JOIN valid c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20""",
     "op9_licenses": _license_sql(),
     "op6_minhash": r"""
 WITH RECURSIVE words AS MATERIALIZED (

@@ -128,7 +128,7 @@ def _searched(batches: Iterator[pa.RecordBatch], book: Codebook, k: int) -> Iter
                 for n, q in enumerate(tile):
                     near = np.flatnonzero(scores[n] >= least[n])  # with all that tie
                     near = near[data_ids[near] != ids[q]]
-                    exact = (data[near] * v[q]).sum(1)
+                    exact = np.cumsum(data[near] * v[q], axis=1)[:, -1]  # in order, as SQL sums
                     best = np.lexsort((data_ids[near], -exact))[:k]
                     out_q.append(np.full(len(best), ids[q]))
                     out_i.append(data_ids[near[best]])

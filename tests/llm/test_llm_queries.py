@@ -16,7 +16,8 @@ def test_query(spark, name):
     assert rows
     if sql := queries.ORACLE_SQL.get(name):
         con = duckdb.connect()
-        con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+        for table in ("documents", "embeddings"):
+            con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
         want = con.sql(sql)
         columns = sorted(df.columns)
         assert columns == sorted(want.columns)
