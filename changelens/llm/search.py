@@ -136,6 +136,33 @@ def _searched(batches: Iterator[pa.RecordBatch], book: Codebook, k: int) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_i, out_s)], ["query_id", "vec_id", "score"])
 
 
+def _compared(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The same without codes, each query with all rows of its length in the block."""
+    for t in whole_groups(batches, ["block", "qblock"]):
+        block, qblock = t["block"].to_numpy(), t["qblock"].to_numpy()
+        cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(qblock) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+            g = t.slice(a, b - a)
+            asks, ids, raw = g["asks"].to_numpy(), g["id"].to_numpy(), g["v"].to_pylist()
+            by: dict[int, tuple[list[int], list[int]]] = {}
+            for n, v in enumerate(raw):
+                by.setdefault(len(v), ([], []))[int(asks[n])].append(n)
+            out_q, out_i, out_s = [], [], []
+            for rows, qs in by.values():
+                if not rows:
+                    continue
+                data, data_ids = np.frombuffer(b"".join(raw[n] for n in rows)).reshape(len(rows), -1), ids[rows]
+                for q in qs:
+                    exact = np.cumsum(data * np.frombuffer(raw[q]), axis=1)[:, -1]
+                    best = np.lexsort((data_ids, -exact))[: k + 1]
+                    best = best[data_ids[best] != ids[q]][:k]
+                    out_q.append(np.full(len(best), ids[q]))
+                    out_i.append(data_ids[best])
+                    out_s.append(exact[best])
+            if out_q:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_i, out_s)], ["query_id", "vec_id", "score"])
+
+
 def nearest(df: DataFrame, queries: str, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k rows with the largest inner product (in double precision, on the
     original vectors) for each row that the condition queries (on the column vec_id) picks, ties to the smaller id; a row is no neighbour of itself.
@@ -144,17 +171,18 @@ def nearest(df: DataFrame, queries: str, k: int, id_col: str = "vec_id", vec_col
     each meeting a table scan of the four-bit codes picks RERANK rows for each query, and all that tie with the
     last, which are scored exactly. Equal vectors have equal codes, so ties are never split. Each meeting gives k rows for each query.
 
-    Vectors that are null, empty, zero, of another length than most, or that hold null or non-finite components take no part, nor do rows
-    without an id; rows with the same id are one vector; with fewer candidates than k all are returned; an empty table gives an empty one."""
+    Vectors that are null, empty, zero, or that hold null or non-finite components take no part, nor do rows without an id. A vector meets those of its
+    own length; the quantiser is for the most frequent length, and vectors of others, of which there are few, are compared as they are. Rows with the same
+    id are one vector, of different ones the first in order; with fewer candidates than k all are returned; an empty table gives an empty one."""
     src = df.select(df[id_col].cast("long").alias("id"), df[vec_col].cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    valid = written(src.where(finite).where(F.exists("v", lambda x: x != 0)).dropDuplicates(["id"]), "search-vectors")
+    valid = written(src.where(finite).where(F.exists("v", lambda x: x != 0)).groupBy("id").agg(F.min("v").alias("v")), "search-vectors")
     by_dim = valid.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if by_dim is None:
         return df.sparkSession.createDataFrame([], schema)
-    dim, n = by_dim["dim"], by_dim["count"]
-    valid = valid.where(F.size("v") == dim)
+    dim, n, total = by_dim["dim"], by_dim["count"], valid.count()
+    other, valid = valid.where(F.size("v") != dim), valid.where(F.size("v") == dim)
     part = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_ROWS / n))
     sample = valid.where(part).select("v").toPandas()["v"] if n else []
     book = Codebook(dim)
@@ -168,14 +196,24 @@ def nearest(df: DataFrame, queries: str, k: int, id_col: str = "vec_id", vec_col
                 x = np.stack(b.column(1).to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in book.pack(book.encode(x))], pa.binary())], ["id", "v", "codes"])
 
-    coded = written(valid.select("id", "v").mapInArrow(encode, "id long, v binary, codes binary"), "search-codes")
-    asked = coded.where(queries.replace("vec_id", "id"))
-    blocks, qblocks = -(-n // DATA_BLOCK), max(1, -(-asked.count() // QUERY_BLOCK))
-    spread = lambda name, salt, total: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(total)).cast("int").alias(name)
-    every = lambda name, total: F.explode(F.sequence(F.lit(0), F.lit(total - 1))).alias(name)
-    rows = coded.select(spread("block", 1, blocks), every("qblock", qblocks), F.lit(False).alias("asks"), "id", "v", "codes")
-    ask = asked.select(every("block", blocks), spread("qblock", 2, qblocks), F.lit(True).alias("asks"), "id", "v", F.lit(None).cast("binary").alias("codes"))
-    dealt = rows.unionByName(ask).repartition("block", "qblock").sortWithinPartitions("block", "qblock")
-    found = dealt.mapInArrow(lambda it: _searched(it, book, k), "query_id long, vec_id long, score double")
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = [np.array(v, np.float64).tobytes() for v in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.nulls(len(raw), pa.binary())], ["id", "v", "codes"])
+
+    def meetings(rows: DataFrame, count: int) -> DataFrame:
+        """Blocks of rows with blocks of queries, each meeting in one task."""
+        asked = rows.where(queries.replace("vec_id", "id"))
+        blocks, qblocks = -(-count // DATA_BLOCK), max(1, -(-asked.count() // QUERY_BLOCK))
+        spread = lambda name, salt, total: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(total)).cast("int").alias(name)
+        every = lambda name, total: F.explode(F.sequence(F.lit(0), F.lit(total - 1))).alias(name)
+        data = rows.select(spread("block", 1, blocks), every("qblock", qblocks), F.lit(False).alias("asks"), "id", "v", "codes")
+        ask = asked.select(every("block", blocks), spread("qblock", 2, qblocks), F.lit(True).alias("asks"), "id", "v", F.lit(None).cast("binary").alias("codes"))
+        return data.unionByName(ask).repartition("block", "qblock").sortWithinPartitions("block", "qblock")
+
+    coded, result = "id long, v binary, codes binary", "query_id long, vec_id long, score double"
+    found = meetings(written(valid.select("id", "v").mapInArrow(encode, coded), "search-codes"), n).mapInArrow(lambda it: _searched(it, book, k), result)
+    if total > n:
+        found = found.union(meetings(written(other.select("id", "v").mapInArrow(as_bytes, coded), "search-others"), total - n).mapInArrow(lambda it: _compared(it, k), result))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

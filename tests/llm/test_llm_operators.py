@@ -344,6 +344,9 @@ def test_search(spark):
         assert len(found) == 10 and all(abs(s[i] - score) < 1e-9 for i, score in found)
     assert hits >= 0.9 * 10 * len(got)
     assert [i for i, _ in got[0][:3]] == [10, 11, 12]
+    short = spark.createDataFrame([(3000, [1.0, 2.0], 0), (3001, [1.0, 0.5], 0), (3002, [3.0], 0)], "vec_id long, embedding array<float>, codes int")
+    mixed = search.nearest(df.unionByName(short), "vec_id % 20 = 0", 10)
+    assert [tuple(r) for r in mixed.where("query_id = 3000").collect()] == [(3000, 1, 3001, 2.0)] and mixed.where("query_id < 3000").count() == 350
     few = search.nearest(df.where("vec_id < 4"), "vec_id % 20 = 0", 10)
     assert few.count() == 3 and search.nearest(df.where("vec_id < 0"), "vec_id % 20 = 0", 10).count() == 0
 
