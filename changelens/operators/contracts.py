@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelens.operators import store
+
 PARAMETER = "array<struct<name:string,required:boolean>>"
 SYMBOL = f"kind string, owner string, name string, line int, positional {PARAMETER}, keyword {PARAMETER}, vararg string, kwarg string, body string, detail string"
 _PARAMETER = pa.list_(pa.struct([("name", pa.string()), ("required", pa.bool_())]))
@@ -184,7 +186,7 @@ def method_owners(classes: DataFrame, bases: DataFrame, methods: DataFrame, dept
         step = step.select("class", F.col("base").alias("owner"), F.array_append("path", F.col("pos")).alias("path"), F.array_append("seen", F.col("base")).alias("seen"))
         # another way to a class that was reached before in order adds nothing
         front = step.groupBy("class", "owner").agg(F.min_by(F.struct("path", "seen"), "path").alias("p")).select("class", "owner", "p.path", "p.seen")
-        front = front.checkpoint() if classes.sparkSession.sparkContext.getCheckpointDir() else front.cache()
+        front = store.written(front, "owners")
         if front.isEmpty():
             break
         every = every.unionByName(front)

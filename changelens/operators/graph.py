@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changelens.operators import store
+
 
 def reachable(edges: DataFrame, starts: DataFrame, depth: int = 20) -> DataFrame:
     """start, node, hops: every node that a start (column node) reaches by edges src -> dst, with the least number of steps.
 
     Breadth first: each round joins the frontier to the edges and drops what is known, so cycles end and no path is
-    carried. depth bounds the rounds; a frontier that is not empty then is an error."""
-    spark = edges.sparkSession
-    seen = starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("hops"))
-    front = seen
-    for hop in range(1, depth + 1):
-        new = front.join(edges, front["node"] == edges["src"]).select("start", F.col("dst").alias("node")).distinct()
-        front = new.join(seen.select("start", "node"), ["start", "node"], "left_anti").withColumn("hops", F.lit(hop))
-        front = front.checkpoint() if spark.sparkContext.getCheckpointDir() else front.cache()
+    carried. Rounds are written beside each other into one table, so what is known is one scan, whatever their number. depth bounds
+    the rounds; a frontier that is not empty then is an error."""
+    spark, path = edges.sparkSession, store.scratch(edges.sparkSession, "reached")
+    front = starts.select(F.col("node").alias("start"), "node").distinct()
+    schema = front.withColumn("hops", F.lit(0)).schema
+    edges = store.written(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "reach-edges")
+    for hop in range(depth + 2):
+        front.write.parquet(f"{path}/hops={hop}")
+        front = spark.read.schema(front.schema).parquet(f"{path}/hops={hop}")
+        seen = spark.read.schema(schema).parquet(path)
         if front.isEmpty():
             return seen
-        seen = seen.unionByName(front)
+        found = front.join(edges, front["node"] == edges["src"]).select("start", F.col("dst").alias("node")).distinct()
+        front = found.join(seen.select("start", "node"), ["start", "node"], "left_anti")
     raise RuntimeError(f"nodes are still found after {depth} steps")
 
 

@@ -53,12 +53,11 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def under_paths(df: DataFrame, path: str, changed: DataFrame, changed_path: str, mark: str = "/") -> DataFrame:
-    """Rows whose path equals a changed path or lies below one: the paths' ancestors are expanded, and the join is
-    by equality, so no nested loop runs."""
+    """Rows whose path equals a changed path or lies below one: the distinct paths' ancestors are expanded, and the join is
+    by equality, so no nested loop runs and rows need no number."""
     roots = changed.select(F.col(changed_path).alias("__root")).distinct()
-    rows = df.withColumn("__row", F.monotonically_increasing_id())
-    hit = rows.select("__row", F.explode(ancestors(F.col(path), mark)).alias("__root")).join(roots, "__root", "left_semi").select("__row").distinct()
-    return rows.join(hit, "__row", "left_semi").drop("__row")
+    below = df.select(path).distinct().withColumn("__root", F.explode(ancestors(F.col(path), mark))).join(roots, "__root", "left_semi").select(path).distinct()
+    return df.join(below, path, "left_semi").select(*df.columns)
 
 
 def longest_prefix(df: DataFrame, name: str, known: DataFrame, known_name: str, mark: str = ".") -> DataFrame:

@@ -10,10 +10,9 @@ from changelens.functions.text import WORD_CHARACTER
 from changelens.operators import graph
 
 
-def release_version(tag: str | None) -> str | None:
-    """The version of a release tag (v1.2 or longer, the first two parts beginning with a digit); None for others."""
-    parts = tag[1:].split(".") if tag and tag.startswith("v") else []
-    return tag[1:] if len(parts) >= 2 and all(p[:1].isdigit() for p in parts[:2]) else None
+def release_version(tag: Column) -> Column:
+    """What follows the v of a release tag: parts with dots between, two at least, of which the first two begin with a digit. Null for other tags."""
+    return F.nullif(F.regexp_extract(tag, r"^v((?:\d[^.]*)\.(?:\d[^.]*)(?:\..*)?)$", 1), F.lit(""))
 
 
 def version_guards(lines: DataFrame, old: str, new: str, check: str, root: str, examples: int = 3) -> DataFrame:
@@ -21,8 +20,8 @@ def version_guards(lines: DataFrame, old: str, new: str, check: str, root: str,
 
     lines: path, pos, line. The first examples of each file by place are kept, trimmed; the limit is applied before lines are
     gathered. Tags that are no releases, or the same one, give an empty table."""
-    version, other = release_version(old), release_version(new)
-    named = F.lit(False) if not version or not other or version == other else F.col("line").contains(version) & (F.col("line").contains(check) | F.col("line").contains(old))
+    version, other = release_version(F.lit(old)), release_version(F.lit(new))
+    named = (version != other) & F.contains(F.col("line"), version) & (F.col("line").contains(check) | F.col("line").contains(old))
     found = lines.where(F.col("path").startswith(root) & named)
     first = found.withColumn("__n", F.row_number().over(Window.partitionBy("path").orderBy("pos"))).where(F.col("__n") <= examples)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("__n", F.trim("line").alias("line")))), lambda x: x["line"])

@@ -64,9 +64,9 @@ def j1(t):
     return t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
 
 
-@query("j2_coverage", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS side FROM (SELECT DISTINCT c_custkey AS k FROM customer) a FULL JOIN (SELECT DISTINCT o_custkey AS k FROM orders) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
+@query("j2_coverage", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS side FROM (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_mktsegment <> 'BUILDING') a FULL JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority <> '1-URGENT') b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
 def j2(t):
-    return relational.coverage(t("customer").select(F.col("c_custkey").alias("k")), t("orders").select(F.col("o_custkey").alias("k")), "k")
+    return relational.coverage(t("customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k")), t("orders").where("o_orderpriority <> '1-URGENT'").select(F.col("o_custkey").alias("k")), "k")
 
 
 @query("j4_last_wins", "SELECT o_orderkey, coalesce(l_shipdate, TIMESTAMP '1970-01-01') AS last_ship FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey")
@@ -198,12 +198,17 @@ def u1(t):
 
 
 @query("g3_reachable", """
-WITH RECURSIVE edges AS (SELECT DISTINCT n_nationkey AS src, (n_nationkey * 7 + n_regionkey) % 25 AS dst FROM nation JOIN customer ON c_nationkey = n_nationkey),
-walk AS (SELECT r_regionkey AS start, r_regionkey AS node, 0 AS hops FROM region UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON node = src WHERE hops < 25)
+WITH RECURSIVE turns AS (SELECT DISTINCT conv_id * 1000 + turn AS node, conv_id, turn FROM conversations), edges AS (
+  SELECT a.node AS src, b.node AS dst FROM turns a JOIN turns b ON a.conv_id = b.conv_id AND b.turn IN (a.turn + 1, a.turn + 2, a.turn - 3)),
+walk AS (SELECT node AS start, node, 0 AS hops FROM turns WHERE turn = 0 UNION SELECT start, dst, hops + 1 FROM walk JOIN edges ON node = src WHERE hops < 9)
 SELECT start, node, min(hops) AS hops FROM walk GROUP BY 1, 2""")
 def g3(t):
-    edges = t("nation").join(t("customer"), F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("n_nationkey").alias("src"), ((F.col("n_nationkey") * 7 + F.col("n_regionkey")) % 25).alias("dst")).distinct()
-    return graph.reachable(edges, t("region").select(F.col("r_regionkey").alias("node")), 30)
+    turns = t("conversations").select("conv_id", "turn").distinct()
+    node = lambda turn: F.col("conv_id") * 1000 + turn
+    steps = turns.withColumn("to", F.explode(F.array(F.col("turn") + 1, F.col("turn") + 2, F.col("turn") - 3)))
+    there = turns.select("conv_id", F.col("turn").alias("to"))
+    edges = steps.join(there, ["conv_id", "to"]).select(node(F.col("turn")).alias("src"), node(F.col("to")).alias("dst"))
+    return graph.reachable(edges, turns.where("turn = 0").select(node(F.lit(0)).alias("node")), 30)
 
 
 @query("v1_violations", """

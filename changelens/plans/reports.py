@@ -69,12 +69,12 @@ def j5(t):
     return t("customer").select("c_custkey").join(last, "c_custkey", "left")
 
 
-@query("j7_module_prefix", """SELECT p_partkey FROM part p WHERE EXISTS (SELECT 1 FROM part k WHERE k.p_size >= 49
-  AND starts_with(replace(p.p_type, ' ', '.') || '.', regexp_replace(replace(k.p_type, ' ', '.'), '\\.[^.]*$', '') || '.'))""")
+@query("j7_module_prefix", """WITH m AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS module FROM pages)
+SELECT page_id FROM m WHERE EXISTS (SELECT 1 FROM m k WHERE k.page_id % 7 = 0 AND starts_with(m.module || '/', regexp_replace(k.module, '/[^/]*$', '') || '/'))""")
 def j7(t):
-    dotted = F.replace("p_type", F.lit(" "), F.lit("."))
-    keys = t("part").where("p_size >= 49").select(F.regexp_replace(dotted, r"\.[^.]*$", "").alias("key"))
-    return relational.under_paths(t("part").select("p_partkey", dotted.alias("module")), "module", keys, "key", ".").select("p_partkey")
+    pages = t("pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1).alias("module"))
+    keys = pages.where("page_id % 7 = 0").select(F.regexp_replace("module", "/[^/]*$", "").alias("key"))
+    return relational.under_paths(pages, "module", keys, "key").select("page_id")
 
 
 @query("j9_module_files", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'm' || p_partkey || '.py' WHEN p_size % 2 = 0 THEN 'm' || p_partkey || '/__init__.py' END AS file FROM part")
@@ -276,9 +276,9 @@ def p4(t):
     return t("part").select("p_partkey", R.overridden(F.when(c("p_size") % 4 == 0, "given"), c("p_brand"), {"Brand#11": "yes", "Brand#12": "no"}, "unknown").alias("flag"))
 
 
-@query("p5_substring_flags", "SELECT p_partkey, contains(p_type, 'STEEL') OR contains(p_type, 'BRASS') AS metal FROM part")
+@query("p5_substring_flags", "SELECT p_partkey, contains(p_name, 'ring') OR contains(p_name, 'old') AS worn FROM part")
 def p5(t):
-    return t("part").select("p_partkey", (c("p_type").contains("STEEL") | c("p_type").contains("BRASS")).alias("metal"))
+    return t("part").select("p_partkey", (c("p_name").contains("ring") | c("p_name").contains("old")).alias("worn"))
 
 
 @query("p7_commit_records", """SELECT o_orderkey, o_orderpriority || ' (#' || o_orderkey || ')' || chr(10) || chr(10) || o_orderstatus AS message, lower(o_orderstatus) AS status, coalesce(files, 0) AS files, coalesce(additions, 0) AS additions
