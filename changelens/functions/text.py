@@ -60,3 +60,33 @@ def changed_line(line: Column) -> Column:
 def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
     """part / whole; empty where whole is 0."""
     return F.when(whole == 0, F.lit(empty)).otherwise(part / whole)
+
+
+def iso_instant(seconds: Column) -> Column:
+    """Seconds since 1970 as an ISO-8601 instant in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def cut(text: Column, most: int) -> Column:
+    """The first characters of a text. A character beyond the basic plane counts as one, not as two units."""
+    return F.substring(text, 1, most)
+
+
+def is_uri(text: Column) -> Column:
+    """Whether a text is a URI with a scheme and a host; null is none."""
+    return F.coalesce(F.try_parse_url(text, F.lit("PROTOCOL")).isNotNull() & (F.try_parse_url(text, F.lit("HOST")) != ""), F.lit(False))
+
+
+def squeezed(text: Column) -> Column:
+    """The text without white space at its ends, and each run of it inside as one blank."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def number_suffix(text: Column) -> Column:
+    """The number that an id ends with; null if it ends with none, or with one beyond 18 digits."""
+    return F.regexp_extract(text, r"0*([0-9]{1,18})$", 1).try_cast("long")
+
+
+def json_key(*columns: Column) -> Column:
+    """Values as one JSON text, to be compared: nulls are kept, and order is that of the columns."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

@@ -83,6 +83,16 @@ def symbols(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return kept.mapInArrow(read, f"{kinds}, {SYMBOL}")
 
 
+def resolved_bases(found: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, class, base, pos: base classes by their full names, as far as the source's imports say: an imported name is its module's, a name after
+    an imported module's alias stands in that module, others stay."""
+    bases = found.where("kind = 'base'").select(*keys, F.col("owner").alias("class"), F.col("name").alias("__b"), F.col("line").alias("pos"), F.split_part(F.col("name"), F.lit("."), F.lit(1)).alias("alias"))
+    one = found.where("kind = 'import'").select(*keys, F.col("detail").alias("alias"), F.when(F.col("owner") == F.col("name"), F.col("owner")).otherwise(F.concat_ws(".", "owner", "name")).alias("__full"), "line")
+    last = one.groupBy(*keys, "alias").agg(F.max_by("__full", "line").alias("__full"))
+    rest = F.expr("substring(__b, length(alias) + 1)")
+    return bases.join(last, [*keys, "alias"], "left").select(*keys, "class", F.coalesce(F.concat("__full", rest), F.col("__b")).alias("base"), "pos")
+
+
 def shape() -> Column:
     """The parameters of a callable's row as one struct."""
     return F.struct("positional", "keyword", "vararg", "kwarg")

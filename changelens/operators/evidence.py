@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
+
+from changelens.functions.text import is_uri
 
 CORE_SCORE = 50
 
@@ -81,22 +86,65 @@ def violations(df: DataFrame, key: str, rules: dict[str, tuple[str, Column]]) ->
     return rows.select(key, "__v.rule", "__v.severity")
 
 
-def schema_rules(schema: dict) -> dict[str, tuple[str, Column]]:
-    """A JSON-Schema subset (required, properties with enum, const, pattern, minLength, maxLength, minItems, minimum) as
-    rules for violations(). A keyword that is not known is an error; a property that is absent (null) passes
-    unless it is required."""
-    known = {"required", "properties"}
-    if extra := set(schema) - known:
+#: Keywords of a schema, and how each is tested; null (an absent value) passes all but required.
+_TESTS = {
+    "enum": lambda c, v: c.isin(*v), "const": lambda c, v: c == F.lit(v), "pattern": lambda c, v: c.rlike(v), "minLength": lambda c, v: F.length(c) >= v, "maxLength": lambda c, v: F.length(c) <= v,
+    "minItems": lambda c, v: F.size(c) >= v, "minimum": lambda c, v: c >= v, "format": lambda c, v: is_uri(c),
+}
+_NESTED = {"type", "required", "properties", "items", "allOf", "if", "then", "not"}
+_TYPES = {"string": ("string",), "boolean": ("boolean",), "integer": ("int", "bigint", "smallint", "tinyint"), "number": ("int", "bigint", "smallint", "tinyint", "double", "float", "decimal"), "array": ("array",), "object": ("struct", "map")}
+
+
+def _admits(schema: dict, value: Column, kind: DataType | None) -> Column:
+    """Whether a value satisfies a schema; never null. kind is the value's type where it is known, for types are those of columns."""
+    if extra := set(schema) - set(_TESTS) - _NESTED:
         raise ValueError(f"unknown keywords: {sorted(extra)}")
+    if schema.get("format", "uri") != "uri":
+        raise ValueError(f"unknown format: {schema['format']}")
+    parts = [F.coalesce(value.isNull() | _TESTS[word](value, schema[word]), F.lit(False)) for word in schema if word in _TESTS]
+    if "type" in schema and kind is not None:
+        fits = kind.simpleString().split("<")[0].split("(")[0] in _TYPES[schema["type"]]
+        parts.append(F.lit(True) if fits else value.isNull())
+    field = lambda name: kind[name].dataType if isinstance(kind, StructType) and name in kind.names else None
+    at = lambda name: value[name] if not isinstance(kind, StructType) or name in kind.names else F.lit(None)
+    parts += [value.isNull() | at(name).isNotNull() for name in schema.get("required", [])]
+    parts += [_admits(sub, at(name), field(name)) for name, sub in schema.get("properties", {}).items()]
+    if "items" in schema:
+        inner = kind.elementType if isinstance(kind, ArrayType) else None
+        parts.append(F.coalesce(F.forall(value, lambda x: _admits(schema["items"], x, inner)), F.lit(True)))
+    parts += [_admits(sub, value, kind) for sub in schema.get("allOf", [])]
+    if "if" in schema:
+        parts.append(~_admits(schema["if"], value, kind) | _admits(schema.get("then", {}), value, kind))
+    if "not" in schema:
+        parts.append(~_admits(schema["not"], value, kind))
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
+
+
+def schema_rules(schema: dict, types: StructType | None = None) -> dict[str, tuple[str, Column]]:
+    """A JSON-Schema subset (type, required, properties, items, enum, const, pattern, minLength, maxLength, minItems, minimum, format uri, allOf, if and
+    then, not) as rules for violations(), over rows whose columns are the properties. types: the rows' schema, where types are tested.
+
+    A property that is absent (null) passes unless it is required, so an if about it holds. A keyword that is not known is an error."""
+    columns = [*(types.names if types else []), *_mentioned(schema)]
+    row = F.struct(*(F.col(c) for c in dict.fromkeys(columns)))
+    kinds = lambda name: types[name].dataType if types is not None and name in types.names else None
     rules = {f"{c} required": ("error", F.col(c).isNotNull()) for c in schema.get("required", [])}
-    make = {
-        "enum": lambda c, v: c.isin(*v), "const": lambda c, v: c == v, "pattern": lambda c, v: c.rlike(v),
-        "minLength": lambda c, v: F.length(c) >= v, "maxLength": lambda c, v: F.length(c) <= v,
-        "minItems": lambda c, v: F.size(c) >= v, "minimum": lambda c, v: c >= v,
-    }
-    for name, checks in schema.get("properties", {}).items():
-        for word, value in checks.items():
-            if word not in make:
-                raise ValueError(f"unknown keyword: {word}")
-            rules[f"{name} {word}"] = ("error", F.col(name).isNull() | make[word](F.col(name), value))
+    for name, sub in schema.get("properties", {}).items():
+        for word in sub:
+            if word not in ("then",):
+                rules[f"{name} {word}"] = ("error", _admits({w: sub[w] for w in sub if w == word or (word == "if" and w == "then")}, F.col(name), kinds(name)))
+    for word in ("allOf", "if", "not"):
+        for k, sub in enumerate(schema.get(word, []) if word == "allOf" else [schema] if word in schema else []):
+            part = sub if word == "allOf" else {w: sub[w] for w in ("if", "then") if w in sub} if word == "if" else {"not": sub["not"]}
+            rules[f"{word} {k}"] = ("error", _admits(part, row, types))
+    if extra := set(schema) - _NESTED:
+        raise ValueError(f"unknown keywords: {sorted(extra)}")
     return rules
+
+
+def _mentioned(schema: dict) -> list[str]:
+    """Columns that a schema of rows speaks of."""
+    found = [*schema.get("required", []), *schema.get("properties", {})]
+    for sub in [*schema.get("allOf", []), *(schema[w] for w in ("if", "then", "not") if w in schema)]:
+        found += _mentioned(sub)
+    return found

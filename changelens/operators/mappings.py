@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelens.functions.text import last_part, rank_of
+from changelens.operators.relational import outside_prefixes
 
 #: Fixed values, lowest first.
 RISKS = ["low", "medium", "high", "critical"]
@@ -108,3 +109,35 @@ def statistics(before: DataFrame, kept: DataFrame, after: DataFrame) -> DataFram
     rows = before.select(F.lit(0).alias("at")).unionAll(kept.select(F.lit(1).alias("at"))).unionAll(after.select(F.lit(2).alias("at")))
     n_in, n_kept, n_out = (F.count_if(F.col("at") == k) for k in range(3))
     return rows.agg(n_in.alias("input_total"), n_out.alias("output_total"), (n_in - n_kept).alias("removed_total"), (n_kept - n_out).alias("deduplicated"))
+
+
+def optimized_methods(df: DataFrame, keys: list[str], order: str, files: list[str], tree: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(kept, winners): rows whose files exist, lowered to what their relation proves, one for each key."""
+    kept = existing_only(df, files, tree)
+    return kept, winners(downgraded(kept), keys, order)
+
+
+def optimized_fields(df: DataFrame, keys: list[str], order: str, files: list[str], tree: DataFrame | None, canonical: dict[str, str], attribute: str, stop: list[str], most: str = "medium") -> tuple[DataFrame, DataFrame]:
+    """(kept, winners) of rows about fields. An owner's canonical file is set before files are looked for; attributes whose first part is in the stop
+    list are another library's and go; a field proves no more than most."""
+    rows = canonical_files(outside_prefixes(df, attribute, stop), "owner", files[0], canonical)
+    kept = existing_only(rows, files, tree)
+    return kept, winners(kept.withColumns({"source_relation": F.col("relation"), "risk": capped(F.col("risk"), most)}), keys, order)
+
+
+def optimized_calls(df: DataFrame, keys: list[str], order: str, files: list[str], tree: DataFrame | None, callee: str, member: str, keywords: str, most: str = "medium") -> tuple[DataFrame, DataFrame]:
+    """(kept, winners) of rows about calls. A constructor's call tied to another member goes; keywords that are said to be missing are
+    not known any more; a call that is not verified proves no more than most."""
+    kept = existing_only(without_fan_out(df, callee, member), files, tree)
+    sure = F.coalesce("relationship_verified", F.lit(False))
+    rows = kept.withColumns({"source_relation": F.col("relation"), "risk": F.when(sure, F.col("risk")).otherwise(capped(F.col("risk"), most)), keywords: F.array().cast("array<string>")})
+    return kept, winners(rows, keys, order)
+
+
+def optimized_registrations(df: DataFrame, keys: list[str], order: str, files: list[str], tree: DataFrame | None, renamed: dict[str, str], most: str = "low") -> tuple[DataFrame, DataFrame]:
+    """(kept, winners) of rows about registrations; relations with a new name take it, and what is only such a reference proves no more than most."""
+    kept = existing_only(df, files, tree)
+    relation, risk = F.col("relation"), F.col("risk")
+    for old, new in renamed.items():
+        relation, risk = F.when(F.col("relation") == old, new).otherwise(relation), F.when(F.col("relation") == old, capped(F.col("risk"), most)).otherwise(risk)
+    return kept, winners(kept.withColumns({"source_relation": F.col("relation"), "relation": relation, "risk": risk}), keys, order)

@@ -101,7 +101,7 @@ def test_fold_actions(spark):
 
 def test_schema_keywords(spark):
     with pytest.raises(ValueError):
-        evidence.schema_rules({"properties": {"a": {"format": "uri"}}})
+        evidence.schema_rules({"properties": {"a": {"oneOf": []}}})
     df = spark.createDataFrame([(1, "x", ["s"]), (2, None, [])], "k int, a string, steps array<string>")
     rules = evidence.schema_rules({"required": ["a"], "properties": {"a": {"enum": ["y"]}, "steps": {"minItems": 1}}})
     assert values(evidence.violations(df, "k", rules).select("k", "rule")) == [(1, "a enum"), (2, "a required"), (2, "steps minItems")]
@@ -131,3 +131,33 @@ def test_stream_and_watermark(spark, tmp_path):
     assert not windows.advance(spark, mark, None, t, [True, False])
     assert windows.advance(spark, mark, None, t, [True]) and windows.advance(spark, mark, t, later, [True])
     assert not windows.advance(spark, mark, t, later, [True])
+
+
+def test_required_names_what_is_missing(spark):
+    from changelens.operators import lookups
+
+    df, known = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(1, "x")], "k int, w string")
+    with pytest.raises(Exception, match="no row for 2"):
+        lookups.required(df, known, ["k"]).collect()
+    assert values(lookups.required(df.where("k = 1"), known, ["k"])) == [(1, "a", "x")]
+
+
+def test_schema_in_full(spark):
+    df = spark.createDataFrame([(1, {"n": 1, "steps": ["ab", "c"]}, "high", "http://h/x"), (2, {"n": -1, "steps": []}, "none", None), (3, None, None, "no uri")], "id int, a struct<n:int,steps:array<string>>, value string, link string")
+    schema = {
+        "properties": {"a": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 0}, "steps": {"type": "array", "minItems": 1, "items": {"type": "string", "minLength": 2}}}}, "link": {"format": "uri"}},
+        "allOf": [{"if": {"properties": {"value": {"const": "none"}}}, "then": {"required": ["link"]}}], "not": {"properties": {"value": {"enum": ["low"]}}, "required": ["value"]},
+    }
+    found = {(r["id"], r["rule"]) for r in evidence.violations(df, "id", evidence.schema_rules(schema, df.schema)).collect()}
+    assert found == {(1, "a properties"), (2, "a properties"), (2, "allOf 0"), (3, "link format")}
+    with pytest.raises(ValueError, match="oneOf"):
+        evidence.schema_rules({"properties": {"a": {"items": {"oneOf": []}}}})
+
+
+def test_same_content_counts_repeats(spark):
+    from changelens.operators import lookups
+
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, v string")
+    b = spark.createDataFrame([(2, "x"), (1, None), (2, "x")], "k int, v string")
+    assert lookups.same_content(a, a.orderBy("v")).first()["same"] and not lookups.same_content(a, b).first()["same"]
+    assert lookups.same_content(a.limit(0), a.limit(0)).first()[:] == (True, 0, 0)

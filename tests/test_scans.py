@@ -11,7 +11,7 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_release_versions():
+def test_release_versions(spark):
     tags = spark.createDataFrame([(k, x) for k, x in enumerate(("v1.2", "v1.2.0rc1", "1.2", "v1", "vx.2", "v1.x", "", None))], "k int, tag string")
     assert [r[0] for r in tags.orderBy("k").select(scans.release_version(F.col("tag"))).collect()] == ["1.2", "1.2.0rc1", None, None, None, None, None, None]
 
