@@ -17,6 +17,8 @@ FEATURES = 1 << 20
 SAMPLE_ROWS = 20_000
 #: Rows of the sample that one task fits, rounds of fitting and averaging, and passes of a task over its rows.
 SHARD_ROWS, ROUNDS, PASSES = 3_334, 2, 6
+#: Coordinates whose states are averaged together.
+BLOCK = 1 << 14
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
 #: Of a document's text, features are gathered for so many words at once.
 WINDOW_WORDS = 200_000
@@ -79,13 +81,21 @@ class Ftrl:
         self.n[at] += g * g
 
 
+def _packed(block: int, at: np.ndarray, z: np.ndarray, n: np.ndarray) -> tuple:
+    return block, at.astype("<i4").tobytes(), z.astype("<f4").tobytes(), n.astype("<f4").tobytes()
+
+
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(rows[c]), kind) for c, kind in (("at", "<i4"), ("z", "<f4"), ("n", "<f4")))
+
+
 def fit(texts: DataFrame, size: int = FEATURES) -> tuple[np.ndarray, np.ndarray, float] | None:
     """The model: feature numbers with a weight, their weights, and the constant. texts: doc_id, text, y.
 
     The sample is cut into parts of about SHARD_ROWS, each a partition of its own and learned by one task. Of a coordinate that rows of a part touch, the
-    task gives its whole state (z and n), and Spark averages them over the parts that saw it; the next round begins from there. With one
-    part that is plain FTRL. What comes to the driver is at most one row for each feature, 12 bytes each, whatever the number of
-    documents. None if there is nothing to learn from."""
+    task gives its whole state (z and n), and Spark averages them over the parts that saw it, a block of coordinates at a time; the next round begins
+    from there. With one part that is plain FTRL. What comes to the driver is 12 bytes for each feature at most, in size / BLOCK rows,
+    whatever the number of documents. None if there is nothing to learn from."""
     spark = texts.sparkSession
     sample = written(texts.select("doc_id", "text", "y"), "toxic-sample")
     parts = max(1, round(sample.count() / SHARD_ROWS))
@@ -111,17 +121,24 @@ def fit(texts: DataFrame, size: int = FEATURES) -> tuple[np.ndarray, np.ndarray,
             for _ in range(PASSES):
                 for at, y in seen:
                     model.learn(at, y)
-            at = np.flatnonzero(touched)
-            yield pd.DataFrame({"at": at, "z": model.z[at], "n": model.n[at]})
+            at = np.flatnonzero(touched).astype(np.int32)
+            yield pd.DataFrame([_packed(int(some[0]) // BLOCK, some, model.z[some], model.n[some]) for some in np.split(at, np.flatnonzero(np.diff(at // BLOCK)) + 1)], columns=["block", "at", "z", "n"])
+
+        last = k == ROUNDS - 1
+
+        def average(group: pd.DataFrame) -> pd.DataFrame:
+            at, z, n = _unpacked(group)
+            known, place, times = np.unique(at, return_inverse=True, return_counts=True)
+            z, n = np.bincount(place, z) / times, np.bincount(place, n) / times
+            keep = (np.abs(z) > L1) | (known == size) if last else times > 0  # no other coordinate has a weight in the end
+            return pd.DataFrame([_packed(int(group["block"].iloc[0]), known[keep], z[keep], n[keep])], columns=["block", "at", "z", "n"])
 
-        averaged = dealt.mapInPandas(learn, "at int, z double, n double").groupBy("at").agg(F.avg("z").cast("float").alias("z"), F.avg("n").cast("float").alias("n"))
-        if k == ROUNDS - 1:  # a weight can only come from these
-            averaged = averaged.where((F.abs("z") > L1) | (F.col("at") == size))
-        rows = averaged.toPandas()
+        packed = "block int, at binary, z binary, n binary"
+        rows = dealt.mapInPandas(learn, packed).groupBy("block").applyInPandas(average, packed).toPandas()
         start.unpersist()
         if not len(rows):
             return None
-        state = (rows["at"].to_numpy(), rows["z"].to_numpy(np.float64), rows["n"].to_numpy(np.float64))
+        state = _unpacked(rows)
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     z[state[0]], n[state[0]] = state[1], state[2]
     w = Ftrl(z, n).weights(np.arange(size + 1))
