@@ -99,10 +99,14 @@ def _unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
         if v is None or not len(v) or any(x is None for x in v):
             continue
         a = np.asarray(v, np.float64)
+        if not np.isfinite(a).all() or not a.any():
+            continue
         norm = np.linalg.norm(a)
-        if np.isfinite(a).all() and norm > 0 and np.isfinite(norm):
-            ok[i] = True
-            kept.append(a / norm)
+        if not 1e-140 < norm < 1e140:  # squares would leave the range of doubles
+            a = a / np.abs(a).max()
+            norm = np.linalg.norm(a)
+        ok[i] = True
+        kept.append(a / norm)
     return ok, kept
 
 
@@ -199,7 +203,7 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vec
     capped: large ones are dealt out in pairs of blocks. Pairs are only counted where they meet, never written.
 
     Vectors that are null, empty, zero, or hold null or non-finite components have no links and stand alone.
-    Vectors of different lengths are never linked. Rows with the same id are one vector, of different ones
+    Very large or small components do no harm: such vectors are scaled first. Vectors of different lengths are never linked. Rows with the same id are one vector, of different ones
     that with the least hashes. A row without an id has no links and
     no component, and is kept. An empty table gives an empty one; other columns are not read."""
     spark = df.sparkSession

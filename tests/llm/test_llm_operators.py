@@ -322,6 +322,8 @@ def test_vectors(spark):
     assert all(got[k][0]["n_links"] == 0 and got[k][0]["component_id"] == k and got[k][0]["kept"] for k in (900, 901, 902, 903, 904, 905))
     assert len(got[0]) == 2 and got[None][0]["kept"]
     assert vectors.near_vectors(df.where("vec_id < 0")).count() == 0
+    far = spark.createDataFrame([(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [1.0, 2.0]), (4, [-3e-320, 1e-320]), (5, [-3e300, 1e300])], "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(far).collect()) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 1, 4), (5, 1, 4)]
 
 
 def test_search(spark):
