@@ -26,12 +26,23 @@ def named_texts(spark: SparkSession, path: str, name: str) -> DataFrame:
     return rows.where(F.col("f").rlike(name)).select(F.regexp_extract("f", name, 1).alias("kind"), F.regexp_extract("f", name, 2).cast("long").alias("number"), "text")
 
 
+def _chunks(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, chunk, body: a diff's part for each file."""
+    return df.select(key, F.posexplode(F.split(text, r"(?m)(?=^diff --git )")).alias("chunk", "body")).where(F.col("body").startswith("diff --git "))
+
+
+def diff_renames(df: DataFrame, key: str, text: str = "text", similarity: int = 70) -> DataFrame:
+    """key, old, new, similarity of the files that unified diffs rename, from so many percent on. Nulls and diffs without renames give no row."""
+    line = lambda words: F.nullif(F.regexp_extract("body", rf"(?m)^{words}$", 1), F.lit(""))
+    found = _chunks(df, key, text).select(key, line("rename from (.+)").alias("old"), line("rename to (.+)").alias("new"), line(r"similarity index (\d+)%").cast("int").alias("similarity"))
+    return found.where("old IS NOT NULL AND new IS NOT NULL").where(F.col("similarity") >= similarity)
+
+
 def diff_lines(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key, path, pos, sign, line of unified diffs: a chunk for each file, of which the last wins, and its changed lines."""
     from pyspark.sql import Window
 
-    chunks = df.select(key, F.posexplode(F.split(text, r"(?m)(?=^diff --git )")).alias("chunk", "body")).where(F.col("body").startswith("diff --git "))
-    chunks = chunks.withColumn("path", F.regexp_extract("body", r"^diff --git a/(.*?) b/", 1))
+    chunks = _chunks(df, key, text).withColumn("path", F.regexp_extract("body", r"^diff --git a/(.*?) b/", 1))
     last = chunks.withColumn("__rn", F.row_number().over(Window.partitionBy(key, "path").orderBy(F.desc("chunk")))).where("__rn = 1")
     from changelens.functions.text import changed_line
 

@@ -114,6 +114,9 @@ def test_files(spark, tmp_path):
     (tmp_path / "merge-5.diff").write_text("diff --git a/x.py b/x.py\n--- a/x.py\n+++ b/x.py\n@@ -1 +1 @@\n-old\n+new\ndiff --git a/x.py b/x.py\n+last\n")
     texts = files.named_texts(spark, str(tmp_path), r"^(\w+)-(\d+)\.diff$")
     assert [(r.number, r.sign, r.line) for r in files.diff_lines(texts, "number").collect()] == [(5, "+", "last")]
+    moved = "diff --git a/o b.py b/n.py\nsimilarity index {}%\nrename from o b.py\nrename to n.py\n@@ -1 +1 @@\n-rename to x.py\n+y\ndiff --git a/z b/z\n+rename from z\n"
+    diffs = spark.createDataFrame([(1, moved.format(70)), (2, moved.format(69)), (3, None), (4, ""), (5, "diff --git a/a b/a\n+c\n")], "number long, text string")
+    assert [tuple(r) for r in files.diff_renames(diffs, "number").collect()] == [(1, "o b.py", "n.py", 70)]
     (tmp_path / "blob").mkdir()
     (tmp_path / "blob/f").write_bytes(b"hello\n")
     assert files.listing(spark, str(tmp_path / "blob")).first()["blob_id"] == "ce013625030ba8dba906f756967f9e9ca394464a"
