@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import components, split_join, whole_groups, written
+from .shared import components, row_hash, split_join, whole_groups, written
 
 #: A pair at similarity 0.8 misses all of 28 bands of 4 rows once in 2.5 million, were its bins independent.
 BANDS, ROWS = 28, 4
@@ -26,8 +26,8 @@ SMALL, SMALL_MOST = 32, 40
 PIVOTS = 8
 #: A shingle that is in more small sets than this, and in more than one in 2000 of them, comes last in prefixes.
 FREQUENT, FREQUENT_SHARE = 1000, 2000
-#: Word hashes that a worker remembers.
-REMEMBERED = 300_000
+#: Word hashes that a worker remembers, of words of so many bytes at most.
+REMEMBERED, LONGEST = 300_000, 64
 
 _A, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -45,9 +45,11 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
+        found = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -118,7 +120,7 @@ def _marks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
                 else:
                     keys_out.append(np.zeros(0, np.int64))
                     sig_out.append(b"")
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_out, pa.int64()), pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(keys_out, pa.list_(pa.int64())), pa.array(sig_out, pa.binary()), pa.array(small_out, pa.list_(pa.int64()))], ["id", "n", "ha", "hb", "keys", "sig", "small"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n_out, pa.int64()), pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(keys_out, pa.list_(pa.int64())), pa.array(sig_out, pa.binary()), pa.array(small_out, pa.list_(pa.int64()))], ["id", "th", "n", "ha", "hb", "keys", "sig", "small"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -319,7 +321,8 @@ def links_in_groups(members: DataFrame, about: DataFrame, total: int, pairs) ->
     second = written(_compared(_meeting(meet, _blocks("least"), extra), pairs), "links-of-least")
     joined = components(first.unionByName(second).select("a", "b"))
     # a group of which only single rows are left has met already
-    still = rows.join(counts.where("least > 1"), "key", "left_semi").join(joined, rows["id"] == joined["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
+    # groups of more than BLOCK rows are one in BLOCK of all rows at most; the hot ones are broadcast
+    still = split_join(rows.drop("members"), large.join(counts.where("least > 1"), "key", "left_semi"), "key", "members", total).join(joined, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
     parts = still.groupBy("key", "component").agg(F.count("*").alias("n_part"))
     largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n_part", "component")).alias("main"), F.max("n_part").alias("inside"), F.sum("n_part").alias("all"))
     largest = written(largest.join(counts.withColumnRenamed("least", "n_least"), "key").where("inside < all AND n_least < all").select("key", "main", "inside", (F.col("all") - F.col("inside")).alias("outside"), "all"), "group-parts")
@@ -342,13 +345,17 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     of their sets instead, and are compared in full at once. Buckets and groups are not capped: see links_in_groups.
 
     Documents without words (also null or empty texts) are linked with nothing. Rows without an id stand alone:
-    component_id null, kept true. Rows with the same id are one document, for which the text with the least hashes stands.
+    component_id null, kept true. Rows with the same id are one document, for which the text with the least xxhash64 stands.
     Repeated rows each give a row; an empty table gives an empty one; other columns are not read."""
-    src = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    marks = written(src.mapInArrow(lambda it: _marks(it, k), "id long, n long, ha long, hb long, keys array<bigint>, sig binary, small array<bigint>"), "marks")
+    src = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), _order(df[text_col]).alias("th"))
+    marks = written(src.mapInArrow(lambda it: _marks(it, k), "id long, th long, n long, ha long, hb long, keys array<bigint>, sig binary, small array<bigint>"), "marks")
     same = ["n", "ha", "hb"]
-    classes = written(marks.where("n > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
-    reps = marks.join(classes, [*(marks[c] == classes[c] for c in same), marks["id"] == classes["rep"]], "left_semi").groupBy("id").agg(F.min_by(F.struct(*same, "keys", "sig", "small"), F.struct(*same)).alias("r"))
+    twice = written(marks.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows"), F.min("th").alias("first"), F.max("th").alias("last")).where("first < last").select("id", "first"), "ids-of-several-texts")
+    several = not twice.isEmpty()
+    standing = marks.join(twice.select("id", F.col("first").alias("th"), F.lit(True).alias("stands")), ["id", "th"], "left").join(twice.select("id", F.lit(True).alias("more")), "id", "left").where("more IS NULL OR stands") if several else marks
+    classes = written(standing.where("n > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "classes")
+    total = classes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    reps = standing.join(classes, [*(standing[c] == classes[c] for c in same), standing["id"] == classes["rep"]], "left_semi").groupBy("id").agg(F.min_by(F.struct(*same, "keys", "sig", "small"), F.struct(*same)).alias("r"))
     reps = written(reps.select("id", "r.*"), "reps")
     n_large, n_small = reps.agg(F.count_if(F.col("n") > SMALL), F.count("small")).first()
 
@@ -369,16 +376,26 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     links = links.union(links_in_groups(prefixes, small.withColumn("n", F.size("shingles").cast("long")), prefixes.count(), _confirmed(percent, False)))
 
     joined = components(written(links, "links"))
-    of_class = classes.join(joined, classes["rep"] == joined["node"], "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    rows = marks.select("id", *same).join(of_class, same, "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    of_class = written(classes.join(joined, classes["rep"] == joined["node"], "left").select(*same, "rows", F.coalesce("component", "rep").alias("component")), "components")
+    with_words = (F.col("n") > 0) & F.col("id").isNotNull()
+    linked = split_join(standing.where(with_words).select("id", *same), of_class, same, "rows", total).select("id", "n", "component")
+    rows = linked.unionByName(standing.where(~F.coalesce(with_words, F.lit(False))).select("id", "n", F.col("id").alias("component")))
+    if several:  # the other texts of an id are where that is which stands
+        other = marks.select("id", "th", "n").join(twice, "id").where(F.col("th") > F.col("first")).select("id", "n")
+        rows = rows.unionByName(other.join(rows.groupBy("id").agg(F.min("component").alias("component")), "id"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def _order(text):
+    """Of several texts of one id that with the least number stands."""
+    return F.xxhash64(text.cast("string"))
 
 
 def deduplicated(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with the columns of df (which has doc_id and text): the one whose id is the
-    component's, and of rows with that id one. Rows without an id stay."""
-    kept = near_duplicates(df.where("doc_id IS NOT NULL"), k, percent).where("kept").select("doc_id").distinct()
-    rows = df.join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
-    first = rows.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__n = 1")
-    return first.select(*df.columns).unionByName(df.where("doc_id IS NULL"))
+    component's. Of rows with that id the one stays whose text was compared, of equal texts the one with the least hash of all columns. Rows without an id stay."""
+    kept = near_duplicates(df.where(df["doc_id"].isNotNull()), k, percent).where("kept").select(F.col("doc_id").alias("id")).distinct()
+    rows = df.select(df["doc_id"].cast("long").alias("id"), _order(df["text"]).alias("th"), row_hash(df).alias("all"), F.struct(*(df[c] for c in df.columns)).alias("row"))
+    rows = rows.join(kept.hint("shuffle_hash"), "id", "left_semi")
+    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("th", "all"))).where("n = 1").select("row")
+    return first.unionByName(df.where(df["doc_id"].isNull()).select(F.struct(*(df[c] for c in df.columns)).alias("row"))).select(*(F.col("row")[c].alias(c) for c in df.columns))

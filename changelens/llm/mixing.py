@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import prefix_offsets, written
+from .shared import prefix_offsets, row_hash, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -42,11 +42,11 @@ def mix(df: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str
     passes, and partial words of one more (of the one document at the cut that is not taken whole). A source
     is ordered in ranges of the key, each of bounded size; the ranges' sums give where each begins.
 
-    A null text has no words; a null source is a source of its own, last in order; a null id is as the text
-    "null"; repeated rows are rows of their own (in order of their text's checksum); a source without words
+    A null text has no words; a null source is a source of its own, last in order; the key of a row without an
+    id is of its text; repeated rows are rows of their own (in order of their text's checksum); a source without words
     has target 0; an empty table gives an empty one."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[id_col].cast("string"), F.lit("null"))).cast("binary"))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(df[id_col].cast("string"), F.concat(F.lit("null:"), F.md5(text.cast("binary"))))).cast("binary"))
     thin = written(df.select(df[id_col].cast("long").alias("doc_id"), df[source_col].cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), key.alias("key"), F.crc32(text.cast("binary")).alias("tie")), "mix-rows")
     sums = thin.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("__rows"))
     targets = source_targets(sums.select("source", "source_size")).withColumnRenamed("source", "__source")
@@ -77,18 +77,19 @@ def mixed(df: DataFrame, seed: str = "mix") -> DataFrame:
     words, of which the budgets say nothing, stay once. Rows of the same id, source and text share their passes
     evenly. Texts are shuffled once, to meet the plan."""
     passes = F.sum(F.when(F.col("size") == 0, 1).otherwise(F.col("passes")))
-    plan = mix(df, seed).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("tie").alias("__tie")).agg(
-        F.count("*").alias("__n"), passes.alias("__passes"), F.array_sort(F.collect_list(F.when(F.col("partial") > 0, F.col("partial")))).alias("__partial")
+    plan = mix(df, seed).groupBy(F.col("doc_id").alias("id"), F.col("source").alias("src"), "tie").agg(
+        F.count("*").alias("n"), passes.alias("passes"), F.array_sort(F.collect_list(F.when(F.col("partial") > 0, F.col("partial")))).alias("partial")
     )
-    rows = df.withColumn("__crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    same = rows["doc_id"].eqNullSafe(plan["__id"]) & rows["source"].eqNullSafe(plan["__src"]) & (rows["__crc"] == plan["__tie"])
-    met = rows.join(plan, same)
-    number = F.row_number().over(Window.partitionBy("__id", "__src", "__tie").orderBy(F.lit(0)))
-    met = met.where("__n = 1").withColumn("__k", F.lit(1)).unionByName(met.where("__n > 1").withColumn("__k", number))
-    own = F.floor(F.col("__passes") / F.col("__n")) + F.when(F.col("__k") <= F.col("__passes") % F.col("__n"), 1).otherwise(0)
-    cuts = F.concat(F.array_repeat(F.lit(0).cast("long"), own.cast("int")), F.slice("__partial", F.col("__k"), F.lit(1)))
-    out = met.withColumn("__cut", F.explode(cuts))
-    out = out.withColumn("text", F.when(F.col("__cut") > 0, first_words(F.col("text"), F.col("__cut").cast("int"))).otherwise(F.col("text")))
+    # the columns travel as one, so none of their names can clash
+    rows = df.select(df["doc_id"].cast("long").alias("of"), df["source"].cast("string").alias("from"), F.crc32(F.coalesce(df["text"].cast("string"), F.lit("")).cast("binary")).alias("crc"), row_hash(df).alias("all"), F.struct(*(df[c] for c in df.columns)).alias("row"))
+    met = rows.join(plan, F.col("of").eqNullSafe(F.col("id")) & F.col("from").eqNullSafe(F.col("src")) & (F.col("crc") == F.col("tie")))
+    number = F.row_number().over(Window.partitionBy("id", "src", "tie").orderBy("all"))
+    met = met.where("n = 1").withColumn("k", F.lit(1)).unionByName(met.where("n > 1").withColumn("k", number))
+    own = F.floor(F.col("passes") / F.col("n")) + F.when(F.col("k") <= F.col("passes") % F.col("n"), 1).otherwise(0)
+    cuts = F.concat(F.array_repeat(F.lit(0).cast("long"), own.cast("int")), F.slice("partial", F.col("k"), F.lit(1)))
+    out = met.select("row", F.explode(cuts).alias("cut"))
+    whole, text = F.col("cut") == 0, F.col("row")["text"]
+    new = {"text": F.when(whole, text).otherwise(first_words(text, F.col("cut").cast("int")))}
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__cut") > 0, F.length("text").cast(dict(df.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*df.columns)
+        new["n_chars"] = F.when(whole, F.col("row")["n_chars"]).otherwise(F.length(new["text"]).cast(dict(df.dtypes)["n_chars"]))
+    return out.select(*(new.get(c, F.col("row")[c]).alias(c) for c in df.columns))

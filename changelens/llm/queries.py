@@ -134,7 +134,7 @@ FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n""",
     "op7_mixing": r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS key
   FROM documents),
 sums AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),

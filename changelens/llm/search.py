@@ -20,6 +20,8 @@ THRESHOLD = 0.2
 #: Best rows of a table scan, of each block, that are scored exactly.
 RERANK = 200
 QUERY_BLOCK, DATA_BLOCK, TILE = 8192, 8192, 256
+#: Where the product of two lengths has a larger logarithm, sums may leave the range of doubles; such pairs are always scored exactly.
+LARGEST = 700.0
 
 
 class Codebook:
@@ -95,8 +97,23 @@ class Codebook:
         return np.ascontiguousarray(both.reshape(len(both), len(q), CENTRES * CENTRES).transpose(0, 2, 1).astype(np.float32))
 
 
-def _valid(v) -> bool:
-    return v is not None and len(v) > 0 and not any(x is None for x in v)
+def _units(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the rows and the logarithms of their lengths, for all finite components, however large or small."""
+    most = np.abs(x).max(1)
+    scaled = x / most[:, None]
+    length = np.linalg.norm(scaled, axis=1)
+    return scaled / length[:, None], np.log(most) + np.log(length)
+
+
+def _exact(data: np.ndarray, q: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.cumsum(data * q, axis=1)[:, -1]  # in order, as SQL sums
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores, ties to smaller ids; NaN is the largest, as in Spark and SQL."""
+    odd = np.isnan(scores)
+    return np.lexsort((ids, -np.where(odd, np.inf, scores), ~odd))[:k]
 
 
 def _searched(batches: Iterator[pa.RecordBatch], book: Codebook, k: int) -> Iterator[pa.RecordBatch]:
@@ -117,19 +134,25 @@ def _searched(batches: Iterator[pa.RecordBatch], book: Codebook, k: int) -> Iter
             codes = np.frombuffer(b"".join(raw), np.uint8).reshape(len(rows), -1)[np.argsort(ids[np.flatnonzero(~asks)], kind="stable")]
             out_q, out_i, out_s = [], [], []
             keep = min(max(RERANK, k + 1), len(rows))
+            units, lengths = _units(v)
+            weight = np.exp(lengths[rows] - lengths[rows].max()).astype(np.float32)[:, None]
             for at in range(0, len(qs), TILE):
                 tile = qs[at : at + TILE]
-                tables = book.tables(v[tile])
+                tables = book.tables(units[tile])
                 scores = np.zeros((len(rows), len(tile)), np.float32)
                 for s in range(codes.shape[1]):
                     scores += tables[s][codes[:, s]]
+                scores *= weight
+                beyond = lengths[rows].max() + lengths[tile].max() > LARGEST
+                if beyond:
+                    scores[lengths[rows][:, None] + lengths[tile][None, :] > LARGEST] = np.inf
                 scores = scores.T
                 least = np.partition(scores, len(rows) - keep, axis=1)[:, len(rows) - keep]
                 for n, q in enumerate(tile):
                     near = np.flatnonzero(scores[n] >= least[n])  # with all that tie
                     near = near[data_ids[near] != ids[q]]
-                    exact = np.cumsum(data[near] * v[q], axis=1)[:, -1]  # in order, as SQL sums
-                    best = np.lexsort((data_ids[near], -exact))[:k]
+                    exact = _exact(data[near], v[q])
+                    best = _best(exact, data_ids[near], k)
                     out_q.append(np.full(len(best), ids[q]))
                     out_i.append(data_ids[near[best]])
                     out_s.append(exact[best])
@@ -153,8 +176,8 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                     continue
                 data, data_ids = np.frombuffer(b"".join(raw[n] for n in rows)).reshape(len(rows), -1), ids[rows]
                 for q in qs:
-                    exact = np.cumsum(data * np.frombuffer(raw[q]), axis=1)[:, -1]
-                    best = np.lexsort((data_ids, -exact))[: k + 1]
+                    exact = _exact(data, np.frombuffer(raw[q]))
+                    best = _best(exact, data_ids, k + 1)
                     best = best[data_ids[best] != ids[q]][:k]
                     out_q.append(np.full(len(best), ids[q]))
                     out_i.append(data_ids[best])
@@ -171,7 +194,8 @@ def nearest(df: DataFrame, queries: str, k: int, id_col: str = "vec_id", vec_col
     each meeting a table scan of the four-bit codes picks RERANK rows for each query, and all that tie with the
     last, which are scored exactly. Equal vectors have equal codes, so ties are never split. Each meeting gives k rows for each query.
 
-    Vectors that are null, empty, zero, or that hold null or non-finite components take no part, nor do rows without an id. A vector meets those of its
+    Codes are of directions, which the scan weighs with the vectors' lengths, so components of any size do no harm. A score whose sum leaves the range
+    of doubles is infinite or NaN, as in SQL, and NaN is the largest. Vectors that are null, empty, zero, or that hold null or non-finite components take no part, nor do rows without an id. A vector meets those of its
     own length; the quantiser is for the most frequent length, and vectors of others, of which there are few, are compared as they are. Rows with the same
     id are one vector, of different ones the first in order; with fewer candidates than k all are returned; an empty table gives an empty one."""
     src = df.select(df[id_col].cast("long").alias("id"), df[vec_col].cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
@@ -187,14 +211,14 @@ def nearest(df: DataFrame, queries: str, k: int, id_col: str = "vec_id", vec_col
     sample = valid.where(part).select("v").toPandas()["v"] if n else []
     book = Codebook(dim)
     if len(sample):
-        book.fit(np.stack(sample.to_list()))
+        book.fit(_units(np.stack(sample.to_list()))[0])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 b = batch.slice(at, 4096)
                 x = np.stack(b.column(1).to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in book.pack(book.encode(x))], pa.binary())], ["id", "v", "codes"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in book.pack(book.encode(_units(x)[0]))], pa.binary())], ["id", "v", "codes"])
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -35,6 +35,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_hash(df: DataFrame):
+    """A hash of all columns of df, which puts rows that agree in other keys in order."""
+    return F.xxhash64(*(F.to_json(F.struct(df[c])) if "map<" in kind else df[c] for c, kind in df.dtypes))
+
+
 def buckets_for(rows: int) -> int:
     """In how many buckets a group of so many rows is ordered: the bucket's rows and the number of buckets, whose
     sums are summed up in one task, both grow with the root of the rows."""

@@ -28,7 +28,7 @@ SAFE_TOO = re.compile(r"(?<=[!-~])(?=[ \n\t])|(?<=[A-Za-z])(?=[0-9.,;:!?)])|(?<=
 #: UTF-8 bytes of texts that are gathered, and of new pieces that are encoded in one call.
 BATCH_BYTES = 1 << 18
 #: Pieces a worker remembers (about 200 bytes each).
-REMEMBERED = 500_000
+REMEMBERED, LONGEST = 500_000, 128
 
 
 class Encoder:
@@ -144,6 +144,10 @@ class Encoder:
             first.update(self._by_library(starts, ""))
         for parts in cut:
             yield self.joined(chain((first[parts[0]],), map(known.__getitem__, islice(parts, 1, None))))
+        for p in [p for p in new if len(p) > LONGEST]:
+            del known[p]
+        for p in [p for p in starts if len(p) > LONGEST]:
+            del first[p]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes | int]:
         """For each text its ids as unsigned 32-bit numbers, little-endian as all platforms that Spark runs on, or their number."""

@@ -22,7 +22,7 @@ BLOCK = 1 << 14
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
 #: Of a document's text, features are gathered for so many words at once.
 WINDOW_WORDS = 200_000
-REMEMBERED = 300_000
+REMEMBERED, LONGEST = 300_000, 64
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -39,9 +39,11 @@ class Features:
 
         class Known(dict):
             def __missing__(self, word):
-                if len(self) >= most:
-                    self.clear()
-                found = self[word] = number(word)
+                found = number(word)
+                if len(word) <= LONGEST:
+                    if len(self) >= most:
+                        self.clear()
+                    self[word] = found
                 return found
 
         self.words, self.known, self.size = words, Known(), np.uint64(size)

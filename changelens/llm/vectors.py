@@ -230,8 +230,9 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vec
     joined = components(found.select("a", "b"))
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     of_class = classes.join(joined, classes["rep"] == joined["node"], "left").join(links, classes["rep"] == links["a"], "left")
-    of_class = of_class.select("ha", "hb", "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    out = base.select("id", "ha", "hb", F.col("unit").isNotNull().alias("ok")).join(of_class, ["ha", "hb"], "left")
-    linked = F.col("ok") & F.col("id").isNotNull()
-    component = F.when(linked, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("vec_id"), F.when(linked, F.col("n_links")).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    of_class = written(of_class.select("ha", "hb", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component")), "vector-components")
+    linked = F.col("unit").isNotNull() & F.col("id").isNotNull()
+    total = of_class.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    out = split_join(base.where(linked).select("id", "ha", "hb"), of_class, ["ha", "hb"], "copies", total).select("id", "n_links", "component")
+    out = out.unionByName(base.where(~linked).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component")))
+    return out.select(F.col("id").alias("vec_id"), F.col("n_links").cast("long").alias("n_links"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"))

@@ -202,6 +202,10 @@ def test_mixing(spark, odd, none):
         got[r["source"]] += words(r["text"])
     assert all(abs(got[s] - target[s]) <= 1.01 for s in order)
     assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
+    clash = odd.selectExpr("*", "7 AS __n", "8 AS __id", "9 AS __crc", "'x' AS row", "1 AS cut", "map('a', 1) AS tie", "2 AS `all`")
+    other = mixing.mixed(clash)
+    assert other.columns == clash.columns and sorted(map(str, other.drop("__n", "__id", "__crc", "row", "cut", "tie", "all").collect())) == sorted(map(str, out.collect()))
+    assert {tuple(r) for r in other.select("__n", "__id", "__crc", "row", "cut", "all").collect()} == {(7, 8, 9, "x", 1, 2)}
 
 
 def brute_components(n, links):
@@ -249,6 +253,40 @@ def test_near_duplicates(spark, odd, none):
     kept = minhash.deduplicated(odd, 4, 80)
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "10", "11", "3", "4", "5", "6", "8", "None"])
     assert minhash.near_duplicates(none).count() == 0 and minhash.deduplicated(none).count() == 0
+    clash = odd.selectExpr("*", "7 AS __n", "8 AS row", "9 AS th", "map('a', 1) AS `all`")
+    other = minhash.deduplicated(clash, 4, 80)
+    assert other.columns == clash.columns and sorted(map(str, other.drop("__n", "row", "th", "all").collect())) == sorted(map(str, kept.collect()))
+
+
+def test_two_texts_under_one_id(spark):
+    """The text that was compared is the one that stays, whichever of the two that is."""
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 9999, n)]
+    for _ in range(4):
+        a, b = word(90), word(90)
+        rows = [(1, " ".join(word(50)), None), (2, " ".join(a), "x"), (2, " ".join(b), "x"), (2, " ".join(b), "y"), (3, " ".join(a[:-1]), None), (4, " ".join(b[:-1]), None)]
+        df = table(spark, rows)
+        stands, goes = (a, b) if spark.createDataFrame([(" ".join(a), " ".join(b))]).selectExpr("xxhash64(_1) < xxhash64(_2)").first()[0] else (b, a)
+        found = sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(df, 4, 80).collect())
+        near, far = (3, 4) if stands == a else (4, 3)
+        assert found == sorted([(1, 1), (2, 2), (2, 2), (2, 2), (near, 2), (far, far)])
+        kept = minhash.deduplicated(df, 4, 80).collect()
+        assert sorted(r.doc_id for r in kept) == sorted([1, 2, far]) and [r.text for r in kept if r.doc_id == 2] == [" ".join(stands)]
+
+
+def test_hot_classes(spark):
+    """A third of all documents without words, a third equal."""
+    rows = [(k, None if k % 3 == 0 else "one text that many share word for word" if k % 3 == 1 else f"own words {k} of this one alone {k * 7}", None) for k in range(3000)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(table(spark, rows), 4, 80).collect()}
+    assert len(got) == 3000 and all(c == (1 if k % 3 == 1 else k) for k, c in got.items())
+
+
+def test_long_words_are_not_remembered():
+    words = minhash.Words()
+    long = [b"x" * 20_000 + str(k).encode() for k in range(50)]
+    assert len({words[w] for w in long}) == 50 and not len(words) and words[b"short"] == words[b"short"] and len(words) == 1
+    features = toxicity.Features(1 << 20)
+    assert len(features.distinct(" ".join("y" * 20_000 + str(k) for k in range(9)))) > 8 and not len(features.known)
 
 
 def test_large_bucket_in_blocks(spark, monkeypatch):
@@ -349,6 +387,20 @@ def test_search(spark):
     short = spark.createDataFrame([(3000, [1.0, 2.0], 0), (3001, [1.0, 0.5], 0), (3002, [3.0], 0)], "vec_id long, embedding array<float>, codes int")
     mixed = search.nearest(df.unionByName(short), "vec_id % 20 = 0", 10)
     assert [tuple(r) for r in mixed.where("query_id = 3000").collect()] == [(3000, 1, 3001, 2.0)] and mixed.where("query_id < 3000").count() == 350
+    for big, kind in ((1e38, "float"), (3e38, "float"), (1e160, "double"), (1e-320, "double"), (1e-42, "float")):
+        some = [(i, [float(c) for c in r], 0) for i, r in enumerate(v[:400])] + [(i, [float(x) * big for x in rng.choice([-1.0, 1.0], 24)], 0) for i in (900, 901, 920)]
+        wide = spark.createDataFrame(some, f"vec_id long, embedding array<{kind}>, codes int").coalesce(2)
+        x = {r.vec_id: np.array(r.embedding, np.float64) for r in wide.collect()}
+        met = collections.defaultdict(list)
+        for r in search.nearest(wide, "vec_id % 20 = 0", 10).collect():
+            met[r.query_id].append((r["rank"], r.vec_id, r.score))
+        hits = 0
+        with np.errstate(all="ignore"):
+            for q in [i for i in x if i % 20 == 0]:
+                s = sorted((not np.isnan(e), -np.nan_to_num(e, nan=0.0), i) for i, c in x.items() if i != q for e in [np.cumsum(c * x[q])[-1]])[:10]
+                assert [k for k, *_ in sorted(met[q])] == list(range(1, 11))
+                hits += len({i for *_, i in s} & {i for _, i, _ in met[q]})
+        assert hits >= 0.98 * 10 * 21, (big, hits)
     few = search.nearest(df.where("vec_id < 4"), "vec_id % 20 = 0", 10)
     assert few.count() == 3 and search.nearest(df.where("vec_id < 0"), "vec_id % 20 = 0", 10).count() == 0
 
