@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, licenses, minhash, mixing, packing, search, sharding, tokens, toxicity, vectors
+from . import conversations, decontamination, html, lexical, licenses, minhash, mixing, packing, search, sharding, tokens, toxicity, vectors
 from .shared import documents
 
 
@@ -52,6 +52,18 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 20 = 0", 20)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_shards": op2_shards,
@@ -63,8 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_licenses": op9_licenses,
     "op10_nearest": op10_nearest,
+    "op11_conversations": op11_conversations,
+    "op12_decontamination": op12_decontamination,
+    "op13_lexical": op13_lexical,
 }
 
+
 def _license_sql() -> str:
     """The scan over words in SQL: the same templates, joined by the grams' words."""
     values = ", ".join(f"({t}, '{label}', {base}, {at}, '{' '.join(gram)}', {n})" for t, label, base, at, gram, n in licenses.template_rows())
@@ -112,6 +128,43 @@ scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) A
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20""",
     "op9_licenses": _license_sql(),
+    "op12_decontamination": r"""
+WITH words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS MATERIALIZED (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM items, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram FROM words, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)),
+met AS MATERIALIZED (SELECT g.doc_id, g.i, g.n, x.item_id FROM grams g JOIN windows x ON x.n = g.n AND x.gram = g.gram),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM met, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+held AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""",
+    "op13_lexical": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tfs AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+lengths AS MATERIALIZED (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY 1),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+ms AS MATERIALIZED (SELECT doc_id, 100 - 75 + ((75 * n * docs) // words) AS m FROM lengths, whole),
+weights AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY 1), whole),
+asked AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN ms USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10""",
     "op6_minhash": r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w

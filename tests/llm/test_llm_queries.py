@@ -25,7 +25,7 @@ def test_query(spark, name):
     assert rows
     if sql := queries.ORACLE_SQL.get(name):
         con = duckdb.connect()
-        for table in ("documents", "embeddings"):
+        for table in ("documents", "embeddings", "benchmark", "conversations"):
             con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
         want = con.sql(sql)
         columns = sorted(df.columns)
