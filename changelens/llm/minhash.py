@@ -322,7 +322,7 @@ def links_in_groups(members: DataFrame, about: DataFrame, total: int, pairs) ->
     joined = components(first.unionByName(second).select("a", "b"))
     # a group of which only single rows are left has met already
     # groups of more than BLOCK rows are one in BLOCK of all rows at most; the hot ones are broadcast
-    still = split_join(rows.drop("members"), large.join(counts.where("least > 1"), "key", "left_semi"), "key", "members", total).join(joined, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
+    still = split_join(rows.drop("members"), written(large.join(counts.where("least > 1"), "key", "left_semi"), "open-groups"), "key", "members", total).join(joined, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
     parts = still.groupBy("key", "component").agg(F.count("*").alias("n_part"))
     largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n_part", "component")).alias("main"), F.max("n_part").alias("inside"), F.sum("n_part").alias("all"))
     largest = written(largest.join(counts.withColumnRenamed("least", "n_least"), "key").where("inside < all AND n_least < all").select("key", "main", "inside", (F.col("all") - F.col("inside")).alias("outside"), "all"), "group-parts")
