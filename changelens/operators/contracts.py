@@ -13,16 +13,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelens.operators import store
+from changelens.operators import graph, store
 
 PARAMETER = "array<struct<name:string,required:boolean>>"
-SYMBOL = f"kind string, owner string, name string, line int, positional {PARAMETER}, keyword {PARAMETER}, vararg string, kwarg string, body string, detail string"
+SYMBOL = f"kind string, owner string, name string, line int, positional {PARAMETER}, keyword {PARAMETER}, vararg string, kwarg string, body string, statements array<string>, detail string, at long, until long"
 _PARAMETER = pa.list_(pa.struct([("name", pa.string()), ("required", pa.bool_())]))
 _ARROW = [
     ("kind", pa.string()), ("owner", pa.string()), ("name", pa.string()), ("line", pa.int32()), ("positional", _PARAMETER), ("keyword", _PARAMETER),
-    ("vararg", pa.string()), ("kwarg", pa.string()), ("body", pa.string()), ("detail", pa.string()),
+    ("vararg", pa.string()), ("kwarg", pa.string()), ("body", pa.string()), ("statements", pa.list_(pa.string())), ("detail", pa.string()), ("at", pa.int64()), ("until", pa.int64()),
 ]
 _DEFS = (ast.FunctionDef, ast.AsyncFunctionDef)
+#: A place in a text is its line times COLUMNS and its column.
+COLUMNS = 4096
+
+
+def _digest(nodes: list[ast.AST]) -> str:
+    return hashlib.md5("\n".join(map(ast.dump, nodes)).encode()).hexdigest()
 
 
 def _callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -> dict:
@@ -33,54 +39,121 @@ def _callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -
     if owner and positional and positional[0]["name"] in ("self", "cls"):
         positional = positional[1:]
     keyword = [{"name": p.arg, "required": d is None} for p, d in zip(a.kwonlyargs, a.kw_defaults)]
-    body = hashlib.md5("\n".join(map(ast.dump, [a, *node.body])).encode()).hexdigest()
-    rest = {"vararg": a.vararg and a.vararg.arg, "kwarg": a.kwarg and a.kwarg.arg}
-    return {"kind": "callable", "owner": owner, "name": node.name, "line": node.lineno, "positional": positional, "keyword": keyword, "body": body} | rest
-
-
-def _rows(text: str) -> Iterator[dict]:
+    rest = {"vararg": a.vararg and a.vararg.arg, "kwarg": a.kwarg and a.kwarg.arg, "body": _digest([a, *node.body]), "statements": [_digest([s])[:16] for s in node.body]}
+    return {"kind": "callable", "owner": owner, "name": node.name, "line": node.lineno, "positional": positional, "keyword": keyword} | rest
+
+
+def _dotted(node: ast.AST) -> str | None:
+    """The name of a chain of attributes of a plain name; None for other expressions."""
+    chain = node
+    while isinstance(chain, ast.Attribute):
+        chain = chain.value
+    return ast.unparse(node) if isinstance(chain, ast.Name) else None
+
+
+def _in_callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -> Iterator[dict]:
+    """What a callable calls (edge), and whether it hands its ** catch-all to the same method of super() (forward)."""
+    calls = [c for c in ast.walk(node) if isinstance(c, ast.Call)]
+    for name in dict.fromkeys(filter(None, (_dotted(c.func) for c in calls))):
+        yield {"kind": "edge", "owner": f"{owner}.{node.name}" if owner else node.name, "name": name, "line": node.lineno}
+    for c in calls:
+        to = c.func.value if isinstance(c.func, ast.Attribute) and c.func.attr == node.name else None
+        if isinstance(to, ast.Call) and _dotted(to.func) == "super" and node.args.kwarg and any(k.arg is None and _dotted(k.value) == node.args.kwarg.arg for k in c.keywords):
+            yield {"kind": "forward", "owner": owner, "name": node.name, "line": c.lineno}
+            return
+
+
+def _extent(first: ast.AST, last: ast.AST) -> dict:
+    return {"at": first.lineno * COLUMNS + min(first.col_offset, COLUMNS - 1), "until": last.end_lineno * COLUMNS + min(last.end_col_offset, COLUMNS - 1)}
+
+
+def _anywhere(node: ast.AST) -> Iterator[dict]:
+    """Rows of a node at any depth."""
+    if isinstance(node, ast.Call) and isinstance(node.func, (ast.Name, ast.Attribute)):
+        words = [k.arg for k in node.keywords if k.arg] or [None]
+        yield from ({"kind": "call", "name": ast.unparse(node.func), "line": node.lineno, "detail": w} for w in words)
+    elif isinstance(node, ast.ImportFrom) and node.module and not node.level:
+        yield from ({"kind": "import", "owner": node.module, "name": a.name, "line": node.lineno, "detail": a.asname or a.name} for a in node.names)
+    elif isinstance(node, ast.Import):
+        yield from ({"kind": "import", "owner": a.name, "line": node.lineno, "detail": a.asname or a.name} for a in node.names)
+    elif isinstance(node, _DEFS):
+        yield {"kind": "scope", "name": node.name, "line": node.lineno} | _extent(node, node)
+    elif isinstance(node, ast.If):
+        yield {"kind": "guard", "name": ast.unparse(node.test), "line": node.lineno} | _extent(node.body[0], node.body[-1])
+    elif isinstance(node, (ast.Assign, ast.AnnAssign)) and node.value and (value := _dotted(node.value)):
+        for target in filter(None, map(_dotted, node.targets if isinstance(node, ast.Assign) else [node.target])):
+            yield {"kind": "assign" if isinstance(node, ast.Assign) else "annotated", "owner": ast.unparse(node), "name": target, "detail": value, "line": node.lineno} | _extent(node, node)
+
+
+#: Kinds of rows by where they are found.
+_TOP, _DEEP = {"callable", "class", "base", "field", "edge", "forward", "bound"}, {"call", "import", "scope", "guard", "assign", "annotated"}
+
+
+def _top_level(node: ast.AST, kinds: set[str]) -> Iterator[dict]:
+    if isinstance(node, _DEFS):
+        if "callable" in kinds:
+            yield _callable(node, None)
+        if kinds & {"edge", "forward"}:
+            yield from _in_callable(node, None)
+    elif isinstance(node, ast.ClassDef):
+        yield {"kind": "class", "name": node.name, "line": node.lineno}
+        yield from ({"kind": "base", "owner": node.name, "name": ast.unparse(b), "line": k} for k, b in enumerate(node.bases))
+        for m in node.body:
+            if isinstance(m, _DEFS):
+                if "callable" in kinds:
+                    yield _callable(m, node.name)
+                if kinds & {"edge", "forward"}:
+                    yield from _in_callable(m, node.name)
+        for item in ast.walk(node) if "field" in kinds else ():
+            targets = item.targets if isinstance(item, ast.Assign) else [item.target] if isinstance(item, ast.AnnAssign) and item.value else []
+            for t in targets:
+                if isinstance(t, ast.Attribute) and isinstance(t.value, ast.Name) and t.value.id == "self":
+                    yield {"kind": "field", "owner": node.name, "name": t.attr, "line": item.lineno, "detail": ast.dump(item.value)}
+    elif isinstance(node, ast.ImportFrom) and node.module:
+        yield from ({"kind": "bound", "owner": node.module, "name": a.asname or a.name, "line": node.lineno, "detail": a.name} for a in node.names if a.name != "*")
+    elif isinstance(node, ast.Import):
+        # without an alias, the first part of the name is bound
+        yield from ({"kind": "bound", "owner": a.name if a.asname else a.name.split(".")[0], "name": a.asname or a.name.split(".")[0], "line": node.lineno} for a in node.names)
+
+
+def _rows(text: str, kinds: set[str]) -> Iterator[dict]:
     try:
         tree = ast.parse(text)
     except (SyntaxError, ValueError, RecursionError, MemoryError):
         yield {"kind": "error"}
         return
-    for node in tree.body:
-        if isinstance(node, _DEFS):
-            yield _callable(node, None)
-        elif isinstance(node, ast.ClassDef):
-            yield {"kind": "class", "name": node.name, "line": node.lineno}
-            yield from ({"kind": "base", "owner": node.name, "name": ast.unparse(b), "line": k} for k, b in enumerate(node.bases))
-            yield from (_callable(m, node.name) for m in node.body if isinstance(m, _DEFS))
-            for item in ast.walk(node):
-                targets = item.targets if isinstance(item, ast.Assign) else [item.target] if isinstance(item, ast.AnnAssign) and item.value else []
-                for t in targets:
-                    if isinstance(t, ast.Attribute) and isinstance(t.value, ast.Name) and t.value.id == "self":
-                        yield {"kind": "field", "owner": node.name, "name": t.attr, "line": item.lineno, "detail": ast.dump(item.value)}
-    for node in ast.walk(tree):
-        if isinstance(node, ast.Call) and isinstance(node.func, (ast.Name, ast.Attribute)):
-            words = [k.arg for k in node.keywords if k.arg] or [None]
-            yield from ({"kind": "call", "name": ast.unparse(node.func), "line": node.lineno, "detail": w} for w in words)
-        elif isinstance(node, ast.ImportFrom) and node.module and not node.level:
-            yield from ({"kind": "import", "owner": node.module, "name": a.name, "line": node.lineno, "detail": a.asname or a.name} for a in node.names)
-        elif isinstance(node, ast.Import):
-            yield from ({"kind": "import", "owner": a.name, "line": node.lineno, "detail": a.asname or a.name} for a in node.names)
-
-
-def symbols(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """keys and SYMBOL: a row for each callable, class, base class, field assignment, call keyword and import of a source text.
+    if kinds & _TOP:
+        for node in tree.body:
+            yield from (r for r in _top_level(node, kinds) if r["kind"] in kinds)
+    if kinds & _DEEP:
+        for node in ast.walk(tree):
+            yield from (r for r in _anywhere(node) if r["kind"] in kinds)
+
+
+def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str] | None = None) -> DataFrame:
+    """keys and SYMBOL: a row for each callable, class, base class, field assignment, call keyword, import, ... of a source text, of the kinds given
+    (default: all but those that patches need).
 
     Only top-level functions, classes and their direct methods are callables. self and cls are left out of a method's parameters,
-    annotations have no part in them. A text that does not parse gives one row of kind error; a null text gives none."""
+    annotations have no part in them. Further kinds: edge (what a callable calls), forward (it hands its ** catch-all to the same method of super()),
+    bound (a name that a top-level import binds), scope, guard, assign and annotated (extents of functions and of bodies under an if, and dotted names that are assigned to
+    dotted names, with their places at and until). A text that does not parse gives one row of kind error; a null text gives none.
+
+    Texts that lie in fewer partitions than there are cores are spread, for reading one is the work here."""
+    wanted = kinds or {"callable", "class", "base", "field", "call", "import"}
     kept = df.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("__text").schema)
+    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("__text").schema)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() < cores:
+        kept = kept.repartition(cores)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            form = pa.schema([*[batch.schema.field(k) for k in keys], *_ARROW])
-            rows = ({k: r[k] for k in keys} | found for r in batch.to_pylist() for found in _rows(r["__text"]))
-            yield pa.RecordBatch.from_pylist(list(rows), schema=form)
+            schema = pa.schema([*[batch.schema.field(k) for k in keys], *_ARROW])
+            rows = ({k: r[k] for k in keys} | found for r in batch.to_pylist() for found in _rows(r["__text"], wanted))
+            yield pa.RecordBatch.from_pylist(list(rows), schema=schema)
 
-    return kept.mapInArrow(read, f"{kinds}, {SYMBOL}")
+    return kept.mapInArrow(read, f"{form}, {SYMBOL}")
 
 
 def resolved_bases(found: DataFrame, keys: list[str]) -> DataFrame:
@@ -137,6 +210,57 @@ def accepts(expected: Column, actual: Column) -> Column:
     return F.coalesce((F.size(ap) >= F.size(ep)) & same_places & optional_rest & known_words & no_new_words & rest, F.lit(False))
 
 
+def optional_additions_only(old: Column, new: Column) -> Column:
+    """Whether the new shape has all parameters of the old, as they were, and at least one more, all of them optional. False where either is null."""
+    was, now = F.concat(old["positional"], old["keyword"]), F.concat(new["positional"], new["keyword"])
+    kept = F.forall(was, lambda p: F.exists(now, lambda q: (p["name"] == q["name"]) & (p["required"] == q["required"])))
+    more = F.filter(now, lambda q: ~F.exists(was, lambda p: p["name"] == q["name"]))
+    same_rest = old["vararg"].eqNullSafe(new["vararg"]) & old["kwarg"].eqNullSafe(new["kwarg"])
+    return F.coalesce(kept & (F.size(more) > 0) & F.forall(more, lambda q: ~q["required"]) & same_rest, F.lit(False))
+
+
+def forwarding(shapes: DataFrame, bases: DataFrame, forwards: DataFrame) -> DataFrame:
+    """class, method, to, hops: the classes whose method a class's method hands its ** catch-all to, itself included (hops 0), one super() after another.
+
+    shapes: class, method, shape; bases: class, base, pos; forwards: class, method. super() of a class is its first base class that has the
+    method or takes it from its own bases. Each class has one next class at most, so a walk is a chain; chains that return to a class end there."""
+    named = lambda cls: F.concat_ws("#", cls, "method")
+    every = bases.select("class").union(bases.select("base")).union(shapes.select("class")).distinct()
+    owners = method_owners(every, bases, shapes.select("class", "method")).select(F.col("class").alias("base"), "method", "owner")
+    after = bases.join(owners, "base").groupBy("class", "method").agg(F.min_by("owner", F.struct("pos", "base")).alias("next"))
+    edges = forwards.select("class", "method").distinct().join(after, ["class", "method"]).select(named(F.col("class")).alias("src"), named(F.col("next")).alias("dst"))
+    reached = graph.reachable(edges, shapes.select(named(F.col("class")).alias("node")))
+    return reached.select(F.substring_index("start", "#", 1).alias("class"), F.substring_index("start", "#", -1).alias("method"), F.substring_index("node", "#", 1).alias("to"), "hops")
+
+
+def forwarded_shapes(shapes: DataFrame, chains: DataFrame) -> DataFrame:
+    """class, method, shape: what a method takes in the end: its own parameters, and as keywords those of the methods that it forwards to that it does not
+    name itself; the catch-alls are the last method's. chains: as forwarding() gives them."""
+    steps = chains.join(shapes.select(F.col("class").alias("to"), "method", "shape"), ["to", "method"])
+    listed = steps.groupBy("class", "method").agg(F.array_sort(F.collect_list(F.struct("hops", "shape"))).alias("all"))
+
+    def merged(done, step):
+        s = step["shape"]
+        taken = lambda p: F.exists(done["positional"], lambda q: q["name"] == p["name"]) | F.exists(done["keyword"], lambda q: q["name"] == p["name"])
+        more = F.filter(F.concat(s["positional"], s["keyword"]), lambda p: ~taken(p))
+        return F.struct(done["positional"].alias("positional"), F.concat(done["keyword"], more).alias("keyword"), done["vararg"].alias("vararg"), s["kwarg"].alias("kwarg"))
+
+    whole = F.aggregate(F.slice("all", F.lit(2), F.size("all")), F.element_at("all", 1)["shape"], merged)
+    return listed.select("class", "method", whole.alias("shape"))
+
+
+def already_compatible(overrides: DataFrame, shapes: DataFrame, chains: DataFrame, deltas: DataFrame) -> DataFrame:
+    """class, base, method, compatible: whether an override takes what its changed upstream method takes now: it accepts the new shape itself,
+    or it is a constructor that forwards its catch-all, over any number of classes, to that upstream class, and the change only adds optional parameters.
+
+    overrides: class, base (upstream), method; shapes: class, method, shape; chains: as forwarding(); deltas: class, method, old_shape, new_shape.
+    An override without a shape, or a change without a new one, is not compatible."""
+    rows = overrides.join(deltas.select(F.col("class").alias("base"), "method", "old_shape", "new_shape"), ["base", "method"]).join(shapes.select("class", "method", "shape"), ["class", "method"], "left")
+    rows = rows.join(chains.select("class", "method", F.col("to").alias("base"), F.lit(True).alias("reaches")), ["class", "method", "base"], "left")
+    forwarded = (F.col("method") == "__init__") & F.coalesce("reaches", F.lit(False)) & optional_additions_only(F.col("old_shape"), F.col("new_shape"))
+    return rows.select("class", "base", "method", (accepts(F.col("new_shape"), F.col("shape")) | forwarded).alias("compatible"))
+
+
 def _sets(found: DataFrame, kind: str, by: list[str], name: str) -> DataFrame:
     return found.where(F.col("kind") == kind).groupBy(*by).agg(F.collect_set("detail").alias(name))
 
