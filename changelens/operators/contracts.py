@@ -306,6 +306,28 @@ def import_deltas(imports: DataFrame, old: DataFrame, new: DataFrame, renames: D
     return rows.withColumn("delta", delta).withColumn("destination", goal).drop("body", "__module", "__moved", "__twin")
 
 
+def owner_deltas(imports: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """Adds delta ('owner_changed') to imports (owner: module, name) of a top-level class or function that both snapshots have and whose text differs: for a
+    function its parameters or body, for a class any of its methods, or the set of them. old and new carry a column module, as in import_deltas."""
+
+    def profiles(found: DataFrame) -> DataFrame:
+        rows = found.where("kind IN ('callable', 'class')").select(F.col("module").alias("owner"), F.coalesce("owner", "name").alias("name"), F.when(F.col("owner").isNotNull(), F.col("name")).alias("method"), "body", "line")
+        return rows.groupBy("owner", "name").agg(F.sort_array(F.collect_set(F.struct("method", "body"))).alias("profile"))
+
+    both = profiles(old).join(profiles(new).withColumnRenamed("profile", "now"), ["owner", "name"]).where("profile <> now").select("owner", "name", F.lit("owner_changed").alias("delta"))
+    return imports.join(both, ["owner", "name"])
+
+
+def touched(asked: DataFrame, old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, owner, name, touched of the methods asked for: whether the method of just that class differs between two snapshots (parameters or body; also if only
+    one has it). The same name in another class does not matter. Null where a text of the keys does not parse, or no owner or name is given; false where neither snapshot has it."""
+    broken = old.union(new).where("kind = 'error'").select(*keys).distinct().withColumn("__broken", F.lit(True))
+    side = lambda found, name: first_callables(found, keys).select(*keys, "owner", "name", F.col("body").alias(name))
+    rows = asked.join(side(old, "__a"), [*keys, "owner", "name"], "left").join(side(new, "__b"), [*keys, "owner", "name"], "left").join(broken, keys, "left")
+    known = F.col("__broken").isNull() & (F.coalesce("owner", F.lit("")) != "") & (F.coalesce("name", F.lit("")) != "")
+    return rows.select(*keys, "owner", "name", F.when(known, ~F.col("__a").eqNullSafe(F.col("__b"))).alias("touched"))
+
+
 def method_owners(classes: DataFrame, bases: DataFrame, methods: DataFrame, depth: int = 20) -> DataFrame:
     """class, method, owner, hops: the class that a method is taken from, base classes being searched depth first, left to right, the first
     hit counting. classes: class; bases: class, base, pos; methods: class, method.

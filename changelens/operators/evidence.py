@@ -70,6 +70,57 @@ def folded(df: DataFrame, key: str, label: str, example: str, order: str, exampl
     return out.withColumn("confidence", confidence).withColumn("action", action).drop("__compatible", "__passed")
 
 
+# The labels of evidence, by family, and the families in order of their weight.
+COMPATIBLE = "already compatible override signature"
+FAMILIES = {
+    "interface": (
+        "upstream callable signature changed", "upstream callable introduced with incompatible override", "upstream callable exactly renamed", "upstream callable owner removed or consolidated",
+        "upstream callable removed or renamed", "verified imported module relocated", "verified imported module removed without exact destination", "verified call keyword delta",
+        "unverified call keyword delta", "unverified call protocol candidate",
+    ),
+    "implementation": (
+        "method relationship review", "same-name candidate only", "unverified method candidate", "already compatible override signature", "changed directly imported upstream owner",
+        "changed explicitly copied upstream source",
+    ),
+    "field": ("verified upstream field contract delta", "unverified upstream field contract delta", "field relationship review", "low-signal imported attribute"),
+    "version": ("release compatibility guard",),
+    "registration": ("registration closure review",),
+    "observation": (),
+}
+SIGNATURE_SCORE = 95
+
+
+def labelled(df: DataFrame, table: Column, delta: Column, verified: Column, accepted: Column) -> DataFrame:
+    """Adds label to evidence rows by their table; flags as in scored()."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    d, v, a = yes(delta), yes(verified), yes(accepted)
+    texts = {
+        "method": F.when(d & v & a, COMPATIBLE).when(d & v, "upstream callable signature changed").when(d, "unverified method candidate").otherwise("method relationship review"),
+        "call": F.when(d & v, "verified call keyword delta").when(d, "unverified call keyword delta").otherwise("unverified call protocol candidate"),
+        "field": F.when(d & v, "verified upstream field contract delta").when(d, "unverified upstream field contract delta").otherwise("field relationship review"),
+        "import": F.when(d & v, "verified imported module relocated").otherwise("changed directly imported upstream owner"),
+        "registration": F.lit("registration closure review"), "copied": F.lit("changed explicitly copied upstream source"), "guard": F.lit("release compatibility guard"),
+    }
+    label = F.lit("broad mapping observation")
+    for name, text in texts.items():
+        label = F.when(table == name, text).otherwise(label)
+    return df.withColumn("label", label)
+
+
+def with_tier(df: DataFrame, families: dict[str, tuple[str, ...]] = FAMILIES) -> DataFrame:
+    """Sets labels right and adds family and tier to rows of folded(): a core row loses the label of compatible evidence, so that it does not read as
+    dismissed; the family is the weightiest that a label belongs to; the interface has two tiers, by score. 'dismiss' goes by the labels that are left."""
+    order = list(families)
+    labels = F.when(F.col("core"), F.array_remove("labels", COMPATIBLE)).otherwise(F.col("labels"))
+    rank = F.lit(len(order) - 1)
+    for k, name in reversed([*enumerate(order)]):
+        rank = F.when(F.arrays_overlap(F.col("labels"), F.array(*map(F.lit, families[name])).cast("array<string>")), k).otherwise(rank)
+    family = F.element_at(F.array(*map(F.lit, order)), rank + 1)
+    tier = F.when(F.col("family") != "interface", F.col("family")).when(F.col("score") >= SIGNATURE_SCORE, "interface: signature").otherwise("interface: protocol")
+    action = F.when(F.array_contains("labels", COMPATIBLE), "dismiss").when(F.col("action") == "dismiss", "review").otherwise(F.col("action"))
+    return df.withColumn("labels", labels).withColumn("family", family).withColumn("tier", tier).withColumn("action", action)
+
+
 def gated(gates: list[Column]) -> Column:
     """'modify' if all gates are true, 'dismiss' if one is false, 'review' if one is unknown."""
     every, known = F.lit(True), F.lit(True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,17 +107,21 @@ def reconciled(checks: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return rows
 
 
-def probed(df: DataFrame, key: str, flips: dict[str, Column], counter: Column, expected: dict[str, int]) -> DataFrame:
-    """name, delta, passed: how a counter (an aggregate over column state) moves if the state of one row is changed. flips gives for each
-    probe the new state, null for rows that it leaves alone; all probes share one pass over the rows."""
-    of = lambda state: df.withColumn("state", state).agg(counter.alias("n"))
-    probes = None
-    for name, change in flips.items():
-        first = df.where(change.isNotNull()).agg(F.min(key).alias("__key"))
-        moved = df.crossJoin(F.broadcast(first)).withColumn("state", F.when(F.col(key) == F.col("__key"), F.coalesce(change, F.col("state"))).otherwise(F.col("state")))
-        one = moved.agg(counter.alias("after")).crossJoin(of(F.col("state"))).select(F.lit(name).alias("name"), (F.col("after") - F.col("n")).alias("delta"), (F.col("after") - F.col("n") == expected[name]).alias("passed"))
-        probes = one if probes is None else probes.unionAll(one)
-    return probes
+def probed(df: DataFrame, key: str, state: str, flips: dict[str, Column], measure: Callable[[Column], Column], expected: dict[str, Column | int] | None = None) -> DataFrame:
+    """name, key, before, delta, passed: how the sum of a measure (of a row's state) moves if the state of one row is changed. flips gives for each
+    probe the new state, null for rows that it leaves alone; of the others the first by key is changed.
+
+    A sum moves by what its changed row moves, so no probe sums the table again: one pass gives the sum and each probe's row. expected has, for a probe, the delta that
+    it must give (over its row; default: any). A probe without a row has a null key, no delta, and has not passed."""
+    known = expected or {}
+    parts = [F.coalesce(F.sum(measure(F.col(state))), F.lit(0)).alias("before")]
+    for k, (name, change) in enumerate(flips.items()):
+        row = F.struct(F.col(key).alias("key"), (F.coalesce(measure(change), F.lit(0)) - F.coalesce(measure(F.col(state)), F.lit(0))).alias("delta"), F.lit(known.get(name)).cast("double").alias("expected"))
+        parts.append(F.min_by(F.when(change.isNotNull(), row), F.when(change.isNotNull(), F.col(key))).alias(f"p{k}"))
+    one = df.agg(*parts)
+    probes = F.array(*(F.struct(F.lit(name).alias("name"), F.col(f"p{k}.key").alias(key), F.col(f"p{k}.delta").alias("delta"), F.col(f"p{k}.expected").alias("expected")) for k, name in enumerate(flips)))
+    rows = one.select("before", F.explode(probes).alias("p")).select("p.name", f"p.{key}", "before", "p.delta", "p.expected")
+    return rows.select("name", key, "before", "delta", F.coalesce(F.col("delta").isNotNull() & (F.col("expected").isNull() | (F.col("delta").cast("double") == F.col("expected"))), F.lit(False)).alias("passed"))
 
 
 def grep_lines(text: Column) -> Column:

@@ -170,3 +170,59 @@ def s5_renames(t):
     text = F.when(kind == 0, c("text")).when(kind == 1, F.concat("text", F.lit("\nOne more line, of document "), "doc_id", F.lit("."))).otherwise(F.substring("text", F.lit(1), F.floor(F.length("text") * 9 / 10).cast("int")))
     new = files.where("doc_id % 5 > 0").select(F.concat(F.lit("new/"), "doc_id").alias("path"), text.alias("text"))
     return renames.renames(old, new)
+
+
+@query("c17_signatures", """
+SELECT p_partkey, 'def run(self,' || coalesce((SELECT string_agg(' a' || k || '=(' || k || ', 1),', '' ORDER BY k) FROM unnest(range(least(p_size, 39))) AS r(k)), '') || CASE WHEN p_size <= 38 THEN ' ) -> int:' ELSE '' END AS signature FROM part""")
+def c17(t):
+    from changelens.functions.text import signature
+
+    middle = F.transform(F.sequence(F.lit(1), c("p_size")), lambda k: F.concat(F.lit("    a"), k - 1, F.lit("=("), k - 1, F.lit(", 1),")))
+    lines = F.concat(F.array(F.lit("@mark(1)"), F.lit("def run(self,")), F.when(c("p_size") > 0, middle).otherwise(F.array().cast("array<string>")), F.array(F.lit("  )  ->  int:"), F.lit("    return (0):"), F.lit("x = 1:")))
+    return t("part").select("p_partkey", signature(lines, F.lit(2)).alias("signature"))
+
+
+@query("d13_touched", """
+SELECT p_partkey, CASE WHEN p_size % 7 = 6 THEN NULL ELSE p_size % 7 IN (1, 2, 4) END AS touched FROM part""")
+def d13(t):
+    run, other = "class Unit:\n    def run(self, a):\n        return a\n", "class Other:\n    def run(self, a):\n        return 2\n"
+    kind = c("p_size") % 7
+    new = (
+        F.when(kind == 1, F.lit(run.replace("return a", "return a + 1"))).when(kind == 2, F.lit(run.replace("self, a", "self, a, b")))
+        .when(kind == 3, F.lit(run + other)).when(kind == 4, F.lit("class Unit:\n    pass\n")).when(kind == 5, F.lit(run.replace("self, a", "self,   a"))).when(kind == 6, F.lit("class Unit(:\n")).otherwise(F.lit(run))
+    )
+    texts = t("part").select("p_partkey", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.lit(run).alias("text")), F.struct(F.lit(1).alias("side"), new.alias("text")))).alias("s")).select("p_partkey", "s.*")
+    found = store.written(contracts.symbols(texts, ["p_partkey", "side"], kinds={"callable"}), "scoped")
+    asked = t("part").select("p_partkey", F.lit("Unit").alias("owner"), F.lit("run").alias("name"))
+    return contracts.touched(asked, found.where("side = 0").drop("side"), found.where("side = 1").drop("side"), ["p_partkey"]).select("p_partkey", "touched")
+
+
+@query("d8_import_deltas", """
+SELECT p_partkey, 'up.m' || p_size AS module, name, CASE WHEN p_size % 4 = 1 THEN CASE WHEN p_size % 8 = 1 THEN 'module_relocated' ELSE 'module_removed' END
+  WHEN name = 'gone' THEN CASE WHEN p_size % 4 = 2 THEN 'symbol_renamed' ELSE 'symbol_removed' END ELSE 'owner_changed' END AS delta FROM part, (SELECT unnest(['gone', 'kept', 'changes']) AS name)
+WHERE p_size % 4 = 1 OR (p_size % 4 IN (2, 3) AND name = 'gone') OR (p_size % 4 = 3 AND name = 'changes')""")
+def d8(t):
+    old = "def gone(a):\n    return 5\ndef kept(a):\n    return 1\nclass changes:\n    def run(self):\n        return 1\n"
+    kind = c("p_size") % 4
+    new = F.when(kind == 2, F.lit(old.replace("gone", "went"))).when(kind == 3, F.lit("def kept(a):\n    return 1\nclass changes:\n    def run(self):\n        return 2\n")).otherwise(F.lit(old))
+    modules = t("part").select("p_size").distinct().select("p_size", F.concat(F.lit("up.m"), "p_size").alias("module"))
+    was = contracts.symbols(modules.withColumn("text", F.lit(old)), ["module"], kinds={"callable", "class"})
+    now = contracts.symbols(modules.where(kind != 1).withColumn("text", new), ["module"], kinds={"callable", "class"})
+    moved = modules.where("p_size % 8 = 1").select(c("module").alias("old_module"), F.concat(F.lit("new."), "module").alias("new_module"))
+    imports = t("part").select("p_partkey", F.concat(F.lit("up.m"), "p_size").alias("owner"), F.explode(F.array(F.lit("gone"), F.lit("kept"), F.lit("changes"))).alias("name"))
+    was, now = store.written(was, "old-modules"), store.written(now, "new-modules")
+    out = contracts.import_deltas(imports, was, now, moved).select("p_partkey", c("owner").alias("module"), "name", "delta")
+    return out.union(contracts.owner_deltas(imports, was, now).select("p_partkey", c("owner").alias("module"), "name", "delta"))
+
+
+@query("s14_set_digest", """
+WITH leaves AS (SELECT sha256(CAST(doc_id AS VARCHAR)) AS key, sha256(CAST(doc_id AS VARCHAR)) || sha256(coalesce(text, '')) AS entry FROM documents),
+l3 AS (SELECT substr(key, 1, 3) AS p, sha256(string_agg(entry, '' ORDER BY entry)) AS d, count(*) AS n FROM leaves GROUP BY 1),
+l2 AS (SELECT substr(p, 1, 2) AS p, sha256(string_agg(p || d, '' ORDER BY p || d)) AS d, sum(n) AS n FROM l3 GROUP BY 1),
+l1 AS (SELECT substr(p, 1, 1) AS p, sha256(string_agg(p || d, '' ORDER BY p || d)) AS d, sum(n) AS n FROM l2 GROUP BY 1)
+SELECT sha256(coalesce(string_agg(p || d, '' ORDER BY p || d), '')) AS digest, CAST(coalesce(sum(n), 0) AS BIGINT) AS files FROM l1""")
+def s14(t):
+    from changelens.sources import digests
+
+    files = t("documents").select(c("doc_id").cast("string").alias("path"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
+    return digests.set_digest(files)

@@ -152,6 +152,26 @@ def a15(t):
     return _evidence(t).groupBy("score", "core").agg(F.count("*").alias("n"))
 
 
+@query("a14_tiers", f"""
+WITH s AS (SELECT *, CASE kind WHEN 'method' THEN CASE WHEN d AND v AND a THEN 'already compatible override signature' WHEN d AND v THEN 'upstream callable signature changed' WHEN d THEN 'unverified method candidate' ELSE 'method relationship review' END
+  WHEN 'call' THEN CASE WHEN d AND v THEN 'verified call keyword delta' WHEN d THEN 'unverified call keyword delta' ELSE 'unverified call protocol candidate' END
+  WHEN 'field' THEN CASE WHEN d AND v THEN 'verified upstream field contract delta' WHEN d THEN 'unverified upstream field contract delta' ELSE 'field relationship review' END
+  WHEN 'import' THEN CASE WHEN d AND v THEN 'verified imported module relocated' ELSE 'changed directly imported upstream owner' END
+  WHEN 'registration' THEN 'registration closure review' WHEN 'copied' THEN 'changed explicitly copied upstream source' WHEN 'guard' THEN 'release compatibility guard' ELSE 'broad mapping observation' END AS label FROM ({_SCORED})),
+g AS (SELECT l_orderkey, max(score) AS score, bool_or(core) AS core, count(*) AS n_rows, bool_or(label = 'already compatible override signature') AS fits FROM s GROUP BY 1),
+l AS (SELECT l_orderkey, label, min(l_linenumber) AS pos, CASE WHEN label LIKE '%keyword delta' OR label LIKE '%protocol%' OR label LIKE 'upstream callable%' OR label LIKE 'verified imported%' THEN 0
+  WHEN label LIKE '%method%' OR label LIKE 'already%' OR label LIKE 'changed%' THEN 1 WHEN label LIKE '%field%' THEN 2 WHEN label LIKE 'release%' THEN 3 WHEN label LIKE 'registration%' THEN 4 ELSE 5 END AS family FROM s GROUP BY 1, 2),
+kept AS (SELECT l.* FROM l JOIN g USING (l_orderkey) WHERE NOT (core AND label = 'already compatible override signature')),
+f AS (SELECT l_orderkey, string_agg(label, '|' ORDER BY pos, label) AS labels, ['interface','implementation','field','version','registration','observation'][min(family) + 1] AS family FROM kept GROUP BY 1)
+SELECT l_orderkey, score, core, n_rows, labels, family, CASE WHEN family <> 'interface' THEN family WHEN score >= 95 THEN 'interface: signature' ELSE 'interface: protocol' END AS tier,
+  CASE WHEN fits AND NOT core THEN 'dismiss' ELSE 'review' END AS action FROM g JOIN f USING (l_orderkey)""")
+def a14_tiers(t):
+    c = F.col
+    rows = evidence.labelled(_evidence(t), c("table"), c("delta"), c("verified"), c("accepted"))
+    out = evidence.with_tier(evidence.folded(rows, "l_orderkey", "label", "l_partkey", "l_linenumber"))
+    return out.select("l_orderkey", "score", "core", "n_rows", F.array_join("labels", "|").alias("labels"), "family", "tier", "action")
+
+
 @query("a14_evidence_fold", f"""
 WITH s AS ({_SCORED}), best AS (SELECT l_partkey, max(score) AS score, bool_or(core) AS core, count(*) AS n_rows FROM s GROUP BY 1),
 labels AS (SELECT l_partkey, string_agg(kind, ',' ORDER BY pos, kind) AS labels FROM (SELECT l_partkey, kind, min(l_orderkey) AS pos FROM s GROUP BY 1, 2) GROUP BY 1),
