@@ -334,21 +334,23 @@ def method_owners(classes: DataFrame, bases: DataFrame, methods: DataFrame, dept
 
     Each round joins the open paths to their bases. A path is the list of places from the start, and lists compare in just that order,
     so the first hit is a minimum. A class that is on its own path is not entered again; open paths after depth rounds are an error."""
+    spark, folder = classes.sparkSession, store.scratch(classes.sparkSession, "owners")
     front = classes.select("class", F.col("class").alias("owner"), F.array().cast("array<int>").alias("path"), F.array("class").alias("seen"))
-    edges = bases.select(F.col("class").alias("owner"), "base", F.col("pos").cast("int").alias("pos"))
-    every = front
-    for _ in range(depth):
+    edges = store.written(bases.select(F.col("class").alias("owner"), "base", F.col("pos").cast("int").alias("pos")), "base-edges")
+    kept = front.schema
+    # rounds are written beside each other, so all of them are one scan
+    for hop in range(depth + 1):
+        front.write.parquet(f"{folder}/hops={hop}")
+        front = spark.read.schema(kept).parquet(f"{folder}/hops={hop}")
+        if front.isEmpty():
+            break
         step = front.join(edges, "owner").where(~F.array_contains("seen", F.col("base")))
         step = step.select("class", F.col("base").alias("owner"), F.array_append("path", F.col("pos")).alias("path"), F.array_append("seen", F.col("base")).alias("seen"))
         # another way to a class that was reached before in order adds nothing
         front = step.groupBy("class", "owner").agg(F.min_by(F.struct("path", "seen"), "path").alias("p")).select("class", "owner", "p.path", "p.seen")
-        front = store.written(front, "owners")
-        if front.isEmpty():
-            break
-        every = every.unionByName(front)
     else:
         raise RuntimeError(f"base classes are still found after {depth} steps")
-    hits = every.join(methods.select(F.col("class").alias("owner"), "method"), "owner")
+    hits = spark.read.schema(kept).parquet(folder).join(methods.select(F.col("class").alias("owner"), "method"), "owner")
     best = hits.groupBy("class", "method").agg(F.min_by(F.struct("owner", "path"), "path").alias("b"))
     return best.select("class", "method", "b.owner", F.size("b.path").alias("hops"))
 

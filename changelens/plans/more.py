@@ -163,7 +163,7 @@ def v14(t):
     return rows.groupBy("route", "category").agg(F.count("*").alias("n")).withColumn("differs", decisions.differs(c("route"), c("category")))
 
 
-def _sources(t):
+def _sources(t, kinds):
     """Symbols of an old and a new source text for each part, both read once; what the new one does to the old depends on the part's size."""
     run = F.concat(F.lit("    def run(self, a, b=1):\n        self.n = a\n        call(a, key="), "p_size", F.lit(")\n        return "), "p_partkey", F.lit("\n"))
     stop = F.lit("    def stop(self):\n        return 0\n")
@@ -175,7 +175,7 @@ def _sources(t):
         .otherwise(F.when(c("p_size") > 25, F.replace(F.replace(text, F.lit("return 0"), F.lit("return 1")), F.lit("key="), F.lit("word="))).otherwise(text))
     )
     sides = t("part").select("p_partkey", F.explode(F.array(F.struct(F.lit(0).alias("side"), text.alias("text")), F.struct(F.lit(1).alias("side"), new.alias("text")))).alias("s")).select("p_partkey", "s.*")
-    found = store.written(contracts.symbols(sides, ["p_partkey", "side"]), "symbols")
+    found = store.written(contracts.symbols(sides, ["p_partkey", "side"], kinds=kinds), "symbols")
     return found.where("side = 0").drop("side"), found.where("side = 1").drop("side")
 
 
@@ -185,25 +185,25 @@ UNION ALL SELECT p_partkey, 'stop', 'owner_removed', FALSE FROM part WHERE p_siz
 UNION ALL SELECT p_partkey, 'begin', 'introduced', FALSE FROM part WHERE p_size % 6 = 2 UNION ALL SELECT p_partkey, 'extra', 'introduced', FALSE FROM part WHERE p_size % 6 = 5
 UNION ALL SELECT p_partkey, unnest(['run', 'stop']), 'body_changed', FALSE FROM part WHERE p_size % 6 = 0 AND p_size > 25""")
 def d2(t):
-    found = contracts.callable_deltas(*_sources(t), ["p_partkey"]).where("delta <> 'same'")
+    found = contracts.callable_deltas(*_sources(t, {"callable", "class"}), ["p_partkey"]).where("delta <> 'same'")
     return found.select("p_partkey", "name", "delta", (F.coalesce("renamed_to", F.lit("")) == "begin").alias("has_new_name"))
 
 
 @query("d4_accepts", "SELECT p_partkey, p_size % 6 IN (0, 5) AS accepted FROM part WHERE p_size % 6 IN (0, 1, 5)")
 def d4(t):
-    found = contracts.callable_deltas(*_sources(t), ["p_partkey"]).where("name = 'run' AND old_shape IS NOT NULL AND new_shape IS NOT NULL")
+    found = contracts.callable_deltas(*_sources(t, {"callable", "class"}), ["p_partkey"]).where("name = 'run' AND old_shape IS NOT NULL AND new_shape IS NOT NULL")
     return found.select("p_partkey", contracts.accepts(c("old_shape"), c("new_shape")).alias("accepted"))
 
 
 @query("d11_keyword_deltas", """SELECT p_partkey, 'call' AS name, CASE WHEN p_size % 6 = 0 THEN 'word' ELSE '' END AS added, 'key' AS removed FROM part WHERE p_size % 6 IN (3, 4) OR (p_size % 6 = 0 AND p_size > 25)""")
 def d11(t):
-    found = contracts.keyword_deltas(*_sources(t), ["p_partkey"])
+    found = contracts.keyword_deltas(*_sources(t, {"call"}), ["p_partkey"])
     return found.select("p_partkey", "name", F.array_join("added", ",").alias("added"), F.array_join("removed", ",").alias("removed"))
 
 
 @query("d12_field_deltas", "SELECT p_partkey, 'Unit' AS owner, 'n' AS name, 'removed' AS delta FROM part WHERE p_size % 6 IN (3, 4)")
 def d12(t):
-    return contracts.field_deltas(*_sources(t), ["p_partkey"])
+    return contracts.field_deltas(*_sources(t, {"field"}), ["p_partkey"])
 
 
 @query("d18_range_classes", "SELECT CASE WHEN NOT a THEN CASE WHEN b THEN 'fixed' ELSE 'preexisting' END WHEN b THEN 'compatibility_warning' ELSE 'introduced_break' END AS class, count(*) AS n FROM (SELECT l_returnflag <> 'R' AS a, l_quantity < 30 AS b FROM lineitem) GROUP BY 1")
