@@ -156,7 +156,7 @@ o AS MATERIALIZED (SELECT path, line, count(*) AS times FROM (SELECT path, unnes
 f AS MATERIALIZED (SELECT path, line, count(*) AS times FROM (SELECT path, unnest(string_split(text, chr(10))) AS line FROM fresh WHERE path NOT IN (SELECT new FROM same)) GROUP BY 1, 2),
 os AS (SELECT path, sum(times * (strlen(line) + 1)) AS size FROM o GROUP BY 1), fs AS (SELECT path, sum(times * (strlen(line) + 1)) AS size FROM f GROUP BY 1),
 pairs AS MATERIALIZED (
-  SELECT *, row_number() OVER (ORDER BY similarity DESC, old, new) AS k FROM (
+  SELECT *, row_number() OVER (ORDER BY similarity DESC, md5(old || '>' || new), old, new) AS k FROM (
     SELECT o.path AS old, f.path AS new, CAST(floor(100 * sum(least(o.times, f.times) * (strlen(line) + 1)) / greatest(os.size, fs.size)) AS INTEGER) AS similarity
     FROM o JOIN f USING (line) JOIN os ON os.path = o.path JOIN fs ON fs.path = f.path GROUP BY o.path, f.path, os.size, fs.size) WHERE similarity >= 70),
 walk AS (

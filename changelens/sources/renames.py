@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from changelens.operators import store
 
+#: Files of a block, where very many files share a line; copies of one content that are put in order at once.
+BLOCK, COPIES = 256, 4096
+
 
 def _lines(df: DataFrame) -> DataFrame:
     """path, line (a hash), times, weight (UTF-8 bytes of all its occurrences, line feeds included)."""
@@ -14,48 +17,92 @@ def _lines(df: DataFrame) -> DataFrame:
     return rows.groupBy("path", F.xxhash64("text").alias("line")).agg(F.count("*").alias("times"), (F.max(F.octet_length("text")) + 1).cast("long").alias("bytes")).withColumn("weight", F.col("times") * F.col("bytes"))
 
 
-def similar_files(old: DataFrame, new: DataFrame, percent: int = 70) -> DataFrame:
-    """old, new, similarity of the files (path, text on both sides) of which at least so many percent of the larger one's bytes are lines that both have, repeats
-    counted; similarity is rounded down. A null text is no file.
-
-    Sets meet by prefixes: a file's lines stand in one order for all, rare ones first, and what comes after the prefix weighs less than the least common weight.
-    So two similar files share a line of their prefixes. Sizes rule out further pairs; only those that are left have all their lines compared."""
+def _prefixes(old: DataFrame, new: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The lines of both sides (side 0 and 1), and those of each file that stand in its prefix, with the file's size in bytes: a file's lines stand in one order
+    for all, rare ones first, and what comes after the prefix weighs less than percent of the file. So two files that have that much in common share a line of their prefixes."""
     sides = old.where("text IS NOT NULL").select("path", "text", F.lit(0).alias("side")).unionByName(new.where("text IS NOT NULL").select("path", "text", F.lit(1).alias("side")))
     lines = store.written(_lines(sides.select(F.struct("side", "path").alias("path"), "text")).select("path.side", "path.path", "line", "times", "bytes", "weight"), "file-lines")
     often = lines.groupBy("line").agg(F.count("*").alias("files"))
     by_file = Window.partitionBy("side", "path")
     ranked = lines.join(often, "line").withColumn("size", F.sum("weight").over(by_file)).withColumn("from", F.sum("weight").over(by_file.orderBy(F.desc("files"), F.desc("line"))))
-    prefix = store.written(ranked.where(100 * F.col("from") >= percent * F.col("size")).select("side", "path", "line", "size"), "file-prefixes")
-    a, b = (prefix.where(F.col("side") == side).select(F.col("path").alias(name), "line", F.col("size").alias(f"{name}_size")) for side, name in ((0, "old"), (1, "new")))
+    return lines, store.written(ranked.where(100 * F.col("from") >= percent * F.col("size")).select("side", "path", "line", "size"), "file-prefixes")
+
+
+def _of(side: int, prefix: DataFrame, name: str) -> DataFrame:
+    return prefix.where(F.col("side") == side).select(F.col("path").alias(name), "line", F.col("size").alias(f"{name}_size"))
+
+
+def _scored(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """old, new, similarity of the candidate pairs (old, new, old_size, new_size) that are similar: sizes rule out some, of the others all lines are compared."""
     most = F.greatest("old_size", "new_size")
-    pairs = a.join(b, "line").where(100 * F.least("old_size", "new_size") >= percent * most).select("old", "new", most.alias("most")).distinct()
+    pairs = pairs.where(100 * F.least("old_size", "new_size") >= percent * most).select("old", "new", most.alias("most")).distinct()
     all_of = lambda side, name: lines.where(F.col("side") == side).select(F.col("path").alias(name), "line", F.col("times").alias(f"{name}_times"), "bytes")
     common = pairs.join(all_of(0, "old"), "old").join(all_of(1, "new").drop("bytes"), ["new", "line"]).groupBy("old", "new", "most").agg(F.sum(F.least("old_times", "new_times") * F.col("bytes")).alias("common"))
     return common.where(100 * F.col("common") >= percent * F.col("most")).select("old", "new", F.floor(100 * F.col("common") / F.col("most")).cast("int").alias("similarity"))
 
 
-def matched(pairs: DataFrame, rounds: int = 60) -> DataFrame:
-    """One-to-one: of old, new, similarity the rows that are taken if the best row goes first and takes both its files from all others; ties by old, then new.
+def similar_files(old: DataFrame, new: DataFrame, percent: int = 70) -> DataFrame:
+    """old, new, similarity of all pairs of files (path, text on both sides) of which at least so many percent of the larger one's bytes are lines that both have, repeats
+    counted; similarity is rounded down. A null text is no file. As it gives all pairs, the result of a group of copies is the product of its sides; renames() does not need them."""
+    lines, prefix = _prefixes(old, new, percent)
+    return _scored(_of(0, prefix, "old").join(_of(1, prefix, "new"), "line"), lines, percent)
+
 
-    In each round all rows go that are the best of both their files, which are those that would be taken in any case, until none is left."""
+def matched(pairs: DataFrame, rounds: int = 1000) -> DataFrame:
+    """One-to-one: of old, new, similarity the rows that are taken if the best row goes first and takes both its files from all others; of one similarity that with the
+    least md5 of its paths.
+
+    In each round all rows go that are the best of both their files, which are those that would be taken in any case, until none is left. As ties are in random order, a
+    group of equally similar files takes a few rounds, not one for each file."""
+    rank = F.struct(-F.col("similarity"), F.md5(F.concat("old", F.lit(">"), "new").cast("binary")), F.col("old"), F.col("new"))
     out, left = None, store.written(pairs.select("old", "new", "similarity"), "rename-pairs")
     for _ in range(rounds):
-        rank = F.struct(-F.col("similarity"), F.col("old"), F.col("new"))
-        best = lambda side: left.groupBy(side).agg(F.min(rank).alias("r")).select("r.old", "r.new", F.col(side).alias("at"))  # noqa: B023, E731
-        taken = store.written(left.join(best("old").select("old", "new"), ["old", "new"], "left_semi").join(best("new").select("old", "new"), ["old", "new"], "left_semi"), "renames")
-        out = taken if out is None else out.unionByName(taken)
-        left = store.written(left.join(taken.select("old"), "old", "left_anti").join(taken.select("new"), "new", "left_anti").select("old", "new", "similarity"), "rename-pairs")
         if left.isEmpty():
-            return out.select("old", "new", "similarity")
+            return left if out is None else out
+        best = lambda side: left.groupBy(side).agg(F.min(rank).alias("r")).select("r.old", "r.new")  # noqa: B023, E731
+        taken = store.written(best("old").join(best("new"), ["old", "new"]).join(left, ["old", "new"]), "renames")
+        out = taken if out is None else out.unionByName(taken)
+        left = store.written(left.join(taken.select("old"), "old", "left_anti").join(taken.select("new"), "new", "left_anti"), "rename-pairs")
     raise RuntimeError(f"files are still matched after {rounds} rounds")
 
 
-def renames(old: DataFrame, new: DataFrame, percent: int = 70) -> DataFrame:
+def _turns(df: DataFrame, name: str) -> DataFrame:
+    """name, blob, n: each file's number among those of its content, by path; among very many copies by parts of a hash of the path first, so that no task orders all."""
+    rows = df.select(F.col("path").alias(name), F.sha2(F.col("text").cast("binary"), 256).alias("blob"))
+    many = rows.groupBy("blob").agg(F.count("*").alias("copies")).where(F.col("copies") > COPIES).select("blob", F.ceil(F.col("copies") / COPIES).alias("parts"))
+    rows = store.written(rows.join(F.broadcast(many), "blob", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(name), "parts"), F.lit(0))).select(name, "blob", "part"), "blobs")
+    before = rows.groupBy("blob", "part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.partitionBy("blob").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    number = F.row_number().over(Window.partitionBy("blob", "part").orderBy(name)) + F.coalesce("before", F.lit(0))
+    return rows.join(before.where("before > 0").drop("n"), ["blob", "part"], "left").select(name, "blob", number.alias("n"))
+
+
+def _without(df: DataFrame, taken: DataFrame, name: str) -> DataFrame:
+    return df.join(taken.select(F.col(name).alias("path")), "path", "left_anti")
+
+
+def renames(old: DataFrame, new: DataFrame, percent: int = 70, block: int = BLOCK) -> DataFrame:
     """old, new, similarity: files (path, text) that are in one snapshot only and have become one another. Equal texts go first, in order of their paths; what is left
-    is matched by similar lines (similar_files), the best first. Empty and null texts are not renamed."""
-    gone = old.join(new.select("path"), "path", "left_anti").where("text <> ''")
-    fresh = new.join(old.select("path"), "path", "left_anti").where("text <> ''")
-    nth = lambda df, name: df.select(F.col("path").alias(name), F.sha2(F.col("text").cast("binary"), 256).alias("blob")).withColumn("n", F.row_number().over(Window.partitionBy("blob").orderBy(name)))
-    exact = store.written(nth(gone, "old").join(nth(fresh, "new"), ["blob", "n"]).select("old", "new", F.lit(100).alias("similarity")), "exact-renames")
-    rest = similar_files(gone.join(exact.select(F.col("old").alias("path")), "path", "left_anti"), fresh.join(exact.select(F.col("new").alias("path")), "path", "left_anti"), percent)
-    return exact.unionByName(matched(rest))
+    is matched by the share of common lines (similar_files), the best first (matched). Empty and null texts are not renamed.
+
+    Candidates share a line of their prefixes. A line that so many files of both sides have that their pairs are more than block * block has its files dealt into
+    blocks by a hash, and each block of old ones meets one of new ones, another in each round; what matches there leaves, so of a large group of near copies few are left after
+    the first round, and no round makes all pairs. In such a group a file goes to the best of the blocks that it has met; no file is left over that has a similar one left over."""
+    gone = _without(old, new.select(F.col("path").alias("other")), "other").where("text <> ''")
+    fresh = _without(new, old.select(F.col("path").alias("other")), "other").where("text <> ''")
+    exact = store.written(_turns(gone, "old").join(_turns(fresh, "new"), ["blob", "n"]).select("old", "new", F.lit(100).alias("similarity")), "exact-renames")
+    lines, prefix = _prefixes(_without(gone, exact, "old"), _without(fresh, exact, "new"), percent)
+    out = exact
+    for turn in range(1_000_000):
+        sizes = prefix.groupBy("line").agg(F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new")).where("n_old > 0 AND n_new > 0")
+        sizes = store.written(sizes.withColumn("blocks", F.when(F.col("n_old") * F.col("n_new") > block * block, F.ceil(F.greatest("n_old", "n_new") / block)).otherwise(1)), "rename-lines")
+        most = sizes.agg(F.max("blocks")).first()[0]
+        if most is None or turn >= most > 1:
+            return out
+        dealt = lambda side, name, step: _of(side, prefix, name).join(sizes.select("line", "blocks"), "line").withColumn("block", F.pmod(F.xxhash64(name) + step, "blocks"))  # noqa: B023, E731
+        pairs = dealt(0, "old", 0).join(dealt(1, "new", turn).drop("blocks"), ["line", "block"])
+        found = store.written(matched(_scored(pairs, lines, percent)), "matched")
+        out = out.unionByName(found)
+        if most == 1:
+            return out
+        prefix = store.written(prefix.join(found.select(F.lit(0).alias("side"), F.col("old").alias("path")).union(found.select(F.lit(1), "new")), ["side", "path"], "left_anti"), "file-prefixes")
+    return out

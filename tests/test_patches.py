@@ -1,6 +1,7 @@
 """Patches, forwarded contracts, adapted copies, paths, intervals and renames, against plain versions."""
 
 import collections
+import hashlib
 import random
 
 import pytest
@@ -222,8 +223,8 @@ def plain_renames(old, new, percent):
             size = lambda k: sum(n * (len(line.encode()) + 1) for line, n in k.items())
             common = size(one & two)
             if 100 * common >= percent * max(size(one), size(two)):
-                scores.append((-(100 * common // max(size(one), size(two))), a, b))
-    for s, a, b in sorted(scores):
+                scores.append((-(100 * common // max(size(one), size(two))), hashlib.md5(f"{a}>{b}".encode()).hexdigest(), a, b))
+    for s, _, a, b in sorted(scores):
         if a in gone and b in fresh:
             out.append((a, b, -s))
             del gone[a], fresh[b]
@@ -241,3 +242,22 @@ def test_renames(spark, percent):
     got = renames.renames(frame(old), frame(new), percent).collect()
     assert sorted(tuple(r) for r in got) == plain_renames(old, new, percent)
     assert renames.renames(frame(old), frame([])).count() == 0 and renames.renames(frame([]), frame(new)).count() == 0
+
+
+def test_renames_in_a_large_group(spark):
+    """Near copies and copies of one text in great number: each file finds one, in blocks, and no round makes all pairs."""
+    body = "\n".join(f"common line {k}" for k in range(30))
+    old = [(f"o{k}", f"{body}\nold {k}") for k in range(700)] + [(f"c{k}", "copy\nof one") for k in range(90)] + [(f"x{k}", f"alone {k}") for k in range(20)]
+    new = [(f"n{k}", f"{body}\nnew {k}") for k in range(650)] + [(f"d{k}", "copy\nof one") for k in range(100)]
+    frame = lambda rows: spark.createDataFrame(rows, "path string, text string")
+    got = renames.renames(frame(old), frame(new), 70, 64).collect()
+    near = [r for r in got if r.old[0] == "o"]
+    assert len({r.old for r in got}) == len({r.new for r in got}) == len(got) == 740 and len(near) == 650 and all(r.new[0] == "n" and 90 < r.similarity < 100 for r in near)
+    assert sorted((r.old, r.new) for r in got if r.old[0] == "c") == [*zip(sorted(f"c{k}" for k in range(90)), sorted(f"d{k}" for k in range(100)), strict=False)]
+
+
+def test_copies_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(renames, "COPIES", 7)
+    frame = lambda p, n: spark.createDataFrame([(f"{p}{k}", "same text") for k in range(n)], "path string, text string")
+    got = renames.renames(frame("o", 50), frame("n", 40)).collect()
+    assert len({r.old for r in got}) == len({r.new for r in got}) == 40
