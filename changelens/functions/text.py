@@ -14,6 +14,12 @@ def instant(text: Column) -> Column:
     return F.when(text.rlike(r"(Z|[+-]\d{2}:\d{2})$"), F.try_to_timestamp(text))
 
 
+def is_instant(text: Column) -> Column:
+    """Whether a text is an ISO-8601 day, or a day and a time that is there, with or without an offset; null and other texts are none."""
+    form = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$")
+    return F.coalesce(form & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+
+
 def local_text(ts: Column, zone: str) -> Column:
     """Wall-clock text of an instant in a zone, with milliseconds."""
     return F.date_format(F.from_utc_timestamp(ts, zone), "yyyy-MM-dd HH:mm:ss.SSS")
@@ -29,6 +35,12 @@ def module_of(path: Column) -> Column:
     return F.translate(F.regexp_replace(path, r"(/__init__)?\.py$", ""), "/", ".")
 
 
+def paths_of(module: Column) -> Column:
+    """The files that a module's name may stand for: a/b.py and a/b/__init__.py."""
+    path = F.translate(module, ".", "/")
+    return F.array(F.concat(path, F.lit(".py")), F.concat(path, F.lit("/__init__.py")))
+
+
 def last_part(text: Column, mark: str = ".") -> Column:
     return F.element_at(F.split(text, rf"\Q{mark}\E"), -1)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changelens.plans import lookups, more, patches, reports, sheets  # noqa: F401  (add their queries)
+from changelens.plans import lookups, more, patches, reports, scalars, sheets  # noqa: F401  (add their queries)
 from changelens.plans.queries import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "a14_evidence_fold"
