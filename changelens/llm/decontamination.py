@@ -4,6 +4,7 @@ are intersected by offset from each phrase's rarest word on; exact phrases and p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -180,18 +181,21 @@ def matches(df: DataFrame, items: DataFrame, window: int = WINDOW, within: int |
         raise ValueError("within must be from the window's length to 63")
     spark, apart = df.sparkSession, max(window, within or 0)
     docs = df.select(F.monotonically_increasing_id().alias("uid"), df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
-    parts, blocks = [], list(item_blocks(items, item_id, item_text))
-    if len(blocks) > 1:
+    blocks = item_blocks(items, item_id, item_text)
+    first, second = next(blocks, []), next(blocks, None)
+    several, parts = second is not None, []
+    if several:
         docs = written(docs, "documents")  # the same uid in every round
-    for block in blocks or [[]]:
+    for block in chain([first], [second] if several else [], blocks):
         ids, (known, texts) = [i for i, _ in block], vocabulary([t for _, t in block])
         index = written(docs.mapInArrow(lambda it, known=known: _indexed(it, known, apart), INDEX), "postings")
         counts = np.zeros(len(known), np.int64)
         for r in index.select(F.explode(F.arrays_zip("terms", "sizes")).alias("p")).groupBy("p.terms").agg(F.sum("p.sizes").alias("n")).collect():
             counts[r["terms"]] = r["n"]
-        parts.append(index.mapInArrow(lambda it, ids=ids, texts=texts, counts=counts: _searched(it, ids, texts, counts, window, within, apart), FOUND))
+        found = index.mapInArrow(lambda it, ids=ids, texts=texts, counts=counts: _searched(it, ids, texts, counts, window, within, apart), FOUND)
+        parts.append(written(found, "matches") if several else found)
     found = parts[0]
-    if len(parts) > 1:
+    if several:
         for part in parts[1:]:
             found = found.unionByName(part)
         all_of = lambda c: F.flatten(F.collect_list(c)).alias(c)
