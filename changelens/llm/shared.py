@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: A join gives rows of its own to keys with more rows than this, and at least one in MOST_HOT of all: so there are MOST_HOT such keys at most.
 HOT_ROWS, MOST_HOT = 256, 2000
+#: Tables of so few rows are joined at once, without a look for hot keys: a task that gets them all has little to do.
+FEW_ROWS = 100_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -53,12 +55,12 @@ def prefix_offsets(totals: DataFrame, group: list[str], order: str, value: str,
 
 
 def split_join(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
-    """rows joined with groups, a written table of one row for each key (of one column or several), with its number of rows as size; total is the number of all rows.
+    """rows joined with groups, a table (a written one, but for few rows) of one row for each key (of one column or several), with its number of rows as size; total is the number of all rows.
 
     No task gets a hot key whole: the groups of hot keys, MOST_HOT at most whatever the tables' size, are broadcast, and only
     the others are met by a shuffle. Without hot keys it is one join."""
     most = max(HOT_ROWS, total // MOST_HOT)
-    if total <= most or groups.where(F.col(size) > most).isEmpty():
+    if total <= FEW_ROWS or groups.where(F.col(size) > most).isEmpty():
         return rows.join(groups, key)
     hot = F.broadcast(groups.where(F.col(size) > most))
     rest = rows.join(hot.drop(*{*groups.columns}.difference([key] if isinstance(key, str) else key)), key, "left_anti").join(groups.where(F.col(size) <= most), key)
@@ -77,9 +79,10 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     before, total = None, 2 * star.count()
     for _ in range(rounds):
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
-        large = written(split_join(both, least, "u", "n", total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v"), "large-star")
-        down = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "down")
+        stored = written if total > FEW_ROWS else lambda df, name: df
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = stored(split_join(both, least, "u", "n", total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v"), "large-star")
+        down = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "down")
         small = split_join(large, down, "u", "n", total).where("v != m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         star = written(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "star")
         now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

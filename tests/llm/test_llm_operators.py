@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from changelens.llm import html, licenses, minhash, mixing, packing, search, sharding, tokens, toxicity, vectors
+from changelens.llm import html, licenses, minhash, mixing, packing, search, shared, sharding, tokens, toxicity, vectors
 from changelens.llm.shared import components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -220,7 +220,9 @@ def brute_components(n, links):
     return least
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(shared, "FEW_ROWS", few)
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(k, k + 1) for k in range(60, 90)]
     want = brute_components(91, links)
