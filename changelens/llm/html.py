@@ -49,7 +49,7 @@ GAP = re.compile(r"[\s/]*+")
 MARK = re.compile(r"\"(?:\\.|[^\"\\])*+(?:\"|\Z)|'(?:\\.|[^'\\])*+(?:'|\Z)|[{};]", re.DOTALL)
 DECLARED = re.compile(r"(?:^|;)\s*+(display|visibility)\s*+:\s*+([a-z-]++)[^;!]*+(!\s*+important)?", re.IGNORECASE)
 SELECTOR = re.compile(r"(?:[^,(]++|\([^)]*+\)?)++")
-COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*+)?((?:[.#][\w-]++)*+)\Z")
+STEP = re.compile(r"(\s*+[>+~]\s*+|\s++)?(\*|[a-zA-Z][\w-]*+)?((?:[.#][\w-]++)*+)")
 BOUND = re.compile(r"(min-|max-)?(width|height)\s*+(:|[<>]=?|=)\s*+(\d++(?:\.\d++)?|\.\d++)([a-z]*+)\Z")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 NUMBER = re.compile(r"[ \t\n\r\f]*+([+-]?)0*+([0-9]++)?")
@@ -61,6 +61,9 @@ HEADINGS = {f"h{k}" for k in range(1, 7)}
 # items of lists are indented by INDENT characters at most, and tables inside TABLES others are written cell by cell. So time and output stay within
 # a multiple of the page, however it nests.
 COLUMN, WIDTH, COLUMNS, INDENT, TABLES = 80, 240, 1024, 64, 8
+#: Selectors with combinators are read until they have so many steps together, of rules that set display or visibility; and of how many kinds of elements
+#: it is remembered what they may meet.
+STEPS, KINDS = 16_384, 1000
 
 
 class Node:
@@ -148,9 +151,82 @@ def declared(body: str) -> dict[tuple[str, bool], str]:
     return {(m[1].lower(), bool(m[3])): m[2].lower() for m in DECLARED.finditer(re.sub(r"/\*.*?(?:\*/|\Z)", "", body, flags=re.DOTALL))}
 
 
-def read_sheet(css: str, rules: dict[str, list]) -> None:
-    """Adds the rules of a style sheet that set display or visibility on a screen, by a mark that an element must have: important,
-    specificity and place, then tag, marks, name and value. Selectors are a tag, classes and ids of one element; others are not read."""
+def steps_of(selector: str) -> list[tuple[str, str, frozenset]]:
+    """The steps of a selector, each a tag, classes and ids of one element, after a combinator ("" in the first): blank, >, ~ or +.
+    No steps if it has anything else."""
+    steps, at = [], 0
+    while at < len(selector):
+        m = STEP.match(selector, at)
+        how = (m[1].strip() or " ") if m[1] else ""
+        if not (m[2] or m[3]) or bool(how) != bool(steps):
+            return []
+        steps.append((how, "" if m[2] in (None, "*") else m[2].lower(), frozenset(re.findall(r"[.#][\w-]+", m[3]))))
+        at = m.end()
+    return steps
+
+
+class Sheets:
+    """The rules of style sheets that set display or visibility on a screen. Plain ones, for one element, by a mark that it must have: rank
+    (important, specificity and place), tag, marks, name and value. Chains have combinators: rank, name, value and steps."""
+
+    def __init__(self):
+        self.plain: dict[str, list] = {}
+        self.chains: list[tuple] = []
+        self.steps = self.place = 0
+
+    def add(self, selector: str, sets: dict[tuple[str, bool], str]) -> None:
+        steps = steps_of(selector)
+        ids = sum(m[0] == "#" for _, _, marks in steps for m in marks)
+        classes, tags = sum(len(marks) for _, _, marks in steps) - ids, sum(bool(tag) for _, tag, _ in steps)
+        if len(steps) > 1:
+            self.steps += len(steps) * len(sets)
+        for (name, important), value in sets.items():
+            rank = (important, ids, classes, tags, self.place)
+            if len(steps) == 1:
+                _, tag, marks = steps[0]
+                self.plain.setdefault(min(marks, default=tag or "*"), []).append((rank, tag, marks, name, value))
+            elif steps and self.steps <= STEPS:
+                self.chains.append((rank, name, value, steps))
+
+
+class Chains:
+    """Selectors with combinators, followed on the way down the tree. Each step is a bit, those of one selector stand side by side in their order:
+    what elements before an element meet, shifted by one, is what it may meet itself. So time grows with the elements and not with their
+    ancestors. Selectors are in order of rank: of those that an element meets to the end, the highest bit decides."""
+
+    def __init__(self, chains: list[tuple]):
+        self.by, self.ends, self.said, self.known = {}, {}, [], {}
+        for rank, name, value, steps in sorted(chains, key=lambda c: c[0]):
+            for how, tag, marks in steps:
+                can = self.by.setdefault(min(marks, default=tag or "*"), {}).setdefault((tag, marks), {})
+                can[how] = can.get(how, 0) | 1 << len(self.said)
+                self.said.append((rank, value))
+            self.ends[name] = self.ends.get(name, 0) | 1 << len(self.said) - 1
+
+    def met(self, kind: tuple[str, str, str], above: int, parent: int, before: int, last: int) -> int:
+        """The steps that an element (tag, classes, id) meets, from those of all elements around it, of the one right around it, of all earlier
+        ones beside it, and of the last of these."""
+        if not self.by:
+            return 0
+        if kind not in self.known:
+            if len(self.known) >= KINDS:
+                self.known.clear()
+            can, marks = dict.fromkeys(("", " ", ">", "~", "+"), 0), marks_of(kind[1], kind[2])
+            for key in (*marks, kind[0], "*"):
+                for (tag, needed), bits in self.by.get(key, {}).items():
+                    if tag in ("", kind[0]) and needed <= marks:
+                        can |= {how: can[how] | b for how, b in bits.items()}
+            self.known[kind] = tuple(can.values())
+        first, inside, child, later, beside = self.known[kind]
+        return first | (above << 1) & inside | (parent << 1) & child | (before << 1) & later | (last << 1) & beside
+
+    def says(self, met: int) -> dict[str, tuple]:
+        """Rank and value by property."""
+        return {name: self.said[(met & ends).bit_length() - 1] for name, ends in self.ends.items() if met & ends}
+
+
+def read_sheet(css: str, rules: Sheets) -> None:
+    """Adds what a style sheet has for a screen. Selectors with anything but tags, classes, ids and combinators are not read."""
     css = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->|<!\[CDATA\[|\]\]>", "", css, flags=re.DOTALL)
     found: list[tuple[int, str, str]] = []
     blocks: list[list] = [[True, None, "", 0]]  # read, selectors, declarations, place
@@ -178,16 +254,11 @@ def read_sheet(css: str, rules: dict[str, list]) -> None:
     blocks[-1][2] += css[at:]
     for block in blocks:
         end(*block)
-    base = sum(map(len, rules.values()))
-    for k, (_, selectors, body) in enumerate(sorted(found)):
+    for _, selectors, body in sorted(found):
         sets = declared(body)
         for x in SELECTOR.findall(selectors) if sets else ():
-            if (s := COMPOUND.match(x.strip())) and s[0]:
-                tag, marks = "" if s[1] in (None, "*") else s[1].lower(), frozenset(re.findall(r"[.#][\w-]+", s[2]))
-                ids = sum(y[0] == "#" for y in marks)
-                for (name, important), value in sets.items():
-                    rank = (important, ids, len(marks) - ids, bool(tag), base + k)
-                    rules.setdefault(min(marks, default=tag or "*"), []).append((rank, tag, marks, name, value))
+            rules.add(x.strip(), sets)
+        rules.place += 1
 
 
 class Open:
@@ -238,10 +309,11 @@ class Open:
         return not wall and not places
 
 
-def build(html: str) -> tuple[Node, dict[str, list]]:
-    """The tree of a page, and the rules of its style sheets. A tag that the page ends in is no tag, and nothing follows it."""
-    root = Node("html", {})
-    stack, rules, at = Open(root), {}, 0
+def build(html: str) -> tuple[Node, Node, Sheets]:
+    """The tree of a page, the element html without it, and the rules of its style sheets. The root is the body, with the head inside.
+    A tag that the page ends in is no tag, and nothing follows it."""
+    page, root = Node("html", {}), Node("body", {})
+    stack, rules, at = Open(root), Sheets(), 0
 
     def text(s: str) -> None:
         if s:
@@ -253,7 +325,7 @@ def build(html: str) -> tuple[Node, dict[str, list]]:
         m = MARKUP.search(html, at)
         text(html[at : m.start() if m else len(html)])
         if not m:
-            return root, rules
+            return root, page, rules
         at = m.start()
         top = stack.nodes[-1]
         foreign = top.foreign and top.tag not in POINTS
@@ -268,14 +340,15 @@ def build(html: str) -> tuple[Node, dict[str, list]]:
                 at = html.find(">", at) + 1 or len(html)
             continue
         if not (ended := tag_end(html, m.end())):
-            return root, rules
+            return root, page, rules
         tag, (raw, at) = m[2].lower(), ended
         if m[1]:
             if stack.end(tag) and tag in ("p", "br") and stack.nodes[-1] is top:
                 top.children.append(Node(tag, {}))  # an end tag alone stands for an empty element
             continue
         if tag in ("html", "body"):
-            root.attrs |= {k: v for k, v in attributes(raw).items() if k not in root.attrs} if tag == "body" else {}
+            named = root if tag == "body" else page
+            named.attrs |= {k: v for k, v in attributes(raw).items() if k not in named.attrs}
             if top.tag == "head":
                 stack.pop()
             continue
@@ -307,10 +380,14 @@ def build(html: str) -> tuple[Node, dict[str, list]]:
             stack.push(node)
 
 
+def marks_of(classes: str, name: str) -> set[str]:
+    return {*("." + c for c in classes.split()), *(["#" + name] if name else [])}
+
+
 def ruled(tag: str, classes: str, name: str, rules: dict[str, list]) -> dict[str, tuple]:
-    """What style sheets say of an element: rank and value by property."""
+    """What plain rules say of an element: rank and value by property."""
     best: dict[str, tuple] = {}
-    marks = {*("." + c for c in classes.split()), *(["#" + name] if name else [])}
+    marks = marks_of(classes, name)
     for key in (*marks, tag, "*"):
         for rank, t, needed, prop, value in rules.get(key, ()):
             if t in ("", tag) and needed <= marks and rank >= best.get(prop, ((False, -3), ""))[0]:
@@ -318,50 +395,62 @@ def ruled(tag: str, classes: str, name: str, rules: dict[str, list]) -> dict[str
     return best
 
 
-def style(node: Node, rules: dict[str, list], known: dict[tuple, dict]) -> tuple[bool, bool | None]:
-    """Whether an element is shown, and whether its own text is hidden (None: as in its parent). What the page says last and most
-    specifically decides: a style attribute before style sheets, and what is important before both."""
-    a, tag = node.attrs, node.tag
-    if tag in HIDDEN or (node.foreign and tag in UNDRAWN):
-        return False, None
-    best: dict[str, tuple] = {}
-    if "hidden" in a or (tag == "dialog" and "open" not in a):
-        best["display"] = ((False, -2), "none")
-    if node.foreign:
-        best |= {k: ((False, -1), a[k].strip().lower()) for k in ("display", "visibility") if k in a}
-    if rules:
-        alike = (tag, a.get("class", ""), a.get("id", ""))
-        if alike not in known:
-            known[alike] = ruled(*alike, rules)
-        best |= known[alike]
-    if "style" in a:
-        for (name, important), value in declared(a["style"]).items():
-            if (important, float("inf")) >= best.get(name, ((False, -3), ""))[0]:
-                best[name] = ((important, float("inf")), value)
-    seen = best.get("visibility", ("", "inherit"))[1]
-    return best.get("display", ("", ""))[1] != "none", None if seen in ("inherit", "unset", "revert") else seen in ("hidden", "collapse")
-
-
-def prune(root: Node, rules: dict[str, list]) -> None:
+class Styles:
+    """What the page says of its elements' display and visibility."""
+
+    def __init__(self, rules: Sheets):
+        self.plain, self.chains, self.known = rules.plain, Chains(rules.chains), {}
+
+    def of(self, node: Node, above: int, parent: int, before: int = 0, last: int = 0) -> tuple[bool, bool | None, int]:
+        """Whether an element is shown, whether its own text is hidden (None: as in its parent), and the steps of chains that it meets. What
+        the page says last and most specifically decides: a style attribute before style sheets, and what is important before both."""
+        a, tag = node.attrs, node.tag
+        kind = (tag, a.get("class", ""), a.get("id", ""))
+        met = self.chains.met(kind, above, parent, before, last)
+        if tag in HIDDEN or (node.foreign and tag in UNDRAWN):
+            return False, None, met
+        best: dict[str, tuple] = {}
+        if "hidden" in a or (tag == "dialog" and "open" not in a):
+            best["display"] = ((False, -2), "none")
+        if node.foreign:
+            best |= {k: ((False, -1), a[k].strip().lower()) for k in ("display", "visibility") if k in a}
+        if self.plain:
+            if kind not in self.known:
+                self.known[kind] = ruled(*kind, self.plain)
+            best |= self.known[kind]
+        said = [*self.chains.says(met).items()] if met else []
+        if "style" in a:
+            said += [(name, ((important, float("inf")), value)) for (name, important), value in declared(a["style"]).items()]
+        for name, (rank, value) in said:
+            if rank >= best.get(name, ((False, -3), ""))[0]:
+                best[name] = (rank, value)
+        seen = best.get("visibility", ("", "inherit"))[1]
+        return best.get("display", ("", ""))[1] != "none", None if seen in ("inherit", "unset", "revert") else seen in ("hidden", "collapse"), met
+
+
+def prune(root: Node, page: Node, rules: Sheets) -> None:
     """Leaves in the tree what a screen shows."""
-    known: dict[tuple, dict] = {}
-    shown, off = style(root, rules, known)
-    if not shown:
+    styles = Styles(rules)
+    shown, around, html = styles.of(page, 0, 0)
+    body_shown, own, met = styles.of(root, html, html)
+    if not (shown and body_shown):
         root.children = []
-    todo = [(root, bool(off), True)]
+    todo = [(root, bool(around if own is None else own), True, html | met, met)]
     while todo:
-        node, off, drawn = todo.pop()
+        node, off, drawn, above, parent = todo.pop()
         kept: list = []
+        before = last = 0
         for c in node.children:
             if isinstance(c, str):
                 if drawn and not off:
                     kept.append(c)
                 continue
-            shown, own = style(c, rules, known)
+            shown, own, last = styles.of(c, above, parent, before, last)
+            before |= last
             if shown:
                 kept.append(c)
                 # SVG draws the text of its text elements alone
-                todo.append((c, off if own is None else own, drawn if not c.foreign or c.tag == "math" else c.tag != "svg" and (drawn or c.tag in ("text", "foreignobject"))))
+                todo.append((c, off if own is None else own, drawn if not c.foreign or c.tag == "math" else c.tag != "svg" and (drawn or c.tag in ("text", "foreignobject")), above | last, last))
         node.children = kept
 
 
@@ -615,11 +704,11 @@ def render(root: Node) -> list[str]:
 
 def extract(html: str | None) -> str:
     """All visible text of a page; "" for null or empty pages. Time grows with the page, and with nesting no text is lost: layout alone
-    stops at COLUMN, WIDTH, COLUMNS, INDENT and TABLES."""
+    stops at COLUMN, WIDTH, COLUMNS, INDENT and TABLES, and selectors with combinators are read up to STEPS."""
     if not html:
         return ""
-    root, rules = build(html)
-    prune(root, rules)
+    root, page, rules = build(html)
+    prune(root, page, rules)
     return "\n".join(x.rstrip() for x in render(root)).strip("\n")
 
 

@@ -515,6 +515,63 @@ def test_html_styles(page, want):
     assert html.extract(page) == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<style>.a .b{display:none}</style><p class=b>one<div class=a><i><b class=b>two</b></i>three</div>", "one\n\nthree"),
+    ("<style>.a > .b{display:none}</style><div class=a><b class=b>one</b><i><b class=b>two</b></i></div>", "two"),
+    ("<style>h2+p{display:none} h2~p.c{display:none}</style><h2>one</h2>x<p>two<p>three<p class=c>four", "one\n\nx\n\nthree"),
+    ("<style>.js .b, body.d>.c{display:none}</style><html class=js><body class=d><p class=b>one<p class=c>two<div><p class=c>three</div>", "three"),
+    ("<style>div .b{display:none} .b{display:block} p.b{display:block}</style><div><i class=b>one</i><p class=b>two</div>", "two"),
+    ("<style>.b{display:none}</style><style>.a .b{display:inline}</style><div class=a><i class=b>one</i></div><i class=b>two</i>", "one"),
+    ("<style>p{margin:0} p{margin:1px} .b{display:none}</style><style>.b{display:inline}</style><i class=b>one</i>", "one"),
+    ("<style>.a[x] .b, .a:hover .c, > .b, .a > , .a .. .b{display:none}</style><div class=a x><i class=b>one</i><i class=c>two</i></div>", "onetwo"),
+    ("<style>body{visibility:hidden} .a{visibility:visible}</style>one<p class=a>two", "two"),
+    ("<style>.a .b{display:none}</style><div class=a hidden>x</div><svg class=a><text class=b>one</text><text>two</text></svg>", "two"),
+    ("<style>" + ".a .b{display:none}" * 9000 + "</style><div class=a>one<i class=b>two</i></div>", "one"),
+])
+def test_html_combinators(page, want):
+    assert html.extract(page) == want
+
+
+@st.composite
+def trees(draw, depth=4):
+    return (draw(st.sampled_from(["div", "b", "i"])), draw(st.sets(st.sampled_from("pqr"))), draw(st.lists(trees(depth - 1), max_size=3)) if depth else [])
+
+
+def meets(path, steps) -> bool:
+    """Whether the element at the end of a path of (elements beside it, its place there) meets a selector's steps, by trying all elements."""
+    how, tag, marks = steps[-1]
+    beside, at = path[-1]
+    if (tag and beside[at][0] != tag) or not {m[1:] for m in marks} <= beside[at][1]:
+        return False
+    around = {"": [], " ": [path[:n] for n in range(1, len(path))], ">": [path[:-1]] if len(path) > 1 else [], "~": [[*path[:-1], (beside, k)] for k in range(at)], "+": [[*path[:-1], (beside, at - 1)]] if at else []}[how]
+    return not how or any(meets(p, steps[:-1]) for p in around)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(trees(), min_size=1, max_size=3), st.lists(st.tuples(st.lists(st.tuples(st.sampled_from([" ", ">", "~", "+"]), st.sampled_from(["div", "b", ""]), st.sets(st.sampled_from("pqr"), max_size=2)).filter(lambda s: s[1] or s[2]), min_size=1, max_size=4), st.booleans()), max_size=5))
+def test_html_combinators_like_all_elements(nodes, rules):
+    selectors = [("".join((how if k else "") + tag + "".join("." + c for c in sorted(marks)) for k, (how, tag, marks) in enumerate(steps)), shown) for steps, shown in rules]
+    names, text, want = iter(range(10**6)), [], []
+
+    def walk(beside, path, hidden):
+        for at, (tag, classes, inside) in enumerate(beside):
+            here, name = [*path, (beside, at)], next(names)
+            ranked = []
+            for place, (steps, shown) in enumerate(rules):
+                if meets(here, [("" if k == 0 else how, t, {"." + c for c in marks}) for k, (how, t, marks) in enumerate(steps)]):
+                    ranked.append((sum(len(s[2]) for s in steps), sum(bool(s[1]) for s in steps), place, shown))
+            off = hidden or bool(ranked) and not max(ranked)[3]
+            text.append(f'<{tag} class="{" ".join(sorted(classes))}">n{name} ')
+            if not off:
+                want.append(f"n{name}")
+            walk(inside, here, off)
+            text.append(f"</{tag}>")
+
+    walk(nodes, [], False)
+    sheet = "".join(f"{selector}{{display:{'inline' if shown else 'none'}}}" for selector, shown in selectors)
+    assert html.extract(f"{''.join(text)}<style>{sheet}</style>").split() == want
+
+
 @pytest.mark.parametrize(("page", "want"), [
     ("<p>a <svg><title>no</title><defs><text>no</text></defs> no <text>one</text><g><text><tspan>two</tspan></text></g></svg> b", "a\none\ntwo\nb"),
     ("<p>a <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>no</annotation></semantics></math> b", "a x=1 b"),
@@ -613,8 +670,9 @@ def test_html_odd_values(page, want):
 @pytest.mark.parametrize("page", [
     "<a " * 350_000, '<a "' * 250_000, '<a b="' * 160_000, "<ul><li>" * 100_000 + "x", "<ul><li>x" * 100_000, "<table><tr><td>" * 100_000 + "x", "<table><tr><td>a<td>" * 50_000 + "x" + "</table>x" * 50_000,
     "<div>" * 100_000 + "</b>" * 100_000 + "x", "<table>" + "<tr><td rowspan=9999>a<td>b" * 30_000, "<table><tr>" + "<td colspan=1000 rowspan=9>a" * 30_000, '<p style="' + "/*" * 500_000 + '">x',
-    "<style>" + "a," * 400_000 + "b{display:none}</style>x", "<style>" + '"' + '\\"' * 400_000 + "</style>x", "<a" + " " * 1_000_000 + ">x", "<svg>" + "<tr>" * 100_000 + "<foreignObject><tr><td>x", "<p><div>" * 100_000 + "x",
-], ids=range(16))
+    "<style>" + "".join(f".c{k} .b{{display:none}}" for k in range(20_000)) + "</style>" + "".join(f"<div class=c{k}>" for k in range(20_000)) + "<p>x" * 50_000,
+    "<style>" + "p ~ " * 200_000 + "p{display:none}</style>" + "<p>x" * 50_000, "<style>" + "a," * 400_000 + "b{display:none}</style>x", "<style>" + '"' + '\\"' * 400_000 + "</style>x", "<a" + " " * 1_000_000 + ">x", "<svg>" + "<tr>" * 100_000 + "<foreignObject><tr><td>x", "<p><div>" * 100_000 + "x",
+], ids=range(18))
 def test_html_in_linear_time(page):
     import time
 
