@@ -161,6 +161,34 @@ def test_sharding(spark, odd, none):
     assert all(abs(n - 500) < 80 for n in halves.values()) and many.count() == len(placed)
 
 
+@pytest.mark.parametrize(("n", "partitions", "shards"), [(1500, 7, 6), (5, 9, 24), (1300, 600, 24)])
+def test_sharding_like_lists(spark, n, partitions, shards):
+    docs = spark.range(0, n, 1, partitions).selectExpr("id AS doc_id", "CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'ä€😀 same' ELSE 'n' || id END AS text", "'x' AS shard", "1 AS size")
+    got = {r["doc_id"]: r for r in sharding.shard_documents(docs, shards, seed=5).collect()}
+    rows = docs.select("doc_id", "text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("uid"))
+    rows = rows.select("*", *(F.xxhash64(F.lit(5), F.lit(salt), "uid").alias(f"key{salt}") for salt in (1, 2))).collect()
+    # the matrix: blocks of partitions first, then the partitions of each; each shard takes what is drawn for it from every partition's permuted rows
+    of_part = {p: sorted((r for r in rows if r["part"] == p), key=lambda r: (r["key1"], r["uid"])) for p in sorted({r["part"] for r in rows})}
+    blocks = {b: [p for p in of_part if p // sharding.PARTITIONS_PER_TASK == b] for b in sorted({p // sharding.PARTITIONS_PER_TASK for p in of_part})}
+    free, rng, held = sharding.exact_sizes(n, shards), np.random.default_rng(5), collections.defaultdict(list)
+    for b, inside in blocks.items():
+        left = sharding.split_counts(rng, sum(len(of_part[p]) for p in inside), free)
+        free, own = free - left, np.random.default_rng([5, b])
+        for p in inside:
+            counts = sharding.split_counts(own, len(of_part[p]), left)
+            left, todo = left - counts, iter(of_part[p])
+            for s, count in enumerate(counts.tolist()):
+                held[s] += [next(todo) for _ in range(count)]
+            assert next(todo, None) is None
+        assert not left.any()
+    assert not free.any() and len(got) == n
+    buckets = shared.buckets_for(-(-n // shards))
+    for s, members in held.items():
+        for slot, r in enumerate(sorted(members, key=lambda r: (r["key2"] % buckets, r["key2"], r["uid"]))):
+            text = (r["text"] or "").encode()
+            assert tuple(got[r["doc_id"]]) == (r["doc_id"], len(text) + 8, zlib.crc32(text), "rows", s, slot, None)
+
+
 @pytest.mark.parametrize("good,bad,drawn", [(30, 70, 20), (700_000_000, 900_000_000, 1_000_000_000)])
 def test_hypergeometric(good, bad, drawn):
     rng = np.random.default_rng(1)
