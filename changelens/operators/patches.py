@@ -4,10 +4,13 @@ All from symbols (contracts.symbols): names are resolved, scopes found and contr
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelens.operators import graph
+from changelens.operators import graph, store
 from changelens.operators.relational import enclosing, longest_prefix
 
 #: Kinds of symbols that patches and calls are read from.
@@ -112,33 +115,35 @@ def adapted_callables(marks: DataFrame, found: DataFrame, deltas: DataFrame, key
     return marks.join(changed, "source").join(own, [key, "name"]).join(bound, [key, "name"]).select(key, "source", "name", "delta", "renamed_to")
 
 
-def common_subsequence(a: Column, b: Column, band: int) -> Column:
-    """Length of the longest common subsequence of two arrays, as far as places lie at most band apart: a row of the usual table at a time, of which
-    only the cells within the band are kept."""
-    width = 2 * band + 1
-    cell = lambda row, k: F.coalesce(F.get(row, k), F.lit(0))
+def _common(a: Sequence[str | None], b: Sequence[str | None], band: int) -> int:
+    """A row of the usual table is one number: bit j is unset where b's first j + 1 elements add one to the length."""
+    at: dict[str | None, int] = {}
+    for j, y in enumerate(b):
+        at[y] = at.get(y, 0) | 1 << j
+    whole = row = (1 << len(b)) - 1
+    for i, x in enumerate(a):
+        first = max(0, i - band)
+        met = row & at.get(x, 0) & ((1 << (i + band + 1)) - 1) >> first << first
+        row = (row + met | row - met) & whole
+    return len(b) - row.bit_count()
 
-    def next_row(state, x):
-        i = state["i"]  # cell k of the row stands for the first i of a and the first i + k - band of b; the row before is one to the right
 
-        def add(row, k):
-            j = i + 1 + k - band
-            up, diagonal, left = cell(state["row"], k + 1), cell(state["row"], k), cell(row, k - 1)
-            inside = (j >= 1) & (j <= F.size(b))
-            best = F.when(inside & F.get(b, j - 1).eqNullSafe(x), diagonal + 1).otherwise(F.greatest(F.when(k + 1 < width, up).otherwise(0), F.when(k > 0, left).otherwise(0)))
-            return F.concat(row, F.array(F.when(j >= 1, best).otherwise(0)))
+def common_subsequence(a: Column, b: Column, band: int) -> Column:
+    """Length of the longest common subsequence of two arrays of texts, of elements whose places lie at most band apart; 0 where either is null."""
 
-        return F.struct((i + 1).alias("i"), F.aggregate(F.sequence(F.lit(0), F.lit(width - 1)), F.array().cast("array<int>"), add).alias("row"))
+    @F.pandas_udf("int")
+    def lengths(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([0 if x is None or y is None else _common(x, y, band) for x, y in zip(a, b)], dtype="int32")
 
-    end = F.aggregate(a, F.struct(F.lit(0).alias("i"), F.array_repeat(F.lit(0), width).alias("row")), next_row)
-    return F.coalesce(F.array_max(end["row"]), F.lit(0))
+    return lengths(a, b)
 
 
 def fingerprints(tokens: Column, gram: int, window: int) -> Column:
     """Winnowing: of every window of consecutive gram hashes the least; texts that share gram + window - 1 tokens in a row share one. A short text has the least of all."""
     grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(tokens) - gram, F.lit(0))), lambda i: F.xxhash64(F.slice(tokens, i + 1, F.lit(gram))))
-    least = F.transform(F.sequence(F.lit(0), F.greatest(F.size(grams) - window, F.lit(0))), lambda i: F.array_min(F.slice(grams, i + 1, F.lit(window))))
-    return F.when(F.size(tokens) > 0, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
+    least = lambda g: F.transform(F.sequence(F.lit(0), F.greatest(F.size(g) - window, F.lit(0))), lambda i: F.array_min(F.slice(g, i + 1, F.lit(window))))
+    # the grams are named in an array of one, so that they are made once, not for each window
+    return F.when(F.size(tokens) > 0, F.array_distinct(F.get(F.transform(F.array(grams), least), F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
 
 
 def aligned_callables(ours: DataFrame, theirs: DataFrame, percent: int, gram: int = 2, window: int = 2, band: int = 16) -> DataFrame:
@@ -146,8 +151,10 @@ def aligned_callables(ours: DataFrame, theirs: DataFrame, percent: int, gram: in
 
     ours: id, statements; theirs: other, statements. Candidates share a winnowed fingerprint; one that very many callables have (the statements of a common
     idiom) costs the product of both sides there. Statements that moved further than band places do not count. Callables without statements align with nothing."""
+    ours, theirs = store.spread(ours), store.spread(theirs)
     prints = lambda df, c: df.select(c, F.explode(fingerprints(F.col("statements"), gram, window)).alias("print"))
-    pairs = prints(ours, "id").join(prints(theirs, "other"), "print").select("id", "other").distinct()
-    both = pairs.join(ours.select("id", F.col("statements").alias("a")), "id").join(theirs.select("other", F.col("statements").alias("b")), "other")
+    # statements are far larger than their table's estimate by its file, so no side is sent whole to all tasks
+    pairs = prints(ours, "id").hint("merge").join(prints(theirs, "other"), "print").select("id", "other").distinct()
+    both = pairs.join(ours.select("id", F.col("statements").alias("a")).hint("merge"), "id").join(theirs.select("other", F.col("statements").alias("b")).hint("merge"), "other")
     score = F.floor(200 * common_subsequence(F.col("a"), F.col("b"), band) / (F.size("a") + F.size("b"))).cast("int")
     return both.select("id", "other", score.alias("similarity")).where(F.col("similarity") >= percent)

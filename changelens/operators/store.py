@@ -18,6 +18,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows in at least as many partitions as there are cores, where each row is much work and a small file is one partition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, computed once and read from there by all that follows."""
     path = scratch(df.sparkSession, name)

@@ -1,8 +1,11 @@
 """What only shows in larger tables: late instants, tables that are no broadcast, work in one task."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from changelens.functions import text as X
+from changelens.operators import patches
 
 
 def test_instants_after_9999(spark):
@@ -15,3 +18,29 @@ def test_instants_after_9999(spark):
             assert spark.range(1).select(X.iso_instant(F.lit(None).cast("long"))).first()[0] is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aligned_callables_send_no_side_to_all_tasks(spark):
+    rows = spark.createDataFrame([(k, [f"{k}/{i}" for i in range(12)]) for k in range(20)], "id long, statements array<string>")
+    got = patches.aligned_callables(rows, rows.withColumnRenamed("id", "other"), 60)
+    assert "Broadcast" not in plan_of(got)
+    assert sorted(tuple(r) for r in got.collect()) == [(k, k, 100) for k in range(20)]
+
+
+def test_common_subsequence_of_long_and_missing_texts(spark):
+    rng = random.Random(3)
+    rows = [([rng.choice(["a", "b", "c", None]) for _ in range(rng.randint(0, 90))], [rng.choice(["a", "b", "c", None]) for _ in range(rng.randint(0, 90))]) for _ in range(20)] + [(None, ["a"]), (["a"], None)]
+    for band in (0, 3, 16, 100):
+        want = []
+        for a, b in rows:
+            best = [[0] * (len(b or []) + 1) for _ in range(len(a or []) + 1)]
+            for i, x in enumerate(a or []):
+                for j, y in enumerate(b or []):
+                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + 1 if x == y and abs(i - j) <= band else 0)
+            want.append(best[-1][-1])
+        got = spark.createDataFrame(rows, "a array<string>, b array<string>").coalesce(1).select(patches.common_subsequence(F.col("a"), F.col("b"), band).alias("n")).collect()
+        assert [r.n for r in got] == want
