@@ -179,7 +179,7 @@ def c17(t):
 
     middle = F.transform(F.sequence(F.lit(1), c("p_size")), lambda k: F.concat(F.lit("    a"), k - 1, F.lit("=("), k - 1, F.lit(", 1),")))
     lines = F.concat(F.array(F.lit("@mark(1)"), F.lit("def run(self,")), F.when(c("p_size") > 0, middle).otherwise(F.array().cast("array<string>")), F.array(F.lit("  )  ->  int:"), F.lit("    return (0):"), F.lit("x = 1:")))
-    return t("part").select("p_partkey", signature(lines, F.lit(2)).alias("signature"))
+    return store.spread(t("part").select("p_partkey", "p_size")).select("p_partkey", signature(lines, F.lit(2)).alias("signature"))
 
 
 @query("d13_touched", """

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from changelens import registry
 from changelens.functions import text as X
 from changelens.operators import patches
 
@@ -44,3 +45,7 @@ def test_common_subsequence_of_long_and_missing_texts(spark):
             want.append(best[-1][-1])
         got = spark.createDataFrame(rows, "a array<string>, b array<string>").coalesce(1).select(patches.common_subsequence(F.col("a"), F.col("b"), band).alias("n")).collect()
         assert [r.n for r in got] == want
+
+
+def test_signatures_are_read_by_all_cores(spark):
+    assert registry.QUERIES["c17_signatures"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
