@@ -143,9 +143,7 @@ def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str]
     wanted = kinds or {"callable", "class", "base", "field", "call", "import"}
     kept = df.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))
     form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("__text").schema)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if kept.rdd.getNumPartitions() < cores:
-        kept = kept.repartition(cores)
+    kept = store.spread(kept)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,7 +334,8 @@ def method_owners(classes: DataFrame, bases: DataFrame, methods: DataFrame, dept
     so the first hit is a minimum. A class that is on its own path is not entered again; open paths after depth rounds are an error."""
     spark, folder = classes.sparkSession, store.scratch(classes.sparkSession, "owners")
     front = classes.select("class", F.col("class").alias("owner"), F.array().cast("array<int>").alias("path"), F.array("class").alias("seen"))
-    edges = store.written(bases.select(F.col("class").alias("owner"), "base", F.col("pos").cast("int").alias("pos")), "base-edges")
+    # neither edges nor methods are sent whole to all tasks, which each round would do again
+    edges = store.written(bases.select(F.col("class").alias("owner"), "base", F.col("pos").cast("int").alias("pos")), "base-edges").hint("merge")
     kept = front.schema
     # rounds are written beside each other, so all of them are one scan
     for hop in range(depth + 1):
@@ -350,7 +349,7 @@ def method_owners(classes: DataFrame, bases: DataFrame, methods: DataFrame, dept
         front = step.groupBy("class", "owner").agg(F.min_by(F.struct("path", "seen"), "path").alias("p")).select("class", "owner", "p.path", "p.seen")
     else:
         raise RuntimeError(f"base classes are still found after {depth} steps")
-    hits = spark.read.schema(kept).parquet(folder).join(methods.select(F.col("class").alias("owner"), "method"), "owner")
+    hits = spark.read.schema(kept).parquet(folder).join(methods.select(F.col("class").alias("owner"), "method").hint("merge"), "owner")
     best = hits.groupBy("class", "method").agg(F.min_by(F.struct("owner", "path"), "path").alias("b"))
     return best.select("class", "method", "b.owner", F.size("b.path").alias("hops"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from changelens import registry
 from changelens.functions import text as X
-from changelens.operators import patches
+from changelens.operators import contracts, patches
 
 
 def test_instants_after_9999(spark):
@@ -49,3 +49,11 @@ def test_common_subsequence_of_long_and_missing_texts(spark):
 
 def test_signatures_are_read_by_all_cores(spark):
     assert registry.QUERIES["c17_signatures"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_method_owners_send_no_table_to_all_tasks(spark):
+    classes = spark.createDataFrame([(k,) for k in range(1, 9)], "class long")
+    bases = spark.createDataFrame([(k, k // 2, 0) for k in range(2, 9)], "class long, base long, pos int")
+    got = contracts.method_owners(classes, bases, spark.createDataFrame([(1, "m"), (3, "m")], "class long, method string"))
+    assert "Broadcast" not in plan_of(got)
+    assert sorted((r["class"], r.owner, r.hops) for r in got.collect()) == [(1, 1, 0), (2, 1, 1), (3, 3, 0), (4, 1, 2), (5, 1, 2), (6, 3, 1), (7, 3, 1), (8, 1, 3)]
