@@ -33,34 +33,29 @@ def paths(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None, d
     """start, node, hops, path (from start to node): a shortest path to every node that a start reaches along edges src -> dst; nodes in stops (column
     node) are reached, but not passed.
 
-    Rounds go breadth first, and each writes for the nodes that it finds the predecessor from which they were found: of several the least by
-    code point. So among shortest paths the one is given whose nodes, read from the end, are least. No round carries a path: they are put together afterwards by
-    pointer jumping, in which each step doubles what a row knows, so hops of them take log2(hops) joins. depth bounds the rounds; nodes that are found after that are an error."""
-    spark, path = edges.sparkSession, store.scratch(edges.sparkSession, "predecessors")
+    Rounds go breadth first, and each finds for its nodes the predecessor from which they are reached: of several the least by
+    code point. So among shortest paths the one is given whose nodes, read from the end, are least. Then it writes them with their paths, which are those of the
+    predecessors, one round before, and the node. So a path is written once and shuffled once, when it is handed on; what is known is compared by start and node alone.
+    depth bounds the rounds; nodes that are found after that are an error."""
+    spark, path = edges.sparkSession, store.scratch(edges.sparkSession, "paths")
     edges = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     if stops is not None:
         edges = edges.join(stops.select(F.col("node").alias("src")).distinct(), "src", "left_anti")
-    edges = store.written(edges, "path-edges")
-    front = starts.select(F.col("node").alias("start"), "node", F.lit(None).cast(starts.schema["node"].dataType).alias("before")).distinct()
-    schema = front.withColumn("hops", F.lit(0)).schema
-    hops = 0
-    for hops in range(depth + 2):
-        front.write.parquet(f"{path}/hops={hops}")
-        front = spark.read.schema(front.schema).parquet(f"{path}/hops={hops}")
-        seen = spark.read.schema(schema).parquet(path)
+    # joins in rounds are by key on both sides: what is small enough to be sent to all tasks would go over the driver in each
+    edges = store.written(edges, "path-edges").hint("merge")
+    front = starts.select(F.col("node").alias("start"), "node", F.array("node").alias("path")).distinct()
+    kept = front.schema
+    for hop in range(depth + 2):
+        front.write.parquet(f"{path}/hops={hop}")
+        front = spark.read.schema(kept).parquet(f"{path}/hops={hop}")
+        seen = spark.read.schema(kept).parquet(path)
         if front.isEmpty():
-            break
-        found = front.join(edges, front["node"] == edges["src"]).groupBy("start", F.col("dst").alias("node")).agg(F.min("src").alias("before"))
-        front = found.join(seen.select("start", "node"), ["start", "node"], "left_anti")
-    else:
-        raise RuntimeError(f"nodes are still found after {depth} steps")
-    # known: the path's last nodes; before: the node that comes before them
-    rows = seen.select("start", "node", "hops", "before", F.array("node").alias("known"))
-    for _ in range(max(0, hops - 1).bit_length()):
-        rows = store.written(rows, "paths")
-        ahead = rows.select("start", F.col("node").alias("before"), F.col("known").alias("more"), F.col("before").alias("further"))
-        rows = rows.join(ahead, ["start", "before"], "left").select("start", "node", "hops", F.col("further").alias("before"), F.concat(F.coalesce("more", F.array().cast(rows.schema["known"].dataType)), "known").alias("known"))
-    return rows.select("start", "node", "hops", F.col("known").alias("path"))
+            return seen.select("start", "node", F.col("hops").cast("int").alias("hops"), "path")
+        found = front.select("start", "node").join(edges, F.col("node") == F.col("src")).groupBy("start", F.col("dst").alias("node")).agg(F.min("src").alias("before"))
+        found = found.join(seen.select("start", "node").hint("merge"), ["start", "node"], "left_anti")
+        ways = front.select("start", F.col("node").alias("before"), "path").hint("merge")
+        front = found.join(ways, ["start", "before"]).select("start", "node", F.array_append("path", F.col("node")).alias("path"))
+    raise RuntimeError(f"nodes are still found after {depth} steps")
 
 
 def maximal_names(df: DataFrame, name: str, mark: str = ".") -> DataFrame:

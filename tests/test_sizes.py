@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from changelens import registry
 from changelens.functions import text as X
-from changelens.operators import contracts, patches
+from changelens.operators import contracts, graph, patches
 
 
 def test_instants_after_9999(spark):
@@ -57,3 +57,48 @@ def test_method_owners_send_no_table_to_all_tasks(spark):
     got = contracts.method_owners(classes, bases, spark.createDataFrame([(1, "m"), (3, "m")], "class long, method string"))
     assert "Broadcast" not in plan_of(got)
     assert sorted((r["class"], r.owner, r.hops) for r in got.collect()) == [(1, 1, 0), (2, 1, 1), (3, 3, 0), (4, 1, 2), (5, 1, 2), (6, 3, 1), (7, 3, 1), (8, 1, 3)]
+
+
+def test_paths_are_written_with_their_rounds(spark):
+    edges = spark.createDataFrame([(a, b) for a in range(1, 30) for b in (a * 2, a * 3)], "src long, dst long")
+    got = graph.paths(edges, spark.createDataFrame([(1,)], "node long"))
+    assert "Join" not in plan_of(got) and "Exchange" not in plan_of(got)
+    assert {r.node: r.path for r in got.collect()}[12] == [1, 2, 4, 12]
+
+
+DEEP = """
+import a.b as ab
+try:
+    x.one = f
+except E:
+    x.two = f
+else:
+    x.three = f
+finally:
+    x.four = f
+async def outer(p, *, q=1):
+    async with p as r:
+        match r:
+            case 1:
+                if p.q[lambda: 2]:
+                    x.y.five = z.six = g.h
+    while p:
+        w = x.seven = f
+    else:
+        x[0] = x.eight = f
+def f():
+    return p.q.r(s)(t()).u()
+"""
+
+
+def test_symbols_without_bodies(spark):
+    df = spark.createDataFrame([("p", DEEP)], "path string, text string")
+    kinds = patches.PATCH_KINDS | patches.CALL_KINDS
+    whole, light = (contracts.symbols(df, ["path"], kinds=kinds, bodies=b).collect() for b in (True, False))
+    bare = lambda rows: [{k: v for k, v in r.asDict(True).items() if k not in ("body", "statements")} for r in rows]
+    assert bare(whole) == bare(light) and all(r.body and r.statements for r in whole if r.kind == "callable") and not any(r.body or r.statements for r in light)
+    assert sorted((r.name, r.owner) for r in light if r.kind == "assign") == sorted([
+        *((f"x.{n}", f"x.{n} = f") for n in ("one", "two", "three", "four")), ("x.y.five", "x.y.five = z.six = g.h"), ("z.six", "x.y.five = z.six = g.h"),
+        ("w", "w = x.seven = f"), ("x.seven", "w = x.seven = f"), ("x.eight", "x[0] = x.eight = f"),
+    ])
+    assert [r.name for r in light if r.kind == "guard"] == ["p.q[lambda: 2]"] and [r.name for r in light if r.kind == "edge"] == ["p.q.r", "t"]
