@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import ast
 import hashlib
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +32,21 @@ def _digest(nodes: list[ast.AST]) -> str:
     return hashlib.md5("\n".join(map(ast.dump, nodes)).encode()).hexdigest()
 
 
-def _callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -> dict:
+def _walk(node: ast.AST, fields: tuple[str, ...] | None = None) -> Iterator[ast.AST]:
+    """The nodes below a node in ast.walk's order, without the contexts of names; with fields, only what lies in these."""
+    todo = deque([node])
+    while todo:
+        node = todo.popleft()
+        yield node
+        for name in fields or node._fields:
+            value = getattr(node, name, None)
+            if isinstance(value, list):
+                todo.extend(v for v in value if isinstance(v, ast.AST))
+            elif name != "ctx" and isinstance(value, ast.AST):
+                todo.append(value)
+
+
+def _callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None, bodies: bool) -> dict:
     a = node.args
     places = [*a.posonlyargs, *a.args]
     needed = len(places) - len(a.defaults)
@@ -39,21 +54,24 @@ def _callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -
     if owner and positional and positional[0]["name"] in ("self", "cls"):
         positional = positional[1:]
     keyword = [{"name": p.arg, "required": d is None} for p, d in zip(a.kwonlyargs, a.kw_defaults)]
-    rest = {"vararg": a.vararg and a.vararg.arg, "kwarg": a.kwarg and a.kwarg.arg, "body": _digest([a, *node.body]), "statements": [_digest([s])[:16] for s in node.body]}
+    rest = {"vararg": a.vararg and a.vararg.arg, "kwarg": a.kwarg and a.kwarg.arg}
+    if bodies:
+        rest |= {"body": _digest([a, *node.body]), "statements": [_digest([s])[:16] for s in node.body]}
     return {"kind": "callable", "owner": owner, "name": node.name, "line": node.lineno, "positional": positional, "keyword": keyword} | rest
 
 
 def _dotted(node: ast.AST) -> str | None:
     """The name of a chain of attributes of a plain name; None for other expressions."""
-    chain = node
-    while isinstance(chain, ast.Attribute):
-        chain = chain.value
-    return ast.unparse(node) if isinstance(chain, ast.Name) else None
+    parts = []
+    while isinstance(node, ast.Attribute):
+        parts.append(node.attr)
+        node = node.value
+    return ".".join([node.id, *reversed(parts)]) if isinstance(node, ast.Name) else None
 
 
 def _in_callable(node: ast.FunctionDef | ast.AsyncFunctionDef, owner: str | None) -> Iterator[dict]:
     """What a callable calls (edge), and whether it hands its ** catch-all to the same method of super() (forward)."""
-    calls = [c for c in ast.walk(node) if isinstance(c, ast.Call)]
+    calls = [c for c in _walk(node) if isinstance(c, ast.Call)]
     for name in dict.fromkeys(filter(None, (_dotted(c.func) for c in calls))):
         yield {"kind": "edge", "owner": f"{owner}.{node.name}" if owner else node.name, "name": name, "line": node.lineno}
     for c in calls:
@@ -67,8 +85,8 @@ def _extent(first: ast.AST, last: ast.AST) -> dict:
     return {"at": first.lineno * COLUMNS + min(first.col_offset, COLUMNS - 1), "until": last.end_lineno * COLUMNS + min(last.end_col_offset, COLUMNS - 1)}
 
 
-def _anywhere(node: ast.AST) -> Iterator[dict]:
-    """Rows of a node at any depth."""
+def _anywhere(node: ast.AST, kinds: set[str]) -> Iterator[dict]:
+    """Rows of a node at any depth; some of kinds that are not asked for are left out."""
     if isinstance(node, ast.Call) and isinstance(node.func, (ast.Name, ast.Attribute)):
         words = [k.arg for k in node.keywords if k.arg] or [None]
         yield from ({"kind": "call", "name": ast.unparse(node.func), "line": node.lineno, "detail": w} for w in words)
@@ -78,21 +96,27 @@ def _anywhere(node: ast.AST) -> Iterator[dict]:
         yield from ({"kind": "import", "owner": a.name, "line": node.lineno, "detail": a.asname or a.name} for a in node.names)
     elif isinstance(node, _DEFS):
         yield {"kind": "scope", "name": node.name, "line": node.lineno} | _extent(node, node)
-    elif isinstance(node, ast.If):
+    elif isinstance(node, ast.If) and "guard" in kinds:
         yield {"kind": "guard", "name": ast.unparse(node.test), "line": node.lineno} | _extent(node.body[0], node.body[-1])
-    elif isinstance(node, (ast.Assign, ast.AnnAssign)) and node.value and (value := _dotted(node.value)):
-        for target in filter(None, map(_dotted, node.targets if isinstance(node, ast.Assign) else [node.target])):
-            yield {"kind": "assign" if isinstance(node, ast.Assign) else "annotated", "owner": ast.unparse(node), "name": target, "detail": value, "line": node.lineno} | _extent(node, node)
+    elif isinstance(node, (ast.Assign, ast.AnnAssign)) and kinds & {"assign", "annotated"} and node.value and (value := _dotted(node.value)):
+        targets = [*map(_dotted, node.targets if isinstance(node, ast.Assign) else [node.target])]
+        plain = isinstance(node, ast.Assign) and None not in targets
+        for target in filter(None, targets):
+            yield {"kind": "assign" if isinstance(node, ast.Assign) else "annotated", "owner": " = ".join([*targets, value]) if plain else ast.unparse(node), "name": target, "detail": value, "line": node.lineno} | _extent(node, node)
 
 
 #: Kinds of rows by where they are found.
 _TOP, _DEEP = {"callable", "class", "base", "field", "edge", "forward", "bound"}, {"call", "import", "scope", "guard", "assign", "annotated"}
 
 
-def _top_level(node: ast.AST, kinds: set[str]) -> Iterator[dict]:
+#: Where statements lie below a node. Only calls lie elsewhere.
+_BELOW = ("body", "handlers", "orelse", "finalbody", "cases")
+
+
+def _top_level(node: ast.AST, kinds: set[str], bodies: bool) -> Iterator[dict]:
     if isinstance(node, _DEFS):
         if "callable" in kinds:
-            yield _callable(node, None)
+            yield _callable(node, None, bodies)
         if kinds & {"edge", "forward"}:
             yield from _in_callable(node, None)
     elif isinstance(node, ast.ClassDef):
@@ -101,7 +125,7 @@ def _top_level(node: ast.AST, kinds: set[str]) -> Iterator[dict]:
         for m in node.body:
             if isinstance(m, _DEFS):
                 if "callable" in kinds:
-                    yield _callable(m, node.name)
+                    yield _callable(m, node.name, bodies)
                 if kinds & {"edge", "forward"}:
                     yield from _in_callable(m, node.name)
         for item in ast.walk(node) if "field" in kinds else ():
@@ -116,7 +140,7 @@ def _top_level(node: ast.AST, kinds: set[str]) -> Iterator[dict]:
         yield from ({"kind": "bound", "owner": a.name if a.asname else a.name.split(".")[0], "name": a.asname or a.name.split(".")[0], "line": node.lineno} for a in node.names)
 
 
-def _rows(text: str, kinds: set[str]) -> Iterator[dict]:
+def _rows(text: str, kinds: set[str], bodies: bool = True) -> Iterator[dict]:
     try:
         tree = ast.parse(text)
     except (SyntaxError, ValueError, RecursionError, MemoryError):
@@ -124,13 +148,13 @@ def _rows(text: str, kinds: set[str]) -> Iterator[dict]:
         return
     if kinds & _TOP:
         for node in tree.body:
-            yield from (r for r in _top_level(node, kinds) if r["kind"] in kinds)
+            yield from (r for r in _top_level(node, kinds, bodies) if r["kind"] in kinds)
     if kinds & _DEEP:
-        for node in ast.walk(tree):
-            yield from (r for r in _anywhere(node) if r["kind"] in kinds)
+        for node in _walk(tree, None if "call" in kinds else _BELOW):
+            yield from (r for r in _anywhere(node, kinds) if r["kind"] in kinds)
 
 
-def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str] | None = None) -> DataFrame:
+def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str] | None = None, bodies: bool = True) -> DataFrame:
     """keys and SYMBOL: a row for each callable, class, base class, field assignment, call keyword, import, ... of a source text, of the kinds given
     (default: all but those that patches need).
 
@@ -138,6 +162,7 @@ def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str]
     annotations have no part in them. Further kinds: edge (what a callable calls), forward (it hands its ** catch-all to the same method of super()),
     bound (a name that a top-level import binds), scope, guard, assign and annotated (extents of functions and of bodies under an if, and dotted names that are assigned to
     dotted names, with their places at and until). A text that does not parse gives one row of kind error; a null text gives none.
+    Without bodies, body and statements of callables are null, which saves most of the time.
 
     Texts that lie in fewer partitions than there are cores are spread, for reading one is the work here."""
     wanted = kinds or {"callable", "class", "base", "field", "call", "import"}
@@ -148,7 +173,7 @@ def symbols(df: DataFrame, keys: list[str], text: str = "text", kinds: set[str]
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             schema = pa.schema([*[batch.schema.field(k) for k in keys], *_ARROW])
-            rows = ({k: r[k] for k in keys} | found for r in batch.to_pylist() for found in _rows(r["__text"], wanted))
+            rows = ({k: r[k] for k in keys} | found for r in batch.to_pylist() for found in _rows(r["__text"], wanted, bodies))
             yield pa.RecordBatch.from_pylist(list(rows), schema=schema)
 
     return kept.mapInArrow(read, f"{form}, {SYMBOL}")

@@ -41,7 +41,7 @@ def _downstream(t, kinds):
     )
     more = F.when(c("p_partkey") % 2 == 1, F.lit("base.top = helper\n")).otherwise(F.lit("base.top = unknown\n"))
     again = F.when(c("p_partkey") % 4 == 0, F.lit("Base.run = helper\n")).otherwise(F.lit(""))
-    return contracts.symbols(t("part").select(c("p_partkey").alias("path"), F.concat(text, more, again).alias("text")), ["path"], kinds=kinds)
+    return contracts.symbols(t("part").select(c("p_partkey").alias("path"), F.concat(text, more, again).alias("text")), ["path"], kinds=kinds, bodies=False)
 
 
 _UNIT = "CASE p_size % 6 WHEN 1 THEN 'signature_changed' WHEN 2 THEN 'renamed' WHEN 3 THEN 'removed' WHEN 4 THEN 'owner_removed' END"
@@ -93,7 +93,7 @@ def d5(t):
     handed = F.when(c("p_size") % 5 == 0, F.lit("a, b, more=more")).when(c("p_size") % 5 == 4, F.lit("a, b")).otherwise(F.lit("**rest"))
     between = F.when(c("p_size") % 5 == 2, F.lit("a=0, b=0")).otherwise(F.lit("**others"))
     text = F.concat(F.lit("class Mid"), "p_partkey", F.lit("(Up):\n    def __init__(self, y=0, **others):\n        super().__init__("), between, F.lit(")\nclass Low"), "p_partkey", F.lit("(Mid"), "p_partkey", F.lit("):\n    def __init__(self, "), own, F.lit("):\n        super().__init__("), handed, F.lit(")\n"))
-    found = store.written(contracts.symbols(t("part").select(c("p_partkey").alias("part"), text.alias("text")), ["part"], kinds={"callable", "base", "forward"}), "overrides")
+    found = store.written(contracts.symbols(t("part").select(c("p_partkey").alias("part"), text.alias("text")), ["part"], kinds={"callable", "base", "forward"}, bodies=False), "overrides")
     sides = t("part").limit(1).select(F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.lit(x).alias("text")) for s, x in (("old", up_old), ("new", up_new), ("hard", up_hard))))).alias("s")).select("s.*")
     up = contracts.first_callables(store.written(contracts.symbols(sides, ["side"], kinds={"callable"}), "upstream"), ["side"]).select("side", c("owner").alias("class"), c("name").alias("method"), "shape")
     side = lambda s, name: up.where(c("side") == s).select("class", "method", c("shape").alias(name))
@@ -116,7 +116,7 @@ def d10(t):
     texts = t("part").select(c("p_partkey").alias("path"), F.concat(mark, F.lit("def top(a):\n    return a\ndef helper(a):\n    return a\n"), bind).alias("text"))
     _, deltas = _upstream(t)
     sources = deltas.withColumn("source", F.concat(F.translate("module", ".", "/"), F.lit(".py")))
-    found = store.written(contracts.symbols(texts, ["path"], kinds={"callable", "assign", "annotated"}), "adapted")
+    found = store.written(contracts.symbols(texts, ["path"], kinds={"callable", "assign", "annotated"}, bodies=False), "adapted")
     return patches.adapted_callables(patches.source_marks(texts, "up"), found, sources).select("path", "source", "name", "delta")
 
 
