@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,41 +15,72 @@ from changelens.operators import store
 BLOCK, COPIES = 256, 4096
 
 
-def _lines(df: DataFrame) -> DataFrame:
-    """path, line (a hash), times, weight (UTF-8 bytes of all its occurrences, line feeds included)."""
-    rows = df.select("path", F.explode(F.split("text", "\n")).alias("text"))
-    return rows.groupBy("path", F.xxhash64("text").alias("line")).agg(F.count("*").alias("times"), (F.max(F.octet_length("text")) + 1).cast("long").alias("bytes")).withColumn("weight", F.col("times") * F.col("bytes"))
+def _read(old: DataFrame, new: DataFrame) -> DataFrame:
+    """side (0 old, 1 new), path, blob (a hash of the text), size (UTF-8 bytes, a line feed after each line included), lines (hash and bytes of each, repeats
+    included; null for a null text). Made where the texts are read, once, so that no text is shuffled."""
+    line = lambda x: F.struct(F.xxhash64(x).alias("line"), (F.octet_length(x) + 1).cast("long").alias("bytes"))
+    sides = old.select(F.lit(0).alias("side"), "path", "text").unionByName(new.select(F.lit(1).alias("side"), "path", "text"))
+    size = (F.octet_length("text") + 1).cast("long").alias("size")
+    return store.written(sides.select("side", "path", F.sha2(F.col("text").cast("binary"), 256).alias("blob"), size, F.transform(F.split("text", "\n"), line).alias("lines")), "read-files")
 
 
-def _prefixes(old: DataFrame, new: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The lines of both sides (side 0 and 1), and those of each file that stand in its prefix, with the file's size in bytes: a file's lines stand in one order
-    for all, rare ones first, and what comes after the prefix weighs less than percent of the file. So two files that have that much in common share a line of their prefixes."""
-    sides = old.where("text IS NOT NULL").select("path", "text", F.lit(0).alias("side")).unionByName(new.where("text IS NOT NULL").select("path", "text", F.lit(1).alias("side")))
-    lines = store.written(_lines(sides.select(F.struct("side", "path").alias("path"), "text")).select("path.side", "path.path", "line", "times", "bytes", "weight"), "file-lines")
-    often = lines.groupBy("line").agg(F.count("*").alias("files"))
-    by_file = Window.partitionBy("side", "path")
-    ranked = lines.join(often, "line").withColumn("size", F.sum("weight").over(by_file)).withColumn("from", F.sum("weight").over(by_file.orderBy(F.desc("files"), F.desc("line"))))
-    return lines, store.written(ranked.where(100 * F.col("from") >= percent * F.col("size")).select("side", "path", "line", "size"), "file-prefixes")
+def _files(*parts: DataFrame) -> DataFrame:
+    """side, path, size, lines of the files in parts (each of one side), one row for each path."""
+    one = [p.groupBy("path").agg(F.first("side").alias("side"), F.sum("size").alias("size"), F.flatten(F.collect_list("lines")).alias("lines")) for p in parts]
+    return store.written(one[0].unionByName(one[1]), "files")
 
 
-def _of(side: int, prefix: DataFrame, name: str) -> DataFrame:
-    return prefix.where(F.col("side") == side).select(F.col("path").alias(name), "line", F.col("size").alias(f"{name}_size"))
+def _prefixes(files: DataFrame, percent: int) -> DataFrame:
+    """side, path, line, size, from: the lines of each file that stand in its prefix, once each. A file's lines that both sides have stand in one order for all, rare ones first; from is
+    the weight of a line and of what comes after it, and after the prefix that is less than percent of the file. So two files that have that much in common share a line of
+    their prefixes, and the first one that they share has that much from there on in both."""
+    rows = files.select("side", "path", "size", F.inline("lines"))
+    often = rows.groupBy("line").agg(F.count("*").alias("files"), F.min("side").alias("least"), F.max("side").alias("most")).where("least < most").select("line", "files")
+    by_file = Window.partitionBy("side", "path").orderBy(F.desc("files"), F.desc("line"))
+    ranked = rows.join(often, "line").withColumn("from", F.sum("bytes").over(by_file)).withColumn("before", F.lag("line").over(by_file))
+    ranked = ranked.where(100 * F.col("from") >= percent * F.col("size")).where("before IS NULL OR before <> line")
+    return store.written(ranked.select("side", "path", "line", "size", "from"), "file-prefixes")
 
 
-def _scored(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """old, new, similarity of the candidate pairs (old, new, old_size, new_size) that are similar: sizes rule out some, of the others all lines are compared."""
+def _of(side: int, prefix: DataFrame, name: str) -> DataFrame:
+    return prefix.where(F.col("side") == side).withColumnsRenamed({"path": name, "size": f"{name}_size", "from": f"{name}_from"}).drop("side")
+
+
+def _common(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """old, new, similarity of the pairs (old, new, most, and both files' lines) whose common lines, repeats counted, have at least percent of most bytes."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        row, line = (np.concatenate(x) for x in zip(*((np.repeat(np.arange(b.num_rows), np.diff(b[c].offsets.to_numpy())), b[c].flatten().to_numpy()) for c in ("old_lines", "new_lines")), strict=True))
+        sizes = b["bytes"].flatten().to_numpy()
+        order = np.lexsort((line, row))
+        row, line, is_old = row[order], line[order], order < len(sizes)
+        first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (line[1:] != line[:-1])]))
+        n_old = np.add.reduceat(is_old.astype(np.int64), first)
+        times = np.minimum(n_old, np.diff(np.append(first, len(row))) - n_old)
+        first, times = first[times > 0], times[times > 0]  # there the sort, which is stable, has an old file's line first
+        common = np.bincount(row[first], times * sizes[order[first]], b.num_rows).astype(np.int64)
+        most = b["most"].to_numpy()
+        kept = 100 * common >= percent * most
+        yield pa.record_batch([b["old"].filter(pa.array(kept)), b["new"].filter(pa.array(kept)), pa.array((100 * common // most)[kept].astype(np.int32))], ["old", "new", "similarity"])
+
+
+def _scored(pairs: DataFrame, files: DataFrame, percent: int) -> DataFrame:
+    """old, new, similarity of the candidate pairs (old, new, their sizes and from) that are similar: what a shared line leaves to both rules out some, of the others all lines are compared."""
     most = F.greatest("old_size", "new_size")
-    pairs = pairs.where(100 * F.least("old_size", "new_size") >= percent * most).select("old", "new", most.alias("most")).distinct()
-    all_of = lambda side, name: lines.where(F.col("side") == side).select(F.col("path").alias(name), "line", F.col("times").alias(f"{name}_times"), "bytes")
-    common = pairs.join(all_of(0, "old"), "old").join(all_of(1, "new").drop("bytes"), ["new", "line"]).groupBy("old", "new", "most").agg(F.sum(F.least("old_times", "new_times") * F.col("bytes")).alias("common"))
-    return common.where(100 * F.col("common") >= percent * F.col("most")).select("old", "new", F.floor(100 * F.col("common") / F.col("most")).cast("int").alias("similarity"))
+    pairs = pairs.where(100 * F.least("old_from", "new_from") >= percent * most).select("old", "new", most.alias("most")).distinct()
+    lines = lambda side, name, *more: files.where(F.col("side") == side).select(F.col("path").alias(name), F.col("lines.line").alias(f"{name}_lines"), *more)
+    both = pairs.join(lines(1, "new"), "new").join(lines(0, "old", F.col("lines.bytes").alias("bytes")), "old")
+    return both.mapInArrow(lambda it: _common(it, percent), "old string, new string, similarity int")
 
 
 def similar_files(old: DataFrame, new: DataFrame, percent: int = 70) -> DataFrame:
     """old, new, similarity of all pairs of files (path, text on both sides) of which at least so many percent of the larger one's bytes are lines that both have, repeats
     counted; similarity is rounded down. A null text is no file. As it gives all pairs, the result of a group of copies is the product of its sides; renames() does not need them."""
-    lines, prefix = _prefixes(old, new, percent)
-    return _scored(_of(0, prefix, "old").join(_of(1, prefix, "new"), "line"), lines, percent)
+    rows = _read(old, new).where("lines IS NOT NULL")
+    files = _files(rows.where("side = 0"), rows.where("side = 1"))
+    prefix = _prefixes(files, percent)
+    return _scored(_of(0, prefix, "old").join(_of(1, prefix, "new"), "line"), files, percent)
 
 
 def matched(pairs: DataFrame, rounds: int = 1000) -> DataFrame:
@@ -68,7 +103,7 @@ def matched(pairs: DataFrame, rounds: int = 1000) -> DataFrame:
 
 def _turns(df: DataFrame, name: str) -> DataFrame:
     """name, blob, n: each file's number among those of its content, by path; among very many copies by parts of a hash of the path first, so that no task orders all."""
-    rows = df.select(F.col("path").alias(name), F.sha2(F.col("text").cast("binary"), 256).alias("blob"))
+    rows = df.select(F.col("path").alias(name), "blob")
     many = rows.groupBy("blob").agg(F.count("*").alias("copies")).where(F.col("copies") > COPIES).select("blob", F.ceil(F.col("copies") / COPIES).alias("parts"))
     rows = store.written(rows.join(F.broadcast(many), "blob", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(name), "parts"), F.lit(0))).select(name, "blob", "part"), "blobs")
     before = rows.groupBy("blob", "part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.partitionBy("blob").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
@@ -85,24 +120,33 @@ def renames(old: DataFrame, new: DataFrame, percent: int = 70, block: int = BLOC
     is matched by the share of common lines (similar_files), the best first (matched). Empty and null texts are not renamed.
 
     Candidates share a line of their prefixes. A line that so many files of both sides have that their pairs are more than block * block has its files dealt into
-    blocks by a hash, and each block of old ones meets one of new ones, another in each round; what matches there leaves, so of a large group of near copies few are left after
-    the first round, and no round makes all pairs. In such a group a file goes to the best of the blocks that it has met; no file is left over that has a similar one left over."""
-    gone = _without(old, new.select(F.col("path").alias("other")), "other").where("text <> ''")
-    fresh = _without(new, old.select(F.col("path").alias("other")), "other").where("text <> ''")
-    exact = store.written(_turns(gone, "old").join(_turns(fresh, "new"), ["blob", "n"]).select("old", "new", F.lit(100).alias("similarity")), "exact-renames")
-    lines, prefix = _prefixes(_without(gone, exact, "old"), _without(fresh, exact, "new"), percent)
-    out = exact
-    for turn in range(1_000_000):
-        sizes = prefix.groupBy("line").agg(F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new")).where("n_old > 0 AND n_new > 0")
-        sizes = store.written(sizes.withColumn("blocks", F.when(F.col("n_old") * F.col("n_new") > block * block, F.ceil(F.greatest("n_old", "n_new") / block)).otherwise(1)), "rename-lines")
-        most = sizes.agg(F.max("blocks")).first()[0]
-        if most is None or turn >= most > 1:
-            return out
-        dealt = lambda side, name, step: _of(side, prefix, name).join(sizes.select("line", "blocks"), "line").withColumn("block", F.pmod(F.xxhash64(name) + step, "blocks"))  # noqa: B023, E731
-        pairs = dealt(0, "old", 0).join(dealt(1, "new", turn).drop("blocks"), ["line", "block"])
-        found = store.written(matched(_scored(pairs, lines, percent)), "matched")
+    blocks by a hash, and each block of old ones meets one of new ones, others in later rounds, as many at once as make no more pairs than the first round; what matches leaves,
+    so of a large group of near copies few are left after the first round, and no round makes all pairs. In such a group a file goes to the best of the blocks that it has
+    met; no file is left over that has a similar one left over."""
+    rows = _read(old, new)
+    was, now = rows.where("side = 0"), rows.where("side = 1")
+    gone = _without(was, now.select(F.col("path").alias("other")), "other").where("size > 1")
+    fresh = _without(now, was.select(F.col("path").alias("other")), "other").where("size > 1")
+    out = store.written(_turns(gone, "old").join(_turns(fresh, "new"), ["blob", "n"]).select("old", "new", F.lit(100).alias("similarity")), "exact-renames")
+    files = _files(_without(gone, out, "old"), _without(fresh, out, "new"))
+    prefix = _prefixes(files, percent)
+    sides = [F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new")]
+    sizes = prefix.groupBy("line").agg(*sides).where("n_old > 0 AND n_new > 0")
+    sizes = store.written(sizes.withColumn("blocks", F.when(F.col("n_old") * F.col("n_new") > block * block, F.ceil(F.greatest("n_old", "n_new") / block)).otherwise(1)), "rename-lines")
+    most, load = sizes.agg(F.max("blocks"), F.sum(F.col("n_old") * F.col("n_new") / F.col("blocks"))).first()
+    if most is None:
+        return out
+    left, turn, upto = prefix.join(sizes.select("line", "blocks"), "line").withColumn("block", F.pmod(F.xxhash64("path"), "blocks")), 0, 1
+    while True:
+        step = F.explode(F.sequence(F.lit(turn).cast("long"), F.least(F.lit(upto).cast("long"), "blocks") - 1))
+        fresh = _of(1, left, "new").withColumn("step", step).withColumn("block", F.pmod(F.col("block") + F.col("step"), "blocks")).drop("blocks", "step")
+        found = store.written(matched(_scored(_of(0, left, "old").join(fresh, ["line", "block"]), files, percent)), "matched")
         out = out.unionByName(found)
-        if most == 1:
+        if most <= upto:
+            return out
+        taken = found.select(F.lit(0).alias("side"), F.col("old").alias("path")).union(found.select(F.lit(1), "new"))
+        left = store.written(left.where(F.col("blocks") > upto).join(taken, ["side", "path"], "left_anti"), "file-prefixes")
+        each, most = left.groupBy("line", "blocks").agg(*sides).where("n_old > 0 AND n_new > 0").agg(F.sum(F.col("n_old") * F.col("n_new") / F.col("blocks")), F.max("blocks")).first()
+        if most is None:
             return out
-        prefix = store.written(prefix.join(found.select(F.lit(0).alias("side"), F.col("old").alias("path")).union(found.select(F.lit(1), "new")), ["side", "path"], "left_anti"), "file-prefixes")
-    return out
+        turn, upto = upto, min(most, upto + max(1, int(load // each)))

@@ -1,12 +1,14 @@
 """What only shows in larger tables: late instants, tables that are no broadcast, work in one task."""
 
+import itertools
 import random
 
 from pyspark.sql import functions as F
 
 from changelens import registry
 from changelens.functions import text as X
-from changelens.operators import contracts, graph, patches
+from changelens.operators import contracts, graph, patches, store
+from changelens.sources import renames
 
 
 def test_instants_after_9999(spark):
@@ -66,6 +68,27 @@ def test_paths_are_written_with_their_rounds(spark):
     assert {r.node: r.path for r in got.collect()}[12] == [1, 2, 4, 12]
 
 
+def test_renames_read_texts_once_and_shuffle_none(spark, monkeypatch):
+    plans, written = [], store.written
+    monkeypatch.setattr(store, "written", lambda df, name: plans.append(plan_of(df)) or written(df, name))
+    frame = lambda *rows: spark.createDataFrame(rows, "path string, text string")
+    got = renames.renames(frame(("a", "1\n2\n3\n4"), ("b", "5"), ("c", "6")), frame(("x", "1\n2\n3\n4\n5"), ("y", "5"), ("c", "7")))
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "x", 80), ("b", "y", 100)]
+    of_texts = [p for p in plans if "text#" in p]
+    assert len(of_texts) == 1 and "Exchange" not in of_texts[0]
+
+
+def test_renames_in_a_group_that_shrinks(spark):
+    """All files share their lines with very many that are not similar, and each is similar to a few. Blocks that shrink with the group would not all meet."""
+    old, new = [], []
+    for k, (a, b, c, d) in enumerate(itertools.combinations([f"line {n}" for n in range(8)], 4)):
+        old += [(f"o{k}", "\n".join([a, b, c, d])), (f"p{k}", "\n".join([b, a, c, d]))]
+        new += [(f"n{k}", "\n".join([c, a, b, d])), (f"m{k}", "\n".join([d, a, b, c]))]
+    frame = lambda rows: spark.createDataFrame(rows, "path string, text string")
+    got = renames.renames(frame(old), frame(new), 80, 4).collect()
+    assert len(got) == len({r.old for r in got}) == len({r.new for r in got}) == 140 and all(r.old[1:] == r.new[1:] and r.similarity == 100 for r in got)
+
+
 DEEP = """
 import a.b as ab
 try:
