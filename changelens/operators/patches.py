@@ -19,8 +19,8 @@ CALL_KINDS = {"callable", "class", "bound", "edge"}
 CHANGED = ("signature_changed", "introduced", "removed", "renamed", "owner_removed")
 
 
-def places(found: DataFrame, key: str) -> DataFrame:
-    """key, at, scope, guard of each assignment: the innermost function around it ('module_import' for none), and the conditions of
+def placed(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Adds scope and guard to rows (key, at of an assignment in found): the innermost function around it ('module_import' for none), and the conditions of
     all if statements in whose body it is, from outside in ('' for none)."""
     points = found.where("kind = 'assign'").select(key, "at").distinct()
     around = found.where("kind IN ('scope', 'guard')").select(key, F.col("kind").alias("around"), F.col("name").alias("text"), F.col("at").alias("lo"), F.col("until").alias("hi"))
@@ -28,7 +28,7 @@ def places(found: DataFrame, key: str) -> DataFrame:
         F.max_by(F.when(F.col("around") == "scope", F.col("text")), F.when(F.col("around") == "scope", F.col("lo"))).alias("scope"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("around") == "guard", F.struct("lo", "text")))), lambda g: g["text"]), " and ").alias("guard"),
     )
-    return points.join(held, [key, "at"], "left").select(key, "at", F.coalesce("scope", F.lit("module_import")).alias("scope"), F.coalesce("guard", F.lit("")).alias("guard"))
+    return rows.join(held.hint("merge"), [key, "at"], "left").withColumns({"scope": F.coalesce("scope", F.lit("module_import")), "guard": F.coalesce("guard", F.lit(""))})
 
 
 def _bound(found: DataFrame, key: str) -> DataFrame:
@@ -44,6 +44,8 @@ def patch_bindings(found: DataFrame, modules: DataFrame, deltas: DataFrame, key:
     top-level function (or an attribute of one), or Class.method. The target's first name is what a top-level import binds; of the full name the longest module counts, the rest names the attribute, and
     the name before it the class; where no changed callable has that class, a function of the module does. One row for each pair of callables; target, replacement, scope and guard
     are of the first occurrence. Rows of known (key, class, method, module, target_class, target_method) are left out."""
+    # symbols are far larger than their table's estimate by its file, so joins of them are by key on both sides, and none is sent whole to all tasks
+    found = found.hint("merge")
     name = F.split_part("replacement", F.lit("."), F.lit(1))
     sides = found.where("kind = 'assign'").select(key, "at", "line", F.col("name").alias("target"), F.col("detail").alias("replacement"), F.col("owner").alias("expression")).withColumn("first", name)
     there = lambda kind, flag: found.where(kind).select(key, F.col("name").alias("first"), F.lit(True).alias(flag)).distinct()
@@ -60,7 +62,7 @@ def patch_bindings(found: DataFrame, modules: DataFrame, deltas: DataFrame, key:
     met = sides.join(changed, ["module", "target_method"]).where((F.col("owner") == F.col("asked")) | (F.col("owner") == ""))
     best = F.max_by(F.struct("owner", "delta"), F.col("owner") == F.col("asked"))
     met = met.groupBy(key, "class", "method", "module", "target_method", "at", "line", "reference", "replacement", "expression").agg(best.alias("m"))
-    met = met.select(*[c for c in met.columns if c != "m"], F.col("m.owner").alias("target_class"), "m.delta").join(places(found, key), [key, "at"])
+    met = placed(met.select(*[c for c in met.columns if c != "m"], F.col("m.owner").alias("target_class"), "m.delta"), found, key)
     pair = [key, "class", "method", "module", "target_class", "target_method"]
     if known is not None:
         met = met.join(known.select(*pair), pair, "left_anti")

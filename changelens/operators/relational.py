@@ -167,11 +167,12 @@ def enclosing(points: DataFrame, intervals: DataFrame, keys: list[str], at: str
     """Each point with each interval of its keys that holds it (both ends included); the intervals' further columns come along.
 
     An interval lies in bins of a width that suits its length (four times wider on each level), so in two of them, and a point in one bin of each level that occurs. Both meet by
-    equality of keys, level and bin: a key with very many rows is spread over its bins, and no pair is tried whose places are far apart. Null ends hold nothing."""
+    equality of keys, level and bin: a key with very many rows is spread over its bins, and no pair is tried whose places are far apart. Null ends hold nothing.
+    No side is sent whole to all tasks, for bins and levels are not in the estimate of its size."""
     level = F.greatest(F.lit(0), F.ceil(F.log(4.0, F.greatest(F.col(hi) - F.col(lo), F.lit(1)) / 16))).cast("int")
     width = F.expr("shiftleft(16L, 2 * __level)")
     places = intervals.where(F.col(lo) <= F.col(hi)).withColumn("__level", level)
     levels = [r[0] for r in places.select("__level").distinct().collect()]  # 32 at most
     binned = places.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
     asked = points.withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("__bin", F.floor(F.col(at) / width))
-    return asked.join(binned, [*keys, "__level", "__bin"]).where((F.col(lo) <= F.col(at)) & (F.col(at) <= F.col(hi))).drop("__level", "__bin")
+    return asked.join(binned.hint("merge"), [*keys, "__level", "__bin"]).where((F.col(lo) <= F.col(at)) & (F.col(at) <= F.col(hi))).drop("__level", "__bin")

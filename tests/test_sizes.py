@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changelens import registry
 from changelens.functions import text as X
-from changelens.operators import contracts, graph, patches, store
+from changelens.operators import contracts, graph, patches, relational, store
 from changelens.sources import renames
 
 
@@ -34,6 +34,37 @@ def test_aligned_callables_send_no_side_to_all_tasks(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(k, k, 100) for k in range(20)]
 
 
+def broadcasts(df):
+    """The parts of a plan that are sent to all tasks."""
+    lines, found = plan_of(df).split("\n"), []
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    for k, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = itertools.takewhile(lambda x: depth(x) > depth(line), lines[k + 1 :])  # noqa: B023
+            found.append("\n".join(below))
+    return found
+
+
+PATCH = "import up.core as core\ndef swap(x):\n    return x\nclass Mine:\n    def run(self):\n        pass\ndef apply():\n    if ready:\n        core.free = swap\n        core.Unit.run = Mine.run\n"
+
+
+def test_patch_bindings_send_no_symbols_to_all_tasks(spark):
+    texts = spark.createDataFrame([(f"{k}.py", PATCH) for k in range(9)], "path string, text string")
+    found = store.written(contracts.symbols(texts, ["path"], kinds=patches.PATCH_KINDS), "found")
+    modules = spark.createDataFrame([("up.core",)], "module string")
+    deltas = spark.createDataFrame([("up.core", "", "free", "removed"), ("up.core", "Unit", "run", "renamed")], "module string, owner string, name string, delta string")
+    got = patches.patch_bindings(found, modules, deltas)
+    assert not [b for b in broadcasts(got) if "kind#" in b]
+    assert sorted((r.path, r.method, r.scope, r.guard) for r in got.collect()) == sorted((f"{k}.py", m, "apply", "ready") for k in range(9) for m in ("swap", "run"))
+
+
+def test_enclosing_sends_no_side_to_all_tasks(spark):
+    rows = store.written(spark.range(50).select((F.col("id") % 3).alias("file"), "id"), "places")
+    got = relational.enclosing(rows.select("file", F.col("id").alias("at")), rows.select("file", F.col("id").alias("lo"), (F.col("id") + 4).alias("hi")), ["file"])
+    assert not broadcasts(got)
+    assert sorted((r["file"], r["at"], r.lo) for r in got.collect()) == sorted((a % 3, a, b) for a in range(50) for b in range(50) if a % 3 == b % 3 and b <= a <= b + 4)
+
+
 def test_common_subsequence_of_long_and_missing_texts(spark):
     rng = random.Random(3)
     rows = [([rng.choice(["a", "b", "c", None]) for _ in range(rng.randint(0, 90))], [rng.choice(["a", "b", "c", None]) for _ in range(rng.randint(0, 90))]) for _ in range(20)] + [(None, ["a"]), (["a"], None)]
