@@ -40,8 +40,8 @@ def paths(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None, d
     spark, path = edges.sparkSession, store.scratch(edges.sparkSession, "paths")
     edges = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     if stops is not None:
-        edges = edges.join(stops.select(F.col("node").alias("src")).distinct(), "src", "left_anti")
-    # joins in rounds are by key on both sides: what is small enough to be sent to all tasks would go over the driver in each
+        edges = edges.join(stops.select(F.col("node").alias("src")).distinct().hint("merge"), "src", "left_anti")
+    # all joins are by key on both sides: what is small enough to be sent to all tasks would go over the driver, and in each round
     edges = store.written(edges, "path-edges").hint("merge")
     front = starts.select(F.col("node").alias("start"), "node", F.array("node").alias("path")).distinct()
     kept = front.schema

@@ -76,6 +76,7 @@ def patch_bindings(found: DataFrame, modules: DataFrame, deltas: DataFrame, key:
 def call_edges(found: DataFrame, within: str, key: str = "path") -> DataFrame:
     """src, dst, stop of calls between the callables of sources: nodes are `key:name`; a call of a local class goes to its __init__, if it
     has one, a call of a local callable to that, and one of a name that is imported from a module below within to the node `module:symbol`, which is a stop."""
+    found = found.hint("merge")  # as in patch_bindings
     node = lambda where, name: F.concat_ws(":", where, name)
     calls = found.where("kind = 'edge'").select(key, "owner", F.col("name").alias("called"), F.split_part("name", F.lit("."), F.lit(1)).alias("alias")).distinct()
     local = found.where("kind = 'callable'").select(key, F.concat_ws(".", "owner", "name").alias("goal")).distinct().withColumn("there", F.lit(True))
@@ -93,11 +94,13 @@ def call_closure(bindings: DataFrame, edges: DataFrame, twins: DataFrame, deltas
     bindings: of patch_bindings; edges: of call_edges; twins: node, module (upstream modules that have a function of the node's name; a node with several says nothing);
     deltas: as there. One row for each patch and copy."""
     starts = bindings.select(F.concat_ws(":", F.col(key), F.concat_ws(".", F.nullif("class", F.lit("")), "method")).alias("node")).distinct()
+    edges = store.written(edges, "call-edges")
     ways = graph.paths(edges, starts, edges.where("stop").select(F.col("dst").alias("node")))
     only = twins.groupBy("node").agg(F.min("module").alias("module"), F.max("module").alias("last")).where("module = last").drop("last")
-    found = ways.join(only, "node").withColumn("name", F.element_at(F.split("node", ":"), -1))
     changed = deltas.where(F.col("delta").isin(*CHANGED) & (F.col("owner") == "")).select("module", "name", "delta")
-    return found.join(changed, ["module", "name"]).select("start", "node", "path", "module", "name", "delta")
+    # copies meet their changes first, so that the ways, which are never sent whole to all tasks, are shuffled once
+    copies = only.withColumn("name", F.element_at(F.split("node", ":"), -1)).join(changed, ["module", "name"])
+    return ways.hint("merge").join(copies, "node").select("start", "node", "path", "module", "name", "delta")
 
 
 def source_marks(texts: DataFrame, project: str, key: str = "path") -> DataFrame:

@@ -58,6 +58,22 @@ def test_patch_bindings_send_no_symbols_to_all_tasks(spark):
     assert sorted((r.path, r.method, r.scope, r.guard) for r in got.collect()) == sorted((f"{k}.py", m, "apply", "ready") for k in range(9) for m in ("swap", "run"))
 
 
+def test_call_closure_sends_no_symbols_or_ways_to_all_tasks(spark, monkeypatch):
+    """Nor edges or stops, which are read from tables here."""
+    text = "from mine.m import top\nimport up.core as core\ndef swap(x):\n    return deep(x)\ndef deep(x):\n    return top(x)\ncore.free = swap\n"
+    texts = spark.createDataFrame([(f"{k}.py", text) for k in range(9)], "path string, text string")
+    found = store.written(contracts.symbols(texts, ["path"], kinds=patches.PATCH_KINDS | patches.CALL_KINDS), "found")
+    plans, written = [], store.written
+    monkeypatch.setattr(store, "written", lambda df, name: plans.append((name, broadcasts(df))) or written(df, name))
+    bindings = spark.createDataFrame([(f"{k}.py", "", "swap") for k in range(9)], "path string, class string, method string")
+    twins = spark.createDataFrame([("mine.m:top", "up.m")], "node string, module string")
+    deltas = spark.createDataFrame([("up.m", "", "top", "removed")], "module string, owner string, name string, delta string")
+    got = patches.call_closure(bindings, patches.call_edges(found, "mine"), twins, deltas)
+    assert "path-edges" in dict(plans) and not [b for _, sent in plans for b in sent]
+    assert not [b for b in broadcasts(got) if "path#" in b]
+    assert sorted((r.start, r.path, r.delta) for r in got.collect()) == [(f"{k}.py:swap", [f"{k}.py:swap", f"{k}.py:deep", "mine.m:top"], "removed") for k in range(9)]
+
+
 def test_enclosing_sends_no_side_to_all_tasks(spark):
     rows = store.written(spark.range(50).select((F.col("id") % 3).alias("file"), "id"), "places")
     got = relational.enclosing(rows.select("file", F.col("id").alias("at")), rows.select("file", F.col("id").alias("lo"), (F.col("id") + 4).alias("hi")), ["file"])
