@@ -94,7 +94,7 @@ def call_closure(bindings: DataFrame, edges: DataFrame, twins: DataFrame, deltas
     bindings: of patch_bindings; edges: of call_edges; twins: node, module (upstream modules that have a function of the node's name; a node with several says nothing);
     deltas: as there. One row for each patch and copy."""
     starts = bindings.select(F.concat_ws(":", F.col(key), F.concat_ws(".", F.nullif("class", F.lit("")), "method")).alias("node")).distinct()
-    edges = store.written(edges, "call-edges")
+    edges = store.written(edges, "call-edges").hint("merge")
     ways = graph.paths(edges, starts, edges.where("stop").select(F.col("dst").alias("node")))
     only = twins.groupBy("node").agg(F.min("module").alias("module"), F.max("module").alias("last")).where("module = last").drop("last")
     changed = deltas.where(F.col("delta").isin(*CHANGED) & (F.col("owner") == "")).select("module", "name", "delta")
