@@ -114,6 +114,7 @@ def adapted_callables(marks: DataFrame, found: DataFrame, deltas: DataFrame, key
     an attribute of the same name (module.name = name), where the upstream function changed its parameters, went, or has one twin under another name.
 
     marks: of source_marks; found: downstream symbols (callable, assign, annotated); deltas: source, owner, name, delta, renamed_to of callable_deltas. A change of the body alone is none here."""
+    found, marks = found.hint("merge"), marks.hint("merge")  # as in patch_bindings
     own = found.where("kind = 'callable' AND owner IS NULL").select(key, "name").distinct()
     bound = found.where("kind IN ('assign', 'annotated') AND detail NOT LIKE '%.%' AND name LIKE '%.%'").where(F.element_at(F.split("name", r"\."), -1) == F.col("detail")).select(key, F.col("detail").alias("name")).distinct()
     changed = deltas.where("owner = '' AND delta IN ('signature_changed', 'renamed', 'removed')").select("source", "name", "delta", "renamed_to")

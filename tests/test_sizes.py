@@ -74,6 +74,16 @@ def test_call_closure_sends_no_symbols_or_ways_to_all_tasks(spark, monkeypatch):
     assert sorted((r.start, r.path, r.delta) for r in got.collect()) == [(f"{k}.py:swap", [f"{k}.py:swap", f"{k}.py:deep", "mine.m:top"], "removed") for k in range(9)]
 
 
+def test_adapted_callables_send_no_symbols_to_all_tasks(spark):
+    rows = [(f"{k}.py", "# Adapted from up/m.py\ndef top(a):\n    return a\na.b.top = top\n") for k in range(9)]
+    texts = store.written(spark.createDataFrame(rows, "path string, text string"), "texts")
+    found = store.written(contracts.symbols(texts, ["path"], kinds={"callable", "assign", "annotated"}), "found")
+    deltas = spark.createDataFrame([("up/m.py", "", "top", "removed", None)], "source string, owner string, name string, delta string, renamed_to string")
+    got = patches.adapted_callables(patches.source_marks(texts, "up"), found, deltas)
+    assert not [b for b in broadcasts(got) if "path#" in b]
+    assert sorted((r.path, r.delta) for r in got.collect()) == [(f"{k}.py", "removed") for k in range(9)]
+
+
 def test_enclosing_sends_no_side_to_all_tasks(spark):
     rows = store.written(spark.range(50).select((F.col("id") % 3).alias("file"), "id"), "places")
     got = relational.enclosing(rows.select("file", F.col("id").alias("at")), rows.select("file", F.col("id").alias("lo"), (F.col("id") + 4).alias("hi")), ["file"])
