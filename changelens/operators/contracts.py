@@ -344,7 +344,9 @@ def owner_deltas(imports: DataFrame, old: DataFrame, new: DataFrame) -> DataFram
 def touched(asked: DataFrame, old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """keys, owner, name, touched of the methods asked for: whether the method of just that class differs between two snapshots (parameters or body; also if only
     one has it). The same name in another class does not matter. Null where a text of the keys does not parse, or no owner or name is given; false where neither snapshot has it."""
-    broken = old.union(new).where("kind = 'error'").select(*keys).distinct().withColumn("__broken", F.lit(True))
+    # symbols are far larger than their table's estimate by its file, so no side is sent whole to all tasks
+    broken = old.union(new).where("kind = 'error'").select(*keys).distinct().withColumn("__broken", F.lit(True)).hint("merge")
+    old, new = old.hint("merge"), new.hint("merge")
     side = lambda found, name: first_callables(found, keys).select(*keys, "owner", "name", F.col("body").alias(name))
     rows = asked.join(side(old, "__a"), [*keys, "owner", "name"], "left").join(side(new, "__b"), [*keys, "owner", "name"], "left").join(broken, keys, "left")
     known = F.col("__broken").isNull() & (F.coalesce("owner", F.lit("")) != "") & (F.coalesce("name", F.lit("")) != "")

@@ -84,6 +84,15 @@ def test_adapted_callables_send_no_symbols_to_all_tasks(spark):
     assert sorted((r.path, r.delta) for r in got.collect()) == [(f"{k}.py", "removed") for k in range(9)]
 
 
+def test_touched_sends_no_symbols_to_all_tasks(spark):
+    texts = spark.createDataFrame([(k, f"class Unit:\n    def run(self):\n        return {k % 2}\n") for k in range(9)] + [(9, "class Unit(:")], "id long, text string")
+    found = store.written(contracts.symbols(texts, ["id"], kinds={"callable"}), "found")
+    old = store.written(contracts.symbols(texts.withColumn("text", F.replace("text", F.lit("return 1"), F.lit("return 0"))), ["id"], kinds={"callable"}), "old")
+    got = contracts.touched(spark.range(10).select("id", F.lit("Unit").alias("owner"), F.lit("run").alias("name")), old, found, ["id"])
+    assert not broadcasts(got)
+    assert sorted((r.id, r.touched) for r in got.collect()) == [*((k, k % 2 == 1) for k in range(9)), (9, None)]
+
+
 def test_enclosing_sends_no_side_to_all_tasks(spark):
     rows = store.written(spark.range(50).select((F.col("id") % 3).alias("file"), "id"), "places")
     got = relational.enclosing(rows.select("file", F.col("id").alias("at")), rows.select("file", F.col("id").alias("lo"), (F.col("id") + 4).alias("hi")), ["file"])
